@@ -1,0 +1,8 @@
+"""Intentionally empty.
+
+The workload this package re-expresses is batch only: it has no stream
+source, watermark, window or stateful operator, so nothing is built here.
+All stages are pure ``DataFrame -> DataFrame`` functions; should the yearly
+files ever arrive as a stream, those functions apply unchanged inside a
+``foreachBatch`` sink.
+"""
