@@ -40,13 +40,17 @@ def fit_standardizer(df: DataFrame, cols) -> dict:
 
 
 def standardize(df: DataFrame, cols, stats: dict | None = None) -> DataFrame:
-    """``(x - mean) / stddev``; a zero or missing deviation gives NULL."""
+    """``(x - mean) / stddev``. A column with zero (or no) deviation
+    carries no information and scales to 0 (NULL input stays NULL), so a
+    constant indicator does not knock out every row of a feature vector."""
     stats = stats or fit_standardizer(df, cols)
     for c in cols:
         mean, sd = stats[c]
         x = F.col(c).try_cast("double")
-        df = df.withColumn(c, F.try_divide(x - F.lit(mean), F.lit(sd).cast("double"))
-                           if sd else F.lit(None).cast("double"))
+        if sd:
+            df = df.withColumn(c, (x - F.lit(mean)) / F.lit(float(sd)))
+        else:
+            df = df.withColumn(c, F.when(x.isNotNull(), F.lit(0.0)))
     return df
 
 

@@ -555,10 +555,10 @@ def c07_write_model_sets(spark, d):
 
 
 def c08_train_value_model(spark, d):
-    ind = rnd(yearly(spark, d), "oilprice")
-    mt = labelled_model_table(stages(spark, d)["panel"], ind)
-    res = train_value_model(mt.where(F.col("split") == "training").drop("split"),
-                            mt.where(F.col("split") == "testing").drop("split"))
+    """Train on the sets C07 writes: the fits scan Parquet, not the lineage."""
+    out = scratch_dir(spark, "model-sets")
+    write_model_sets(stages(spark, d)["panel"], rnd(yearly(spark, d), "oilprice"), out)
+    res = train_value_model(read_model_set(spark, out, "training"), read_model_set(spark, out, "testing"))
     return res["metrics"]
 
 
