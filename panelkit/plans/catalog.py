@@ -55,7 +55,9 @@ def reg(spark, d):
 
 
 def stages(spark, d, mode="previous_year"):
-    r = reg(spark, d)
+    # the stand-in register plays the yearly files: materialize it once, as
+    # those would be on disk, instead of re-deriving it for every reader
+    r = reg(spark, d).checkpoint(eager=True)
     return register_panel(r, S.history_rows(r), S.MAIN_YEARS, S.BASE_YEAR, S.HISTORY_YEARS,
                           S.REFERENCE_YEAR, opts(), mode)
 

@@ -96,12 +96,32 @@ def _history_rows(register: DataFrame, years, dictionary: DataFrame, opts: Clean
     return _typed(rows)
 
 
+def base_from_rows(rows: DataFrame, base_year: int, main: DataFrame, factor: float = 0.99,
+                   how: str = "inner") -> DataFrame:
+    """C02 from prepared history rows: P05 then J01."""
+    rows = impute_prior(rows.where(F.col("year") == F.lit(base_year)), factor=factor)
+    return backfill_attribute(rows, main, "PID", ["zoneCat"], ["year"], how).select(*PANEL_COLUMNS)
+
+
+def history_from_rows(rows: DataFrame, base_year: int, years, main: DataFrame, mode: str = "previous_year",
+                      how: str = "inner") -> DataFrame:
+    """C03 from prepared rows of the base and history years: J02 then J01."""
+    priced = prior_value(rows, "PID", "year", mode=mode, base_year=base_year, how=how)
+    priced = priced.where(F.col("year").isin(list(years)))
+    return backfill_attribute(priced, main, "PID", ["zoneCat"], ["year"], how).select(*PANEL_COLUMNS)
+
+
+def prepare_history(history: DataFrame, years, dictionary: DataFrame,
+                    opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """Historical rows after W01 W02 D01 T01 F01 F03, typed, one per key and year."""
+    return _history_rows(history, years, dictionary, opts)
+
+
 def clean_base_year(history: DataFrame, base_year: int, dictionary: DataFrame, main: DataFrame,
                     opts: CleanOptions = CleanOptions(), factor: float = 0.99, how: str = "inner") -> DataFrame:
     """S02 W01 W02 D01 T01 F01 F03 P05 J01. Prior values are ``factor`` x
     current; the zone comes from the key's latest main-year row."""
-    rows = impute_prior(_history_rows(history, [base_year], dictionary, opts), factor=factor)
-    return backfill_attribute(rows, main, "PID", ["zoneCat"], ["year"], how).select(*PANEL_COLUMNS)
+    return base_from_rows(_history_rows(history, [base_year], dictionary, opts), base_year, main, factor, how)
 
 
 def clean_history(history: DataFrame, base_year: int, years, dictionary: DataFrame, main: DataFrame,
@@ -113,9 +133,7 @@ def clean_history(history: DataFrame, base_year: int, years, dictionary: DataFra
     year (``base_year``). Rows without a prior, or without a main-year zone,
     are dropped (inner joins, as before)."""
     rows = _history_rows(history, [base_year, *years], dictionary, opts)
-    priced = prior_value(rows, "PID", "year", mode=mode, base_year=base_year, how=how)
-    priced = priced.where(F.col("year").isin(list(years)))
-    return backfill_attribute(priced, main, "PID", ["zoneCat"], ["year"], how).select(*PANEL_COLUMNS)
+    return history_from_rows(rows, base_year, years, main, mode, how)
 
 
 def build_panel(main: DataFrame, base: DataFrame, history: DataFrame) -> DataFrame:
@@ -123,13 +141,29 @@ def build_panel(main: DataFrame, base: DataFrame, history: DataFrame) -> DataFra
     return stack_years([main, base, history], numeric=VALUE_COLUMNS)
 
 
+def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
+    """Cut the lineage of a frame that several later stages read: an eager
+    ``checkpoint()`` into the shared folder named by ``spark.checkpoint.dir``
+    (reliable storage, so a lost executor does not force a recompute from
+    the raw files). ``how=None`` keeps the plan lazy."""
+    if how == "checkpoint":
+        return df.checkpoint(eager=True)
+    return df
+
+
 def register_panel(register_main: DataFrame, register_hist: DataFrame, main_years, base_year: int,
                    history_years, reference_year: int, opts: CleanOptions = CleanOptions(),
-                   mode: str = "previous_year") -> dict:
-    """C01-C04 wired together; returns every stage by name."""
-    dictionary = fit_fsa_dictionary(register_main, reference_year, opts)
-    main = clean_main_year(register_main, main_years, dictionary, opts)
-    base = clean_base_year(register_hist, base_year, dictionary, main, opts)
-    hist = clean_history(register_hist, base_year, history_years, dictionary, main, opts, mode)
+                   mode: str = "previous_year", persist: str | None = "checkpoint") -> dict:
+    """C01-C04 wired together; returns every stage by name.
+
+    The dictionary, the clean main years and the prepared history rows are
+    each read by several stages (main output, two zone backfills, base and
+    history priors), so they are materialized once (``persist``) instead of
+    re-running their scans and dedup shuffles per reader."""
+    dictionary = materialize(fit_fsa_dictionary(register_main, reference_year, opts), persist)
+    main = materialize(clean_main_year(register_main, main_years, dictionary, opts), persist)
+    rows = materialize(prepare_history(register_hist, [base_year, *history_years], dictionary, opts), persist)
+    base = base_from_rows(rows, base_year, main)
+    hist = history_from_rows(rows, base_year, history_years, main, mode)
     return {"dictionary": dictionary, "main": main, "base": base, "history": hist,
             "panel": build_panel(main, base, hist)}
