@@ -46,16 +46,18 @@ def fit_categories(df: DataFrame, col: str, max_categories: int = 4096) -> DataF
     values, numbered in alphabetical order (repeatable), with the one-hot
     text of width n = number of values.
 
-    The distinct values are reduced by a partial+final aggregate; only the
-    dictionary itself (checked to hold at most ``max_categories`` rows, the
-    job fails otherwise) is ranked in one partition and later broadcast."""
+    The distinct values are reduced by a partial+final aggregate. Their number
+    is checked first with a distributed ``limit(max_categories + 1).count()``
+    (it stops early and fails the fit when the bound is exceeded), so the
+    single-partition ranking below - and the broadcast of the dictionary in
+    :func:`encode_categories` - only ever see a proven-small table. The count
+    is a fitted parameter, like the vocabulary size of any encoder."""
     vals = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-    ranked = (vals.withColumn("idx", F.row_number().over(Window.orderBy("value")) - 1)
-                  .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy())))
-    too_many = F.raise_error(F.concat(F.lit(f"category dictionary of '{col}' exceeds {max_categories} values: "),
-                                      F.col("n").cast("string")))
-    code = F.when(F.col("n") > F.lit(max_categories), too_many).otherwise(onehot_text(F.col("idx"), F.col("n")))
-    return ranked.select("value", F.col("idx").cast("int").alias("idx"), code.alias("code"))
+    n = vals.limit(max_categories + 1).count()
+    if n > max_categories:
+        raise ValueError(f"category dictionary of '{col}' exceeds {max_categories} values")
+    ranked = vals.withColumn("idx", (F.row_number().over(Window.orderBy("value")) - 1).cast("int"))
+    return ranked.select("value", "idx", onehot_text(F.col("idx"), n).alias("code"))
 
 
 def encode_categories(df: DataFrame, col: str, dictionary: DataFrame, unseen: str = "null",

@@ -151,19 +151,64 @@ def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
     return df
 
 
-def register_panel(register_main: DataFrame, register_hist: DataFrame, main_years, base_year: int,
-                   history_years, reference_year: int, opts: CleanOptions = CleanOptions(),
-                   mode: str = "previous_year", persist: str | None = "checkpoint") -> dict:
-    """C01-C04 wired together; returns every stage by name.
+class RegisterPanel:
+    """C01-C04 wired together, built on first use.
 
     The dictionary, the clean main years and the prepared history rows are
     each read by several stages (main output, two zone backfills, base and
-    history priors), so they are materialized once (``persist``) instead of
-    re-running their scans and dedup shuffles per reader."""
-    dictionary = materialize(fit_fsa_dictionary(register_main, reference_year, opts), persist)
-    main = materialize(clean_main_year(register_main, main_years, dictionary, opts), persist)
-    rows = materialize(prepare_history(register_hist, [base_year, *history_years], dictionary, opts), persist)
-    base = base_from_rows(rows, base_year, main)
-    hist = history_from_rows(rows, base_year, history_years, main, mode)
-    return {"dictionary": dictionary, "main": main, "base": base, "history": hist,
-            "panel": build_panel(main, base, hist)}
+    history priors), so each is materialized once (``persist``) when first
+    needed, instead of re-running its scans and dedup shuffles per reader.
+    Index by stage name: ``dictionary``, ``main``, ``rows``, ``base``,
+    ``history``, ``panel``."""
+
+    def __init__(self, register_main: DataFrame, register_hist: DataFrame, main_years, base_year: int,
+                 history_years, reference_year: int, opts: CleanOptions = CleanOptions(),
+                 mode: str = "previous_year", persist: str | None = "checkpoint"):
+        self.register_main, self.register_hist = register_main, register_hist
+        self.main_years, self.base_year, self.history_years = list(main_years), base_year, list(history_years)
+        self.reference_year, self.opts, self.mode, self.persist = reference_year, opts, mode, persist
+        self._done: dict = {}
+
+    def _once(self, name, build):
+        if name not in self._done:
+            self._done[name] = build()
+        return self._done[name]
+
+    @property
+    def dictionary(self) -> DataFrame:
+        return self._once("dictionary", lambda: materialize(
+            fit_fsa_dictionary(self.register_main, self.reference_year, self.opts), self.persist))
+
+    @property
+    def main(self) -> DataFrame:
+        return self._once("main", lambda: materialize(
+            clean_main_year(self.register_main, self.main_years, self.dictionary, self.opts), self.persist))
+
+    @property
+    def rows(self) -> DataFrame:
+        return self._once("rows", lambda: materialize(
+            prepare_history(self.register_hist, [self.base_year, *self.history_years], self.dictionary, self.opts),
+            self.persist))
+
+    @property
+    def base(self) -> DataFrame:
+        return base_from_rows(self.rows, self.base_year, self.main)
+
+    @property
+    def history(self) -> DataFrame:
+        return history_from_rows(self.rows, self.base_year, self.history_years, self.main, self.mode)
+
+    @property
+    def panel(self) -> DataFrame:
+        return build_panel(self.main, self.base, self.history)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+
+def register_panel(register_main: DataFrame, register_hist: DataFrame, main_years, base_year: int,
+                   history_years, reference_year: int, opts: CleanOptions = CleanOptions(),
+                   mode: str = "previous_year", persist: str | None = "checkpoint") -> RegisterPanel:
+    """See :class:`RegisterPanel`."""
+    return RegisterPanel(register_main, register_hist, main_years, base_year, history_years, reference_year,
+                         opts, mode, persist)

@@ -45,7 +45,9 @@ def test_every_query_has_an_oracle_or_is_a_model():
 
 FAST = ["c04_build_panel", "c05_yearly_indicators", "c06_monthly_indicators", "j05_model_table", "d01_dedup_by_key",
         "f01_encode_categories", "j02_prior_value", "e03_rmse_by_class", "s01_scan_register", "a06_quality_report",
-        "t13_code_to_array", "r02_hash_split"]
+        "t13_code_to_array", "r02_hash_split", "s02_scan_register_hist", "s03_scan_years", "s04_scan_rates",
+        "s05_scan_header_only", "s06_scan_whitespace", "s10_write_delimited", "u02_stack_years", "t04_onehot_text",
+        "m04_fit_per_class_regression", "a08_correlate_with", "c07_write_model_sets", "w12_valid_vector"]
 
 
 @pytest.mark.parametrize("name", FAST)
