@@ -1,5 +1,6 @@
 """DataFrame operators."""
 
+from panelkit.operators.broadcast import MAX_BROADCAST_ROWS, broadcast_bounded
 from panelkit.operators.encode import (
     LEGAL_TYPES, ZONE_CODES, ZONE_NAMES, encode_categories, encode_legal, encode_zone, fit_categories,
     map_values, map_values_expr, onehot_strings, zone_mapping,

@@ -1,0 +1,20 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for a broadcast join only when it is proven small.
+
+    A distributed ``limit(max_rows + 1).count()`` checks the size (it stops
+    early on a large input). Within the bound the frame is broadcast, so the
+    other side is not shuffled at all; beyond it the frame is returned
+    unhinted and the join falls back to a shuffle join (sort-merge, with
+    adaptive skew splitting)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions._util import as_col
 from panelkit.functions.text import onehot_text
+from panelkit.operators.broadcast import broadcast_bounded
 
 # Zone category names and the code each one stands for.
 ZONE_NAMES = ("One Family Dwelling", "Two Family Dwelling", "Multiple Family Dwelling",
@@ -65,12 +66,13 @@ def encode_categories(df: DataFrame, col: str, dictionary: DataFrame, unseen: st
     """F01 apply: replace ``col`` by its dictionary ``code`` (or ``idx``).
 
     ``unseen``: ``'null'`` (default), ``'keep'`` (raw value stays, the old
-    behaviour) or ``'error'``. The dictionary is broadcast: its size is
-    bounded by :func:`fit_categories`."""
+    behaviour) or ``'error'``. The dictionary is broadcast after a size
+    check (a fitted one is bounded by :func:`fit_categories`); a dictionary
+    beyond the bound is joined by a shuffle join instead."""
     if unseen not in ("null", "keep", "error"):
         raise ValueError("unseen must be 'null', 'keep' or 'error'")
     d = dictionary.select(F.col("value").alias("_dict_key"), F.col(value).cast("string").alias("_dict_code"))
-    joined = df.join(F.broadcast(d), F.col(col) == F.col("_dict_key"), "left")
+    joined = df.join(broadcast_bounded(d), F.col(col) == F.col("_dict_key"), "left")
     code = F.col("_dict_code")
     if unseen == "keep":
         code = F.coalesce(code, F.col(col).cast("string"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions._util import as_col
 from panelkit.functions.buckets import month_bucket, split_bucket, year_bucket
+from panelkit.operators.broadcast import MAX_BROADCAST_ROWS, broadcast_bounded
 
 EXACT = "decimal(30,10)"
 
@@ -66,8 +67,9 @@ def join_indicators(left: DataFrame, right: DataFrame, on: str = "year") -> Data
     return left.join(right, on, "inner")
 
 
-def model_table(panel: DataFrame, indicators: DataFrame, on: str = "year") -> DataFrame:
-    """Panel x indicators. The indicator side holds one row per bucket
-    (a calendar-bounded size), so it is broadcast and the panel is not
-    shuffled at all."""
-    return panel.join(F.broadcast(indicators), on, "inner")
+def model_table(panel: DataFrame, indicators: DataFrame, on: str = "year",
+                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Panel x indicators. The indicator side holds one row per bucket;
+    once its size is checked it is broadcast and the panel is not shuffled
+    at all (beyond the bound: a shuffle join)."""
+    return panel.join(broadcast_bounded(indicators, max_broadcast_rows), on, "inner")

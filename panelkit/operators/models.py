@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from panelkit.functions.predicates import all_not_null
 from panelkit.functions.text import BAND_BOUNDS, band_index
+from panelkit.operators.broadcast import broadcast_bounded
 from panelkit.operators.evaluate import accuracy, rmse_by_class
 
 
@@ -77,10 +78,10 @@ def fit_per_class_regression(df: DataFrame, class_col: str, feature_cols, label:
 def predict_per_class(df: DataFrame, coefficients: DataFrame, class_col: str, feature_cols,
                       out: str = "predicted_value") -> DataFrame:
     """Score rows with the regression of their class. The coefficient table
-    has one row per class, so it is broadcast."""
+    has one row per class; after the size check it is broadcast."""
     c = coefficients.select(F.col("class").alias("_cls"), F.col("intercept").alias("_b0"),
                             F.col("coefficients").alias("_b"))
-    joined = df.join(F.broadcast(c), F.col(class_col).cast("double") == F.col("_cls"), "left")
+    joined = df.join(broadcast_bounded(c), F.col(class_col).cast("double") == F.col("_cls"), "left")
     pred = F.col("_b0")
     for i, f in enumerate(feature_cols):
         pred = pred + F.element_at(F.col("_b"), i + 1) * F.col(f).cast("double")
