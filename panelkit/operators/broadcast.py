@@ -11,10 +11,14 @@ MAX_BROADCAST_ROWS = 100_000
 def broadcast_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for a broadcast join only when it is proven small.
 
-    A distributed ``limit(max_rows + 1).count()`` checks the size (it stops
-    early on a large input). Within the bound the frame is broadcast, so the
-    other side is not shuffled at all; beyond it the frame is returned
-    unhinted and the join falls back to a shuffle join (sort-merge, with
-    adaptive skew splitting)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    At most ``max_rows + 1`` rows of ``df`` are materialized once (a
+    checkpoint in the shared folder; the limit keeps this bounded even for a
+    large input) and counted. Within the bound that copy *is* the whole
+    frame and is what gets broadcast, so the small side is computed once and
+    the other side is not shuffled at all. Beyond the bound the original
+    frame is returned unhinted and the join falls back to a shuffle join
+    (sort-merge, with adaptive skew splitting)."""
+    head = df.limit(max_rows + 1).checkpoint(eager=True)
+    if head.count() <= max_rows:
+        return F.broadcast(head)
+    return df

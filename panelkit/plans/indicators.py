@@ -55,6 +55,7 @@ def monthly_indicators(conversion: DataFrame, oil: DataFrame, interest: DataFram
                            interest_column, "interestrates", rounding=None, value_type="decimal(4,2)")
     conv_m = conversion_monthly(conversion, date_format, exclude)
     oil_m = oil.select(month_bucket("date").alias("month"), F.col("oilprice").try_cast("double").alias("oilprice"))
-    joined = oil_m.join(broadcast_bounded(rate_m), "month").join(broadcast_bounded(conv_m), "month")
+    monthly = rate_m.join(conv_m, "month")  # month x month: both one row per month
+    joined = oil_m.join(broadcast_bounded(monthly), "month")
     y, m = split_bucket("month")
     return joined.select(y.alias("year"), m.alias("month"), "interestrates", "oilprice", "conversionrate")
