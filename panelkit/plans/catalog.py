@@ -6,7 +6,7 @@ the matching oracle SQL) because two engines may sum in different orders."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions import (
@@ -347,9 +347,9 @@ def t03_onehot_text(spark, d):
 
 
 def t04_onehot_text(spark, d):
-    n = S.table(spark, d, "nation", "n_nationkey", "n_name")
-    width = F.count(F.lit(1)).over(Window.partitionBy())
-    return n.select("n_nationkey", onehot_text(F.col("n_nationkey"), width).alias("code"))
+    """The codes of all n values; n is counted once (a fitted width)."""
+    n = S.table(spark, d, "nation", "n_nationkey")
+    return n.select("n_nationkey", onehot_text(F.col("n_nationkey"), n.count()).alias("code"))
 
 
 def t05_month_bucket(spark, d):

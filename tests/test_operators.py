@@ -122,3 +122,23 @@ def test_per_class_regression_matches_closed_form(spark):
     got = {r["class"]: r for r in fit_per_class_regression(df, "cls", ["x"], "y").collect()}
     assert abs(got[0.0].intercept - 3.0) < 1e-9 and abs(got[0.0].coefficients[0] - 2.0) < 1e-9
     assert abs(got[1.0].intercept - 1.0) < 1e-9 and abs(got[1.0].coefficients[0] + 1.0) < 1e-9
+
+
+def test_two_stage_model_learns_separable_bands(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from panelkit.operators import two_stage_model
+    rows = []
+    for i in range(240):
+        band = i % 3
+        x = band * 10.0 + (i % 7) / 10.0
+        value = [100000.0, 500000.0, 800000.0][band] + 1000.0 * (i % 7)
+        rows.append((i, x, float(i % 7), value))
+    df = spark.createDataFrame(rows, "k int, x double, z double, curVal double") \
+        .withColumn("features", array_to_vector(F.array("x", "z")))
+    train = df.where(F.col("k") % 4 != 0)
+    test = df.where(F.col("k") % 4 == 0)
+    res = two_stage_model(train, test, "curVal", "features", ("z",))
+    assert res.accuracy.first().accuracy > 0.95
+    for r in res.rmse_by_class.collect():
+        assert r.rmse < 1.0
