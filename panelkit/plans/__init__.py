@@ -5,7 +5,7 @@ from panelkit.plans.model import (
     labelled_model_table, prepare_training, read_model_set, train_value_model, write_model_sets,
 )
 from panelkit.plans.register import (
-    PANEL_COLUMNS, CleanOptions, RegisterPanel, base_from_rows, build_panel, clean_base_year, clean_history, clean_main_year,
+    PANEL_COLUMNS, CleanOptions, RegisterPanel, base_from_rows, build_panel, clean_base_year, clean_history, clean_main_year, encode_main,
     fit_fsa_dictionary, history_from_rows, materialize, prepare_history, register_panel, select_valid,
 )
 

@@ -86,11 +86,12 @@ register AS (
   LEFT JOIN sums p ON o.o_custkey = p.o_custkey AND o.yr = p.yr + 1)"""
 
 
-def _valid(name, years, cols, require_zone):
+def _valid(name, years, cols, require_zone, zone_exempt=()):
     order = ", ".join(c for c in cols if c not in ("PID", "taxAssess"))
     cond = "COALESCE(TRIM(PID), '') <> ''"
     if require_zone:
-        cond += " AND COALESCE(TRIM(zoneName), '') <> ''"
+        exempt = f" OR taxAssess IN ({_in(zone_exempt)})" if zone_exempt else ""
+        cond += f" AND (COALESCE(TRIM(zoneName), '') <> ''{exempt})"
     return f""",
 {name} AS (
   SELECT {', '.join(cols)}, {_t01('postalCode')} AS FSA FROM (
@@ -98,12 +99,12 @@ def _valid(name, years, cols, require_zone):
     FROM register WHERE taxAssess IN ({_in(years)}) AND {cond}) WHERE rn = 1)"""
 
 
-PANEL_SQL = REGISTER + _valid("ref_valid", [S.REFERENCE_YEAR], MAIN_10, False) + """,
+PANEL_SQL = REGISTER + _valid("main_valid", S.MAIN_YEARS, MAIN_10, True, [S.REFERENCE_YEAR]) + """,
+ref_valid AS (SELECT * FROM main_valid WHERE taxAssess = '""" + str(S.REFERENCE_YEAR) + """'),
 dict AS (
   SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS idx, COUNT(*) OVER () AS n
   FROM (SELECT DISTINCT FSA AS value FROM ref_valid WHERE FSA IS NOT NULL)),
-dict_code AS (SELECT value, idx, """ + _onehot("idx", "n") + """ AS code FROM dict)""" \
-    + _valid("main_valid", S.MAIN_YEARS, MAIN_10, True) + """,
+dict_code AS (SELECT value, idx, """ + _onehot("idx", "n") + """ AS code FROM dict),
 main AS (
   SELECT v.PID, """ + _legal("v.legalType") + """ AS legalType, """ + _zone_map("v.zc") + """ AS zoneCat,
          TRY_CAST(v.curVal AS DOUBLE) AS curVal, TRY_CAST(v.curImpVal AS DOUBLE) AS curImpVal,

@@ -45,13 +45,19 @@ def _years(df: DataFrame, years) -> DataFrame:
     return df.where(F.col("taxAssess").isin([str(y) for y in years]))
 
 
-def select_valid(register: DataFrame, years, columns, opts: CleanOptions, require_zone: bool) -> DataFrame:
-    """W01 + W02 (+ W03), then D01 per key and year, then T01 (FSA)."""
+def select_valid(register: DataFrame, years, columns, opts: CleanOptions, require_zone: bool,
+                 zone_exempt=()) -> DataFrame:
+    """W01 + W02 (+ W03, except for the ``zone_exempt`` years), then D01 per
+    key and year, then T01 (FSA). Filters come before the dedup, so a row
+    that fails them can never be the one kept."""
     cond = has_key("PID")
     if opts.postal_len is not None:
         cond = cond & has_length("postalCode", opts.postal_len)
     if require_zone:
-        cond = cond & has_value("zoneName")
+        zone_ok = has_value("zoneName")
+        if zone_exempt:
+            zone_ok = zone_ok | F.col("taxAssess").isin([str(y) for y in zone_exempt])
+        cond = cond & zone_ok
     rows = _years(register, years).where(cond).select(*columns)
     rows = dedup_by_key(rows, ["PID", "taxAssess"])
     return rows.withColumn("FSA", prefix_before("postalCode", " ", strip=True))
@@ -76,17 +82,23 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def clean_main_year(register: DataFrame, years, dictionary: DataFrame,
-                    opts: CleanOptions = CleanOptions()) -> DataFrame:
-    """S01 W01 W02 W03 D01 T01 F01 P07 F02 F03 P02; one row per key and year."""
-    rows = select_valid(register, years, MAIN_SELECT, opts, require_zone=True)
-    rows = encode_categories(rows, "FSA", dictionary, unseen=opts.unseen)
+def encode_main(valid: DataFrame, dictionary: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """F01 P07 F02 F03 P02 on rows from :func:`select_valid`."""
+    rows = encode_categories(valid, "FSA", dictionary, unseen=opts.unseen)
     rows = fill_from(rows, "zoneCat", "zoneName", lambda c: prefix_before(c, "-", missing=opts.zone_missing))
     rows = encode_zone(rows, "zoneCat", opts.zone_names, opts.zone_codes)
     rows = encode_legal(rows, "legalType", opts.legal_values)
     return _typed(rows)
 
 
+def clean_main_year(register: DataFrame, years, dictionary: DataFrame,
+                    opts: CleanOptions = CleanOptions(), zone_exempt=()) -> DataFrame:
+    """S01 W01 W02 W03 D01 T01 F01 P07 F02 F03 P02; one row per key and
+    year. The zone filter (W03) is not applied to ``zone_exempt`` years (the
+    reference year was cleaned without it)."""
+    return encode_main(select_valid(register, years, MAIN_SELECT, opts, True, zone_exempt), dictionary, opts)
+
+
 def _history_rows(register: DataFrame, years, dictionary: DataFrame, opts: CleanOptions) -> DataFrame:
     rows = select_valid(register, years, HISTORY_SELECT, opts, require_zone=False)
     rows = encode_categories(rows, "FSA", dictionary, unseen=opts.unseen)
@@ -158,8 +170,8 @@ class RegisterPanel:
     each read by several stages (main output, two zone backfills, base and
     history priors), so each is materialized once (``persist``) when first
     needed, instead of re-running its scans and dedup shuffles per reader.
-    Index by stage name: ``dictionary``, ``main``, ``rows``, ``base``,
-    ``history``, ``panel``."""
+    Index by stage name: ``valid_main``, ``dictionary``, ``main``, ``rows``,
+    ``base``, ``history``, ``panel``."""
 
     def __init__(self, register_main: DataFrame, register_hist: DataFrame, main_years, base_year: int,
                  history_years, reference_year: int, opts: CleanOptions = CleanOptions(),
@@ -174,15 +186,24 @@ class RegisterPanel:
             self._done[name] = build()
         return self._done[name]
 
+    @property
+    def valid_main(self) -> DataFrame:
+        """All main years filtered and deduplicated in one pass (the reference
+        year without the zone filter)."""
+        return self._once("valid_main", lambda: materialize(
+            select_valid(self.register_main, self.main_years, MAIN_SELECT, self.opts, True,
+                         zone_exempt=[self.reference_year]), self.persist))
+
     @property
     def dictionary(self) -> DataFrame:
+        ref = self.valid_main.where(F.col("taxAssess") == F.lit(str(self.reference_year)))
         return self._once("dictionary", lambda: materialize(
-            fit_fsa_dictionary(self.register_main, self.reference_year, self.opts), self.persist))
+            fit_categories(ref, "FSA", self.opts.max_categories), self.persist))
 
     @property
     def main(self) -> DataFrame:
         return self._once("main", lambda: materialize(
-            clean_main_year(self.register_main, self.main_years, self.dictionary, self.opts), self.persist))
+            encode_main(self.valid_main, self.dictionary, self.opts), self.persist))
 
     @property
     def rows(self) -> DataFrame:
