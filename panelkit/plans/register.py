@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -154,13 +155,22 @@ def build_panel(main: DataFrame, base: DataFrame, history: DataFrame) -> DataFra
 
 
 def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
-    """Cut the lineage of a frame that several later stages read: an eager
-    ``checkpoint()`` into the shared folder named by ``spark.checkpoint.dir``
-    (reliable storage, so a lost executor does not force a recompute from
-    the raw files). ``how=None`` keeps the plan lazy."""
+    """Materialize a frame that several later stages read.
+
+    ``'checkpoint'``: eager ``checkpoint()`` into the shared folder named by
+    ``spark.checkpoint.dir`` - reliable storage that cuts the lineage, so a
+    lost executor does not force a recompute from the raw files.
+    ``'cache'``: memory-and-disk cache (lost blocks are recomputed from the
+    lineage; release with ``unpersist`` after the sink). ``None``: lazy."""
     if how == "checkpoint":
         return df.checkpoint(eager=True)
-    return df
+    if how == "cache":
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()
+        return out
+    if how is None:
+        return df
+    raise ValueError("persist must be 'checkpoint', 'cache' or None")
 
 
 class RegisterPanel:
