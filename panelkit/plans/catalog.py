@@ -26,7 +26,7 @@ from panelkit.operators import (
 from panelkit.plans import standins as S
 from panelkit.plans.indicators import conversion_monthly, monthly_indicators, yearly_indicators
 from panelkit.plans.model import labelled_model_table, read_model_set, train_value_model, write_model_sets
-from panelkit.plans.register import CleanOptions, register_panel
+from panelkit.plans.register import CleanOptions, materialize, register_panel
 from panelkit.session import scratch_dir
 from panelkit.sources import (
     HISTORY_COLUMNS, as_view, parse_whitespace, preview, row_count, scan_header_only, scan_parquet, scan_rates,
@@ -57,7 +57,7 @@ def reg(spark, d):
 def stages(spark, d, mode="previous_year"):
     # the stand-in register plays the yearly files: materialize it once, as
     # those would be on disk, instead of re-deriving it for every reader
-    r = reg(spark, d).checkpoint(eager=True)
+    r = materialize(reg(spark, d), "table")
     return register_panel(r, S.history_rows(r), S.MAIN_YEARS, S.BASE_YEAR, S.HISTORY_YEARS,
                           S.REFERENCE_YEAR, opts(), mode)
 

@@ -18,6 +18,7 @@ from panelkit.operators.encode import (
     LEGAL_TYPES, ZONE_CODES, ZONE_NAMES, encode_categories, encode_legal, encode_zone, fit_categories,
 )
 from panelkit.operators.keys import dedup_by_key
+from panelkit.session import scratch_dir
 from panelkit.operators.panel import backfill_attribute, fill_from, impute_prior, prior_value, stack_years
 
 PANEL_COLUMNS = ("PID", "legalType", "zoneCat", "curVal", "curImpVal", "year", "preVal", "preImpVal", "FSA")
@@ -157,11 +158,18 @@ def build_panel(main: DataFrame, base: DataFrame, history: DataFrame) -> DataFra
 def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
     """Materialize a frame that several later stages read.
 
-    ``'checkpoint'``: eager ``checkpoint()`` into the shared folder named by
-    ``spark.checkpoint.dir`` - reliable storage that cuts the lineage, so a
-    lost executor does not force a recompute from the raw files.
+    ``'table'`` (default of the pipeline): written once as a Parquet table
+    in a new folder below ``spark.checkpoint.dir`` (the shared folder read
+    from the session) and read back. This cuts the lineage on reliable
+    storage, and unlike a checkpoint every reader still gets column pruning
+    and filter pushdown on it.
+    ``'checkpoint'``: eager ``checkpoint()`` into the same shared folder.
     ``'cache'``: memory-and-disk cache (lost blocks are recomputed from the
     lineage; release with ``unpersist`` after the sink). ``None``: lazy."""
+    if how == "table":
+        path = scratch_dir(df.sparkSession, "stage")
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
     if how == "checkpoint":
         return df.checkpoint(eager=True)
     if how == "cache":
@@ -170,7 +178,7 @@ def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
         return out
     if how is None:
         return df
-    raise ValueError("persist must be 'checkpoint', 'cache' or None")
+    raise ValueError("persist must be 'table', 'checkpoint', 'cache' or None")
 
 
 class RegisterPanel:
@@ -185,7 +193,7 @@ class RegisterPanel:
 
     def __init__(self, register_main: DataFrame, register_hist: DataFrame, main_years, base_year: int,
                  history_years, reference_year: int, opts: CleanOptions = CleanOptions(),
-                 mode: str = "previous_year", persist: str | None = "checkpoint"):
+                 mode: str = "previous_year", persist: str | None = "table"):
         self.register_main, self.register_hist = register_main, register_hist
         self.main_years, self.base_year, self.history_years = list(main_years), base_year, list(history_years)
         self.reference_year, self.opts, self.mode, self.persist = reference_year, opts, mode, persist
@@ -239,7 +247,7 @@ class RegisterPanel:
 
 def register_panel(register_main: DataFrame, register_hist: DataFrame, main_years, base_year: int,
                    history_years, reference_year: int, opts: CleanOptions = CleanOptions(),
-                   mode: str = "previous_year", persist: str | None = "checkpoint") -> RegisterPanel:
+                   mode: str = "previous_year", persist: str | None = "table") -> RegisterPanel:
     """See :class:`RegisterPanel`."""
     return RegisterPanel(register_main, register_hist, main_years, base_year, history_years, reference_year,
                          opts, mode, persist)
