@@ -6,11 +6,11 @@ the matching oracle SQL) because two engines may sum in different orders."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import (
-    as_date, band_value, code_to_array, concat_codes, date_between, date_from, drop_sentinel, exclude_year,
+    band_value, code_to_array, concat_codes, date_between, date_from, drop_sentinel, exclude_year,
     has_key, has_length, has_value, month_bucket, not_null, numeric_prefix, onehot_text, prefix_before,
     split_bucket, valid_code, year_bucket,
 )
@@ -18,14 +18,14 @@ from panelkit.operators import (
     accuracy, apply_feature_pipeline, assemble_features, backfill_attribute, cast_numeric, complete_cases,
     correlate_with, correlation_list, dedup_by_key, describe_numeric, distinct_values, encode_categories,
     encode_legal, encode_zone, fill_from, fit_band_classifier, fit_categories, fit_feature_pipeline,
-    fit_per_class_regression, fit_standardizer, impute_prior, join_indicators, map_values, mean_by_month,
+    fit_per_class_regression, impute_prior, join_indicators, map_values, mean_by_month,
     mean_by_year, model_table, pca_project, predict_band, predict_per_class, prior_value, project,
     project_rename, quality_report, resample_month_to_year, rmse, rmse_by_class, scale_year, split_label,
     stack_years, standardize, two_stage_model, weight_by_correlation,
 )
 from panelkit.plans import standins as S
 from panelkit.plans.indicators import conversion_monthly, monthly_indicators, yearly_indicators
-from panelkit.plans.model import labelled_model_table, read_model_set, train_value_model, write_model_sets
+from panelkit.plans.model import read_model_set, train_value_model, write_model_sets
 from panelkit.plans.register import CleanOptions, materialize, register_panel
 from panelkit.session import scratch_dir
 from panelkit.sources import (
