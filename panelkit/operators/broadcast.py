@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.session import ensure_checkpoint_dir
+
 MAX_BROADCAST_ROWS = 100_000
 
 
@@ -18,6 +20,7 @@ def broadcast_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     the other side is not shuffled at all. Beyond the bound the original
     frame is returned unhinted and the join falls back to a shuffle join
     (sort-merge, with adaptive skew splitting)."""
+    ensure_checkpoint_dir(df.sparkSession)
     head = df.limit(max_rows + 1).checkpoint(eager=True)
     if head.count() <= max_rows:
         return F.broadcast(head)

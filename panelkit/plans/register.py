@@ -18,7 +18,7 @@ from panelkit.operators.encode import (
     LEGAL_TYPES, ZONE_CODES, ZONE_NAMES, encode_categories, encode_legal, encode_zone, fit_categories,
 )
 from panelkit.operators.keys import dedup_by_key
-from panelkit.session import scratch_dir
+from panelkit.session import ensure_checkpoint_dir, scratch_dir
 from panelkit.operators.panel import backfill_attribute, fill_from, impute_prior, prior_value, stack_years
 
 PANEL_COLUMNS = ("PID", "legalType", "zoneCat", "curVal", "curImpVal", "year", "preVal", "preImpVal", "FSA")
@@ -171,6 +171,7 @@ def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
         df.write.parquet(path)
         return df.sparkSession.read.parquet(path)
     if how == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
     if how == "cache":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
