@@ -109,8 +109,15 @@ class FeatureParams:
 
 def fit_feature_pipeline(train: DataFrame, scaled=("curImpVal", "preVal", "preImpVal", "interestrates",
                                                    "oilprice", "conversionrate"), year: str = "year") -> FeatureParams:
-    """F10 fit: z-score statistics and the year range, from the training rows only."""
-    return FeatureParams(tuple(scaled), fit_standardizer(train, scaled), fit_year_scale(train, year))
+    """F10 fit: z-score statistics and the year range, from the training rows
+    only, in one aggregation pass."""
+    scaled = tuple(scaled)
+    y = F.col(year).try_cast("double")
+    row = train.agg(*[F.avg(F.col(c).try_cast("double")).alias(f"m{i}") for i, c in enumerate(scaled)],
+                    *[F.stddev_samp(F.col(c).try_cast("double")).alias(f"s{i}") for i, c in enumerate(scaled)],
+                    F.min(y).alias("lo"), F.max(y).alias("hi")).first()
+    stats = {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(scaled)}
+    return FeatureParams(scaled, stats, (row["lo"], row["hi"]))
 
 
 def apply_feature_pipeline(df: DataFrame, params: FeatureParams, code_cols=CODE_BLOCKS,
