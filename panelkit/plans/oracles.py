@@ -67,8 +67,9 @@ _GIVEN = {
 
 BASE = """
 per_order AS (
-  SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS ext, first(p_name ORDER BY l_linenumber, p_name) AS pname
-  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
+  SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS ext,
+         first(p_name ORDER BY l_linenumber, p_name NULLS FIRST) AS pname
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
 o AS (
   SELECT orders.*, CAST(year(o_orderdate) AS INTEGER) AS yr, per_order.ext, per_order.pname
   FROM orders LEFT JOIN per_order ON o_orderkey = l_orderkey),

@@ -9,7 +9,7 @@ tables:
   PID = o_custkey, folio = o_orderkey, legalType = o_orderstatus,
   zoneName = o_orderpriority (zoneCat empty, filled from it),
   postalCode = part name of the order's first line, ties on the line number
-  broken by the name (FSA = its first word),
+  broken by the name, NULL first (FSA = its first word),
   curVal / curImpVal = the key's totals of o_totalprice / l_extendedprice in
   the year, preVal / preImpVal = the same totals of the year before,
   taxAssess = year(o_orderdate). Several orders of a key in a year are the
@@ -49,15 +49,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
-def _orders_with_totals(spark: SparkSession, sf_dir: str):
+def _orders_with_totals(spark: SparkSession, sf_dir: str, with_part_name: bool = False):
+    """Orders with their year and line total (lineitem alone: the totals do
+    not depend on part), plus - only for the register - the part name of
+    the order's first line (a left join, so a missing part gives NULL)."""
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                    "o_orderdate", "o_orderpriority")
     lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
-    part = table(spark, sf_dir, "part", "p_partkey", "p_name")
-    per_order = (lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-                 .groupBy("l_orderkey")
-                 .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("ext"),
-                      F.min(F.struct("l_linenumber", "p_name")).getField("p_name").alias("pname")))
+    aggs = [F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("ext")]
+    if with_part_name:
+        part = table(spark, sf_dir, "part", "p_partkey", "p_name")
+        lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        aggs.append(F.min(F.struct("l_linenumber", "p_name")).getField("p_name").alias("pname"))
+    per_order = lines.groupBy("l_orderkey").agg(*aggs)
     o = (orders.withColumn("yr", F.year("o_orderdate"))
          .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
     sums = o.groupBy("o_custkey", "yr").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("cur"),
@@ -67,7 +71,7 @@ def _orders_with_totals(spark: SparkSession, sf_dir: str):
 
 def register_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register stand-in, 28 text columns, '' for missing (as scanned)."""
-    o, sums = _orders_with_totals(spark, sf_dir)
+    o, sums = _orders_with_totals(spark, sf_dir, with_part_name=True)
     prev = sums.select("o_custkey", (F.col("yr") + 1).alias("yr"), F.col("cur").alias("pcur"),
                        F.col("imp").alias("pimp"))
     reg = o.join(sums, ["o_custkey", "yr"]).join(prev, ["o_custkey", "yr"], "left")
