@@ -576,3 +576,28 @@ def t07_split_bucket(spark, d):
 
 
 QUERIES["t07_split_bucket"] = t07_split_bucket
+
+
+def c03_clean_history_base_year(spark, d):
+    """C03 with the compatibility switch ``mode='base_year'`` (what the old
+    script ran: every history year takes its prior from the base year)."""
+    return stages(spark, d, mode="base_year")["history"]
+
+
+def j01_backfill_attribute_left(spark, d):
+    """J01 with ``how='left'``: rows without a donor keep a NULL attribute."""
+    target = cy_panel(spark, d).where(F.col("year") < F.lit(min(S.MAIN_YEARS)))
+    donor = reg(spark, d).where(F.col("taxAssess").isin([str(y) for y in S.MAIN_YEARS])) \
+        .select("PID", F.col("taxAssess").cast("int").alias("year"), "zoneName")
+    return backfill_attribute(target, donor, "PID", ["zoneName"], ["year"], how="left")
+
+
+def w09_date_between_text_bounds(spark, d):
+    """W09 with ``text_bounds=True`` (old text comparison: the end month is
+    cut after its first day)."""
+    return interest(spark, d).where(date_between("date", "1996-01", "2000-12", text_bounds=True)) \
+        .select("date", "5y-fixed-posted")
+
+
+for _name in ("c03_clean_history_base_year", "j01_backfill_attribute_left", "w09_date_between_text_bounds"):
+    QUERIES[_name] = globals()[_name]

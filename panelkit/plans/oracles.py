@@ -242,6 +242,9 @@ def oracles() -> dict[str, str]:
                           "FROM lineitem WHERE l_shipdate >= DATE '1996-01-01'")
     q["w09_date_between"] = (f"SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, {INT_TEXT} AS \"5y-fixed-posted\" "
                              "FROM lineitem WHERE l_shipdate >= DATE '1996-01-01' AND l_shipdate < DATE '2001-01-01'")
+    q["w09_date_between_text_bounds"] = (f"SELECT * FROM (SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, "
+                                         f"{INT_TEXT} AS \"5y-fixed-posted\" FROM lineitem) "
+                                         "WHERE date >= '1996-01' AND date <= '2000-12'")
     q["w10_exclude_year"] = (f"SELECT {CONV_TEXT[0]} AS date, strftime(l_shipdate, '%Y/%m') AS month, "
                              f"{CONV_TEXT[1]} AS rate FROM lineitem WHERE year(l_shipdate) <> 2001")
     q["w12_valid_vector"] = w(PANEL_SQL) + (" SELECT PID, year, zoneCat || legalType || FSA AS code FROM main "
@@ -253,6 +256,8 @@ donor AS (SELECT PID, zoneName FROM (
   FROM register WHERE taxAssess IN ({_in(S.MAIN_YEARS)})) WHERE rn = 1)""") + (
         f" SELECT cy.PID, cy.year, cy.curVal, cy.curImpVal, donor.zoneName FROM cy JOIN donor ON cy.PID = donor.PID "
         f"WHERE cy.year < {min(S.MAIN_YEARS)}")
+    q["j01_backfill_attribute_left"] = q["j01_backfill_attribute"].replace(
+        "FROM cy JOIN donor ON cy.PID = donor.PID", "FROM cy LEFT JOIN donor ON cy.PID = donor.PID")
     q["j02_prior_value"] = w(BASE) + """ SELECT PID, year, curVal, curImpVal, pv AS preVal, piv AS preImpVal FROM (
   SELECT *, lag(year) OVER w AS py, lag(curVal) OVER w AS pv, lag(curImpVal) OVER w AS piv
   FROM cy WINDOW w AS (PARTITION BY PID ORDER BY year)) WHERE py = year - 1"""
@@ -353,6 +358,11 @@ FROM (SELECT {_band('curVal')} AS label, {_band('pv')} AS prediction FROM (
     q["c02_clean_base_year"] = w(PANEL_SQL) + f" SELECT {PANEL} FROM base"
     q["c03_clean_history"] = w(PANEL_SQL) + f" SELECT {PANEL} FROM history"
     q["c04_build_panel"] = w(PANEL_SQL) + f" SELECT {PANEL} FROM panel"
+    q["c03_clean_history_base_year"] = w(PANEL_SQL) + f""" SELECT h.PID, h.legalType, z.zoneCat, h.curVal,
+  h.curImpVal, h.year, b.curVal AS preVal, b.curImpVal AS preImpVal, h.FSA
+FROM hist_rows h JOIN hist_rows b ON h.PID = b.PID AND b.year = {S.BASE_YEAR}
+JOIN zone_donor z ON h.PID = z.PID
+WHERE h.year IN ({", ".join(str(y) for y in S.HISTORY_YEARS)})"""
     q["c05_yearly_indicators"] = w(SERIES) + " SELECT * FROM yearly"
     q["c06_monthly_indicators"] = w(SERIES, """
 int_month AS (
