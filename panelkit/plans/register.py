@@ -18,8 +18,9 @@ from panelkit.operators.encode import (
     LEGAL_TYPES, ZONE_CODES, ZONE_NAMES, encode_categories, encode_legal, encode_zone, fit_categories,
 )
 from panelkit.operators.keys import dedup_by_key
-from panelkit.session import ensure_checkpoint_dir, scratch_dir
 from panelkit.operators.panel import backfill_attribute, fill_from, impute_prior, prior_value, stack_years
+from panelkit.operators.quality import quality_report
+from panelkit.session import ensure_checkpoint_dir, scratch_dir
 
 PANEL_COLUMNS = ("PID", "legalType", "zoneCat", "curVal", "curImpVal", "year", "preVal", "preImpVal", "FSA")
 VALUE_COLUMNS = ("curVal", "curImpVal", "preVal", "preImpVal")
@@ -190,7 +191,7 @@ class RegisterPanel:
     history priors), so each is materialized once (``persist``) when first
     needed, instead of re-running its scans and dedup shuffles per reader.
     Index by stage name: ``valid_main``, ``dictionary``, ``main``, ``rows``,
-    ``base``, ``history``, ``panel``."""
+    ``base``, ``history``, ``panel``, ``quality``."""
 
     def __init__(self, register_main: DataFrame, register_hist: DataFrame, main_years, base_year: int,
                  history_years, reference_year: int, opts: CleanOptions = CleanOptions(),
@@ -242,6 +243,12 @@ class RegisterPanel:
     def panel(self) -> DataFrame:
         return build_panel(self.main, self.base, self.history)
 
+    @property
+    def quality(self) -> DataFrame:
+        """A06 over the panel: empty-or-NULL counts of every column in one
+        pass (the old per-step check ran one job per column)."""
+        return quality_report(self.panel)
+
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 

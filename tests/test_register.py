@@ -40,3 +40,5 @@ def test_register_panel_on_literals(spark):
     hist_rows = sorted((r.PID, r.year, r.preVal, r.zoneCat) for r in p["history"].collect())
     assert hist_rows == [("B", 2007, 50.0, "010000000")]  # 2009 has no 2008 row
     assert p["panel"].count() == 4 + 1 + 1
+    q = p["quality"].first()
+    assert q.rows == 6 and q.empty_FSA == 2 and q.empty_preVal == 0
