@@ -37,22 +37,43 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if _context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def _configured_dir(spark: SparkSession) -> str | None:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be a shared file system; it is read from the
     session. Only when nothing is configured (local tests) a folder under
     /tmp is created."""
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        return _configured_dir(spark) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = _configured_dir(spark)
     if not configured:
         configured = tempfile.mkdtemp(prefix="panelkit-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
@@ -61,7 +82,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:
     """A new, unique folder below the shared checkpoint folder."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    base = _configured_dir(spark) or ensure_checkpoint_dir(spark)
     if "://" not in base:
         base = os.path.abspath(base)
     return f"{base.rstrip('/')}/panelkit-{label}-{uuid.uuid4().hex[:12]}"
