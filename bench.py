@@ -2,8 +2,10 @@
 
 Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]
 and prints ONE JSON line. Each query is executed in full with a ``noop``
-write (no collect to the driver); C07 writes its Parquet sets, C08 fits
-and scores the models.
+write (no collect to the driver). C07 writes the training and testing
+sets; C08 is timed as its inventory composition defines it (S08 onward):
+scan the sets C07 just wrote, fit the models, score and evaluate - the
+panel is not rebuilt a second time for it.
 """
 
 from __future__ import annotations
@@ -35,10 +37,17 @@ def main() -> None:
     catalog.QUERIES["a04_mean_by_year"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     warmup = round(time.perf_counter() - t0, 3)
     times = {}
+    sets_dir = None
     for name in HEADLINE:
-        fn = catalog.QUERIES[name]
         t0 = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        if name == "c07_write_model_sets":
+            sets_dir = catalog.model_sets(spark, sf_dir)
+            df = spark.read.parquet(sets_dir)
+        elif name == "c08_train_value_model" and sets_dir is not None:
+            df = catalog.train_from_sets(spark, sets_dir)
+        else:
+            df = catalog.QUERIES[name](spark, sf_dir)
+        df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

@@ -549,21 +549,29 @@ def c06_monthly_indicators(spark, d):
     return rnd(m, "interestrates")
 
 
-def c07_write_model_sets(spark, d):
+def model_sets(spark, d) -> str:
+    """C07's sink: the folder holding the training and testing sets."""
     out = scratch_dir(spark, "model-sets")
-    ind = rnd(yearly(spark, d), "oilprice")
-    write_model_sets(stages(spark, d)["panel"], ind, out)
-    return spark.read.parquet(out)
+    write_model_sets(stages(spark, d)["panel"], rnd(yearly(spark, d), "oilprice"), out)
+    return out
 
 
-def c08_train_value_model(spark, d):
-    """Train on the sets C07 writes: the fits scan Parquet, not the lineage."""
-    out = scratch_dir(spark, "model-sets")
-    write_model_sets(stages(spark, d)["panel"], rnd(yearly(spark, d), "oilprice"), out)
+def c07_write_model_sets(spark, d):
+    return spark.read.parquet(model_sets(spark, d))
+
+
+def train_from_sets(spark, out: str):
+    """C08 proper (S08 onward): scan the written sets, fit, evaluate."""
     res = train_value_model(read_model_set(spark, out, "training"), read_model_set(spark, out, "testing"))
     return res["metrics"]
 
 
+def c08_train_value_model(spark, d):
+    """Standalone C08: writes the sets (C07) first, then trains on them, so
+    the fits scan Parquet instead of re-running the panel lineage."""
+    return train_from_sets(spark, model_sets(spark, d))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items())
            if callable(fn) and name[:1] in "spwjdautfrmec" and name[1:3].isdigit() and "_" in name}
 
