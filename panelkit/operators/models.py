@@ -39,7 +39,7 @@ COEF_SCHEMA = T.StructType([
 
 
 def fit_per_class_regression(df: DataFrame, class_col: str, feature_cols, label: str,
-                             ridge: float = 0.0) -> DataFrame:
+                             ridge: float = 0.0, max_classes: int = 1000) -> DataFrame:
     """Least squares per class from one grouped aggregation.
 
     Per class, Spark computes the means and the population covariances of
@@ -47,7 +47,9 @@ def fit_per_class_regression(df: DataFrame, class_col: str, feature_cols, label:
     merge-based aggregates, partial on the map side, so one huge class costs
     no more than many small ones). Only these d(d+3)/2+2 numbers per class
     reach the driver, where a d x d system is solved (minimum-norm if it is
-    singular, ``ridge`` adds to the diagonal). Result: one row per class,
+    singular, ``ridge`` adds to the diagonal). At most ``max_classes`` rows
+    are brought back (the fit fails beyond that: a class column is a small
+    label set, not a key). Result: one row per class,
     ``(class, n, intercept, coefficients)``."""
     feats = list(feature_cols)
     d = len(feats)
@@ -58,7 +60,10 @@ def fit_per_class_regression(df: DataFrame, class_col: str, feature_cols, label:
     aggs += [F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)]
     aggs += [F.covar_pop(x[i], y).alias(f"y{i}") for i in range(d)]
     clean = df.where(all_not_null([class_col, label, *feats]))
-    moments = clean.groupBy(F.col(class_col).cast("double").alias("_cls")).agg(*aggs).collect()
+    moments = clean.groupBy(F.col(class_col).cast("double").alias("_cls")).agg(*aggs) \
+        .limit(max_classes + 1).collect()
+    if len(moments) > max_classes:
+        raise ValueError(f"'{class_col}' has more than {max_classes} classes")
     rows = []
     for r in moments:
         cov = np.zeros((d, d))

@@ -142,3 +142,10 @@ def test_two_stage_model_learns_separable_bands(spark):
     assert res.accuracy.first().accuracy > 0.95
     for r in res.rmse_by_class.collect():
         assert r.rmse < 1.0
+
+
+def test_per_class_regression_refuses_a_key_as_class(spark):
+    df = spark.range(50).select(F.col("id").alias("cls"), F.col("id").cast("double").alias("x"),
+                                F.col("id").cast("double").alias("y"))
+    with pytest.raises(ValueError):
+        fit_per_class_regression(df, "cls", ["x"], "y", max_classes=10)
