@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.functions._util import as_col
 from panelkit.functions.text import onehot_text
 from panelkit.operators.broadcast import broadcast_bounded
+from panelkit.session import ensure_checkpoint_dir
 
 # Zone category names and the code each one stands for.
 ZONE_NAMES = ("One Family Dwelling", "Two Family Dwelling", "Multiple Family Dwelling",
@@ -47,14 +48,17 @@ def fit_categories(df: DataFrame, col: str, max_categories: int = 4096) -> DataF
     values, numbered in alphabetical order (repeatable), with the one-hot
     text of width n = number of values.
 
-    The distinct values are reduced by a partial+final aggregate. Their number
-    is checked first with a distributed ``limit(max_categories + 1).count()``
-    (it stops early and fails the fit when the bound is exceeded), so the
-    single-partition ranking below - and the broadcast of the dictionary in
-    :func:`encode_categories` - only ever see a proven-small table. The count
-    is a fitted parameter, like the vocabulary size of any encoder."""
-    vals = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-    n = vals.limit(max_categories + 1).count()
+    One pass over the input: the distinct values (partial + final
+    aggregate), cut at ``max_categories + 1`` rows, are checkpointed to the
+    shared folder; their count is read from that small copy and the fit
+    fails when the bound is exceeded. So the single-partition ranking below,
+    and the broadcast of the dictionary in :func:`encode_categories`, only
+    ever see a proven-small table. The count is a fitted parameter, like the
+    vocabulary size of any encoder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    vals = (df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
+              .limit(max_categories + 1).checkpoint(eager=True))
+    n = vals.count()
     if n > max_categories:
         raise ValueError(f"category dictionary of '{col}' exceeds {max_categories} values")
     ranked = vals.withColumn("idx", (F.row_number().over(Window.orderBy("value")) - 1).cast("int"))
