@@ -179,6 +179,19 @@ def _band(c):
 
 
 LI_NUM = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+# Queries whose rate columns are decimal(4,2); the check presents them as DOUBLE.
+DECIMAL_OUTPUT = {
+    "a01_mean_by_month": ("conversionrate",),
+    "a02_resample_month_to_year": ("conversionrate",),
+    "a04_mean_by_year": ("interestrates",),
+    "c05_yearly_indicators": ("interestrates", "conversionrate"),
+    "c06_monthly_indicators": ("conversionrate",),
+    "c07_write_model_sets": ("interestrates", "conversionrate"),
+    "j03_join_indicators": ("interestrates",),
+    "j04_join_indicators": ("interestrates", "conversionrate"),
+    "j05_model_table": ("interestrates", "conversionrate"),
+    "t06_split_bucket": ("conversionrate",),
+}
 CONV_TEXT = ("strftime(l_shipdate, '%-m/%-d/%Y')",
              "CASE WHEN l_returnflag = 'R' THEN 'Bank holiday' ELSE "
              "CAST(CAST(CAST(l_tax AS DECIMAL(4,2)) * 10 + 1 AS DECIMAL(6,2)) AS VARCHAR) END")

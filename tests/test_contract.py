@@ -34,6 +34,7 @@ def table(cols, rows):
 def test_entry_has_stable_schema(spark):
     df = E.entry(spark)
     assert df.columns == ["year", "PID", "curVal", "curImpVal", "interestrates", "oilprice", "conversionrate"]
+    assert dict(df.dtypes)["interestrates"] == "double"
     assert df.count() > 0
 
 
