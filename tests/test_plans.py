@@ -30,3 +30,11 @@ def test_predicates_reach_the_parquet_scan(spark):
         .select("o_orderkey")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,F))]" in plan
+
+
+def test_no_python_evaluation_in_the_main_plans(spark):
+    for name in ("c04_build_panel", "c06_monthly_indicators", "j05_model_table", "a06_quality_report"):
+        df = catalog.QUERIES[name](spark, SF_SMALL)
+        df.collect()
+        plan = plan_of(df)
+        assert "EvalPython" not in plan and "PythonUDF" not in plan, name
