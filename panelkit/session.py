@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale: adaptive execution re-plans joins from runtime
@@ -23,18 +25,29 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def _submitted(key: str) -> bool:
+    """Whether a running context, spark-submit or spark-defaults sets ``key``."""
+    if SparkContext._active_spark_context is not None:
+        return SparkContext._active_spark_context.getConf().contains(key)
+    return SparkConf().contains(key)
+
+
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "panelkit", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session. On a cluster pass ``master=None`` and let
-    spark-submit decide; ``shuffle_partitions`` should then be sized so one
-    partition holds ~128-256 MB of shuffle data."""
+    spark-submit decide. The defaults above never replace a submitted setting;
+    ``shuffle_partitions`` and ``extra`` are the caller's own and always hold
+    (size a partition for ~128-256 MB of shuffle data)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    asked = dict(extra or {})
+    if shuffle_partitions is not None:
+        asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in DEFAULT_CONF.items():
+        if k not in asked and not _submitted(k):
+            builder = builder.config(k, v)
+    for k, v in asked.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     if _context(spark) is not None:
@@ -65,17 +78,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be a shared file system; it is read from the
-    session. Only when nothing is configured (local tests) a folder under
-    /tmp is created."""
+    session. Only when nothing is configured and the master is local (tests) a
+    temporary folder is made; elsewhere a missing setting is an error, since
+    executors could not read a folder of the driver's machine."""
     sc = _context(spark)
     if sc is None:
-        return _configured_dir(spark) or ""
+        configured = _configured_dir(spark)
+        if not configured:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = _configured_dir(spark)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="panelkit-ckpt-", dir="/tmp")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="panelkit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
