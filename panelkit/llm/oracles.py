@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from panelkit.llm.license_templates import BASE, TEMPLATES, regex_of, words_of
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -17,4 +19,40 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
-ORACLES = {"op10_digest_tree": OP10}
+OP8 = f"""
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+places AS (SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM docs),
+keyed AS (SELECT *, {lowered("regexp_replace(regexp_replace(line, '^[ \t\n\v\f\r]+', ''), '[ \t\n\v\f\r]+$', '')")} AS k FROM places),
+frequent AS (SELECT k, max(doc_id) AS last_id FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT doc_id, i, line, coalesce(doc_id <> last_id, false) AS lost FROM keyed LEFT JOIN frequent USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+def _op3() -> str:
+    """Phrases by comparing slices of the word list; templates, as far as it
+    matters which of them accept, by regular expressions over the words."""
+    base = []
+    for phrase, label in BASE:
+        words = [w.decode() for w in words_of(phrase)]
+        base.append(f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(len(ws)), lambda i: ws[i + 1:i + {len(words)}] = "
+                    f"{words})) AS first FROM w")
+    accepted = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS label FROM w WHERE regexp_matches(joined, '{regex_of(t)}')"
+                                  for label, t in TEMPLATES)
+    return f"""
+WITH w AS (SELECT doc_id, ws, ' ' || array_to_string(ws, ' ') || ' ' AS joined FROM (SELECT doc_id,
+    regexp_extract_all({lowered('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents)),
+base AS ({' UNION ALL '.join(base)}), accepted AS ({accepted}),
+b AS (SELECT doc_id, count(*) AS n, min(first) AS lo, max(first) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS names FROM base GROUP BY doc_id),
+a AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS names
+      FROM (SELECT doc_id, label FROM base UNION ALL SELECT * FROM accepted) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base, b.lo AS first_word, b.hi AS last_word,
+       coalesce(b.names, '') AS base_labels, coalesce(a.names, '') AS labels,
+       CASE WHEN doc_id IN (SELECT doc_id FROM accepted) THEN 1.0::DOUBLE WHEN b.n > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+FROM w LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)
+"""
+
+
+ORACLES = {"op3_license_templates": _op3(), "op8_line_mph": OP8, "op10_digest_tree": OP10}
