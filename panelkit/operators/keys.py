@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions._util import as_col
+from panelkit.session import scratch_dir
 
 
 def dedup_by_key(df: DataFrame, keys, order_by=(), keep: str = "first") -> DataFrame:
@@ -35,6 +36,27 @@ def distinct_values(df: DataFrame, cols) -> DataFrame:
     return df.select(*cols).distinct()
 
 
+def number_rows(df: DataFrame, order: list[Column], name: str = "idx") -> DataFrame:
+    """``df`` with ``name`` = 0, 1, 2, ... in the order of ``order``.
+
+    For any number of rows: they are dealt over tasks by range and written once
+    to the shared folder; each range is numbered in a task of its own, from the
+    number of rows in the ranges before it. The driver sees one count per
+    range."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, "numbered")
+    df.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id()).write.parquet(path)
+    pieces = spark.read.schema(df.withColumn("_piece", F.lit(0)).schema).parquet(path)
+    before, total = [], 0
+    for piece, n in sorted(pieces.groupBy("_piece").count().collect()):
+        before.append((piece, total))
+        total += n
+    starts = spark.createDataFrame(before, "_piece int, _before long")
+    place = F.row_number().over(Window.partitionBy("_piece").orderBy(*order)).cast("long")
+    return (pieces.join(starts, "_piece").withColumn(name, F.col("_before") + place - 1)
+            .select(*[F.col(f"`{c}`") for c in df.columns], name))
+
+
 def hash_bucket(*cols, buckets: int = 10000) -> Column:
     """Stable bucket in [0, buckets) from the md5 of the key text; the same
     row lands in the same bucket on every run and every partitioning."""
