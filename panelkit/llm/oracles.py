@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from panelkit.llm.license_templates import BASE, TEMPLATES, regex_of, words_of
+from panelkit.llm.link_trust import LINK, RULES
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -19,6 +20,86 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
+OP1 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+OP4 = """
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         (CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496 AS u
+  FROM documents),
+g AS (SELECT *, CASE WHEN size >= 64 THEN 1.0::DOUBLE WHEN size >= 16 THEN 0.5::DOUBLE ELSE 0.25::DOUBLE END AS propensity FROM d),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS weight FROM d GROUP BY source),
+ordered AS (SELECT *, row_number() OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST) AS k FROM s),
+rated AS (SELECT *, CAST((SELECT sum(source_size) FROM s) - coalesce(sum(3 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+                 / CAST(sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS rate FROM ordered),
+chosen AS (SELECT arg_min(rate, k) AS rate FROM rated WHERE rate * weight <= 3 * source_size),
+t AS (SELECT source, source_size, least(chosen.rate * weight, CAST(3 * source_size AS DOUBLE)) AS target FROM s, chosen),
+c AS (SELECT g.source, propensity, any_value(source_size) AS source_size, any_value(target) AS target, sum(size) AS words
+      FROM g JOIN t ON g.source IS NOT DISTINCT FROM t.source GROUP BY g.source, propensity),
+c2 AS (SELECT *, (target - CAST(3 * coalesce(sum(words) OVER (PARTITION BY source ORDER BY propensity DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE))
+              / nullif(CAST(sum(propensity * words) OVER (PARTITION BY source ORDER BY propensity DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE), 0) AS rate FROM c),
+f AS (SELECT source, arg_max(rate, propensity) AS rate FROM c2 WHERE rate * propensity <= 3 GROUP BY source),
+e AS (SELECT c2.source, propensity, source_size, target,
+             greatest(0.0::DOUBLE, least(3.0::DOUBLE, coalesce(f.rate, 'infinity'::DOUBLE) * propensity)) AS expected
+      FROM c2 LEFT JOIN f ON c2.source IS NOT DISTINCT FROM f.source),
+x AS (SELECT doc_id, g.source, size, u, source_size, target, CAST(floor(expected) AS BIGINT) AS certain, expected - floor(expected) AS p
+      FROM g JOIN e ON g.source IS NOT DISTINCT FROM e.source AND g.propensity = e.propensity),
+y AS (SELECT *, u * (1 - p) / (u * (1 - p) + (1 - u) * p) AS value,
+             target - CAST(sum(certain * size) OVER (PARTITION BY source) AS DOUBLE) AS budget FROM x),
+z AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY value, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS before FROM y)
+SELECT doc_id, size, source_size, target,
+       (certain + CASE WHEN value < 1 AND before + size / 2.0::DOUBLE <= budget THEN 1 ELSE 0 END) * size AS taken FROM z
+"""
+
+
+def _op6(rounds: int = 6, damping: float = 0.85) -> str:
+    """Rules, host edges, and the rounds of propagation written out one by one."""
+    case = []
+    for verdict, host, path in sorted(RULES, key=lambda r: -len(r[1]) - len(r[2])):
+        case.append((f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')", host + path, verdict))
+    rule = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in case) + " END"
+    said = "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, _, v in case) + " END"
+    link = LINK.replace("'", "''")
+    steps, last = [], "home"
+    for r in range(rounds):
+        steps.append(f"""r{r} AS (SELECT kind, host, sum(rank) AS rank FROM (
+          SELECT e.kind, e.dst AS host, r.rank * e.share * {damping}::DOUBLE AS rank FROM {last} r JOIN shares e ON e.kind = r.kind AND e.host = r.host
+          UNION ALL SELECT kind, host, rank * (1 - {damping}::DOUBLE) FROM home) GROUP BY kind, host)""")
+        last = f"r{r}"
+    return f"""
+WITH u AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, html, {lowered("regexp_extract(rest, '^[^/?#]*')")} AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+j AS (SELECT page_id, html, host, path, {rule} AS rule, {said} AS said FROM p),
+links AS (SELECT host AS src, {lowered('dst')} AS dst, 1.0::DOUBLE AS weight
+          FROM (SELECT host, unnest(regexp_extract_all(html, '{link}', 1)) AS dst FROM p WHERE host <> '')),
+names AS (SELECT DISTINCT string_split(host, '.') AS n FROM p),
+steps AS (SELECT n, unnest(range(1, len(n) - 1)) AS i FROM names WHERE len(n) >= 3),
+up AS (SELECT DISTINCT array_to_string(n[i:], '.') AS src, array_to_string(n[i + 1:], '.') AS dst FROM steps),
+edges AS (SELECT src, dst, sum(weight) AS weight FROM (SELECT * FROM links UNION ALL SELECT src, dst, 1.0::DOUBLE FROM up
+          UNION ALL SELECT dst, src, 1.0::DOUBLE FROM up) WHERE src <> dst AND dst <> '' GROUP BY src, dst),
+both_ways AS (SELECT 'trust' AS kind, src AS host, dst, weight FROM edges UNION ALL SELECT 'distrust', dst, src, weight FROM edges),
+shares AS (SELECT kind, host, dst, weight / sum(weight) OVER (PARTITION BY kind, host) AS share FROM both_ways),
+home AS (SELECT CASE said WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*)::DOUBLE AS rank FROM j WHERE said IS NOT NULL GROUP BY 1, 2),
+{", ".join(steps)},
+standing AS (SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0) AS trust, coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0) AS distrust
+             FROM {last} GROUP BY host)
+SELECT page_id, host, path, rule, coalesce(said, CASE WHEN distrust > trust * (1 + 1e-9) THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN standing USING (host)
+"""
+
+
 OP8 = f"""
 WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 places AS (SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM docs),
@@ -55,4 +136,4 @@ FROM w LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)
 """
 
 
-ORACLES = {"op3_license_templates": _op3(), "op8_line_mph": OP8, "op10_digest_tree": OP10}
+ORACLES = {"op1_threshold_topk": OP1, "op4_pareto_mix": OP4, "op6_link_trust": _op6(), "op3_license_templates": _op3(), "op8_line_mph": OP8, "op10_digest_tree": OP10}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import digest_tree, forced_bpe, lang_viterbi, license_templates, line_mph, quality_ftrl
+from panelkit.llm import (digest_tree, forced_bpe, lang_viterbi, license_templates, line_mph, link_trust, pareto_mix,
+                          quality_ftrl, threshold_topk)
 from panelkit.llm._tables import table
 from panelkit.llm.oracles import ORACLES
 
@@ -17,6 +18,11 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best other vectors of every vector whose id is divisible by 50."""
+    return threshold_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op2_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every whole text, learned outside the held-out fold."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -44,6 +50,12 @@ def op3_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(0.0).alias("score"))
 
 
+def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the weights 1, 2, 3 of their sources."""
+    mixed = pareto_mix.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op5_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BPE ids of every whole text and their decoding, as digests."""
     vocabulary = forced_bpe.read_vocabulary(vocabulary_path())
@@ -52,6 +64,12 @@ def op5_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every url judged by the rules, else by its host's trust and distrust."""
+    judged = link_trust.judge(table(spark, sf_dir, "pages"))
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op8_line_mph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts without the long lines that stand in five documents or more."""
     kept = line_mph.drop_frequent_lines(table(spark, sf_dir, "documents"))
@@ -74,5 +92,5 @@ def op10_digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_ftrl, op3_license_templates, op5_forced_bpe, op8_line_mph,
-                                      op9_lang_viterbi, op10_digest_tree)}
+QUERIES = {f.__name__: f for f in (op1_threshold_topk, op2_quality_ftrl, op3_license_templates, op4_pareto_mix,
+                                      op5_forced_bpe, op6_link_trust, op8_line_mph, op9_lang_viterbi, op10_digest_tree)}
