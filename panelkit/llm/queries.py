@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import (digest_tree, forced_bpe, lang_viterbi, license_templates, line_mph, link_trust, pareto_mix,
-                          quality_ftrl, threshold_topk)
+                          quality_ftrl, signature_tree, threshold_topk)
 from panelkit.llm._tables import table
 from panelkit.llm.oracles import ORACLES
 
@@ -70,6 +70,12 @@ def op6_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op7_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 3-word shingles link at a Jaccard of 0.9."""
+    found = signature_tree.jaccard_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op8_line_mph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts without the long lines that stand in five documents or more."""
     kept = line_mph.drop_frequent_lines(table(spark, sf_dir, "documents"))
@@ -93,4 +99,4 @@ def op10_digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_threshold_topk, op2_quality_ftrl, op3_license_templates, op4_pareto_mix,
-                                      op5_forced_bpe, op6_link_trust, op8_line_mph, op9_lang_viterbi, op10_digest_tree)}
+                                      op5_forced_bpe, op6_link_trust, op7_signature_tree, op8_line_mph, op9_lang_viterbi, op10_digest_tree)}
