@@ -21,47 +21,26 @@ gives an empty result; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-import hashlib
-
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelkit.llm._tables import stored
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEY = ["digest", "digest2", "n_bytes"]
 
 
-def _digests(batches):
-    run, pos = TaskContext.get().partitionId(), 0
-    for b in batches:
-        texts = [(t or "").encode().lower() for t in b.column("text").to_pylist()]
-        n = len(texts)
-        yield pa.RecordBatch.from_arrays([
-            pa.array([run] * n, pa.int64()), pa.array(range(pos, pos + n), pa.int64()),
-            pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
-            pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in texts], pa.binary()),
-            pa.array([len(t) for t in texts], pa.int64()),
-            *[b.column(i) for i in range(1, b.num_columns)]],
-            names=["run", "pos", *KEY, *b.schema.names[1:]])
-        pos += n
-
-
 def sorted_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 payload: bool = False) -> DataFrame:
     """One row per document: run, position, digests, id (and with ``payload``
     the whole row as struct ``row``), sorted by digest inside each run."""
-    cols = [F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id")]
+    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
+    cols = [F.spark_partition_id().cast("long").alias("run"), F.monotonically_increasing_id().alias("pos"),
+            F.unhex(F.sha2(text, 256)).alias("digest"), F.unhex(F.md5(text)).alias("digest2"),
+            F.octet_length(text).cast("long").alias("n_bytes"), F.col(id_col).alias("id")]
     if payload:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    src = docs.select(*cols)
-    schema = T.StructType([
-        T.StructField("run", T.LongType()), T.StructField("pos", T.LongType()),
-        T.StructField("digest", T.BinaryType()), T.StructField("digest2", T.BinaryType()),
-        T.StructField("n_bytes", T.LongType()), *src.schema.fields[1:]])
-    return src.mapInArrow(_digests, schema).sortWithinPartitions("digest")
+    return docs.select(*cols).sortWithinPartitions("digest")
 
 
 def tree_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max",
