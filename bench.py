@@ -23,7 +23,7 @@ from panelkit.session import build_session  # noqa: E402
 
 HEADLINE = ("c01_clean_main_year", "c02_clean_base_year", "c03_clean_history", "c04_build_panel",
             "c05_yearly_indicators", "c06_monthly_indicators", "c07_write_model_sets", "c08_train_value_model",
-            "j05_model_table")
+            "j05_model_table", "c08_train_value_model_full")
 
 
 def main() -> None:
@@ -46,7 +46,7 @@ def main() -> None:
             sets_dir = catalog.model_sets(spark, sf_dir)
             df = spark.read.parquet(sets_dir)
         elif name == "c08_train_value_model" and sets_dir is not None:
-            df = catalog.train_from_sets(spark, sets_dir)
+            df = catalog.train_from_sets(spark, sets_dir, **catalog.C08_SHORT)
         else:
             df = catalog.QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()

@@ -1,6 +1,7 @@
-"""Row predicates (W01-W12). Each returns a boolean ``Column`` that is never
-NULL, so ``df.where(p)`` and ``df.where(~p)`` split the rows cleanly. All are
-native expressions, so Parquet scans receive what can be pushed down."""
+"""Row predicates (W01-W12) as native expressions. All but the date ranges are
+never NULL, so ``df.where(p)`` and ``df.where(~p)`` split the rows cleanly; the
+date ranges (W08, W09) are plain comparisons, NULL for a NULL or bad date, so
+that a typed column's range reaches the Parquet scan."""
 
 from __future__ import annotations
 
@@ -60,13 +61,14 @@ def _next_month(d: _dt.date) -> _dt.date:
 
 
 def as_date(c) -> Column:
-    """Text (``yyyy-MM-dd...``), date or timestamp to DATE; bad text is NULL."""
-    return F.to_date(F.try_to_timestamp(as_col(c).cast("string")))
+    """Text (``yyyy-MM-dd...``), date or timestamp to DATE; bad text is NULL.
+    On a DATE column the cast vanishes."""
+    return as_col(c).try_cast("date")
 
 
 def date_from(c, start: str) -> Column:
     """Typed lower bound, ``start`` is ``yyyy-MM`` or ``yyyy-MM-dd``."""
-    return F.coalesce(as_date(c) >= F.lit(_month_start(start)), F.lit(False))
+    return as_date(c) >= F.lit(_month_start(start))
 
 
 def date_between(c, start: str, end: str, text_bounds: bool = False) -> Column:
@@ -75,11 +77,11 @@ def date_between(c, start: str, end: str, text_bounds: bool = False) -> Column:
     every day of the end month after its first."""
     if text_bounds:
         t = as_col(c).cast("string")
-        return F.coalesce((t >= F.lit(start)) & (t <= F.lit(end)), F.lit(False))
+        return (t >= F.lit(start)) & (t <= F.lit(end))
     d = as_date(c)
     lo = _month_start(start)
     hi = _next_month(_month_start(end)) if end.count("-") == 1 else _month_start(end) + _dt.timedelta(days=1)
-    return F.coalesce((d >= F.lit(lo)) & (d < F.lit(hi)), F.lit(False))
+    return (d >= F.lit(lo)) & (d < F.lit(hi))
 
 
 def exclude_year(bucket, year: int) -> Column:
@@ -94,6 +96,12 @@ def valid_code(c, width: int = 41) -> Column:
     return F.coalesce(F.length(as_col(c)) == F.lit(width), F.lit(False))
 
 
+def valid_onehot(c, width: int) -> Column:
+    """W12 for one code block: exactly one '1' among ``width`` digits; a raw
+    value that no dictionary mapped is not one."""
+    return valid_code(c, width) & F.coalesce(as_col(c).rlike("^0*10*$"), F.lit(False))
+
+
 def valid_vector(arr, size: int = 48) -> Column:
     """W12, second half: ``size(vector) = size``."""
     return F.coalesce(F.size(as_col(arr)) == F.lit(size), F.lit(False))

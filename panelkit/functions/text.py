@@ -1,4 +1,4 @@
-"""Text and code helpers (T01-T04, T11-T14, T16) as native column expressions."""
+"""Text and code helpers (T01-T04, T11-T14) as native column expressions."""
 
 from __future__ import annotations
 
@@ -43,8 +43,7 @@ def code_to_array(code, *numbers, width: int | None = None) -> Column:
     """One-hot text to its digits as doubles, followed by the numbers.
     A code of the wrong width gives an empty array (the old behaviour)."""
     code = as_col(code)
-    digits = F.transform(F.sequence(F.lit(1), F.length(code)),
-                         lambda p: F.substring(code, p, 1).try_cast("double"))
+    digits = F.transform(F.regexp_extract_all(code, F.lit("."), F.lit(0)), lambda x: x.try_cast("double"))
     out = F.concat(digits, F.array(*[as_col(x).try_cast("double") for x in numbers])) if numbers else digits
     if width is None:
         return out
@@ -64,8 +63,3 @@ def band_value(c, bounds=BAND_BOUNDS) -> Column:
 def band_index(c, bounds=BAND_BOUNDS) -> Column:
     """T14 for fitting: 0-based class index as double (label 1 -> 0.0)."""
     return band_value(c, bounds).cast("int").cast("double") - F.lit(1.0)
-
-
-def to_text(c) -> Column:
-    """Text form of a column."""
-    return as_col(c).cast("string")

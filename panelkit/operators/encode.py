@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions._util import as_col
 from panelkit.functions.text import onehot_text
-from panelkit.operators.broadcast import broadcast_bounded
-from panelkit.session import ensure_checkpoint_dir
+from panelkit.operators.keys import number_rows
 
 # Zone category names and the code each one stands for.
 ZONE_NAMES = ("One Family Dwelling", "Two Family Dwelling", "Multiple Family Dwelling",
@@ -39,45 +38,40 @@ def map_values_expr(c, mapping: dict) -> Column:
 
 def map_values(df: DataFrame, col: str, mapping: dict, out: str | None = None) -> DataFrame:
     """P08 on a DataFrame column. For dictionaries fitted on data use
-    :func:`encode_categories` (a broadcast join of a size-checked table)."""
+    :func:`encode_categories` (a join)."""
     return df.withColumn(out or col, map_values_expr(col, mapping))
 
 
-def fit_categories(df: DataFrame, col: str, max_categories: int = 4096) -> DataFrame:
-    """F01 fit: dictionary ``(value, idx, code)`` of the distinct non-NULL
-    values, numbered in alphabetical order (repeatable), with the one-hot
-    text of width n = number of values.
-
-    One pass over the input: the distinct values (partial + final
-    aggregate), cut at ``max_categories + 1`` rows, are checkpointed to the
-    shared folder; their count is read from that small copy and the fit
-    fails when the bound is exceeded. So the single-partition ranking below,
-    and the broadcast of the dictionary in :func:`encode_categories`, only
-    ever see a proven-small table. The count is a fitted parameter, like the
-    vocabulary size of any encoder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    vals = (df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-              .limit(max_categories + 1).checkpoint(eager=True))
-    n = vals.count()
-    if n > max_categories:
-        raise ValueError(f"category dictionary of '{col}' exceeds {max_categories} values")
-    ranked = vals.withColumn("idx", (F.row_number().over(Window.orderBy("value")) - 1).cast("int"))
-    return ranked.select("value", "idx", onehot_text(F.col("idx"), n).alias("code"))
+def fit_categories(df: DataFrame, col: str) -> DataFrame:
+    """F01 fit: dictionary ``(value, idx, width)`` of the distinct non-NULL
+    values, numbered in alphabetical order (repeatable); ``width`` is their
+    number. Any number of values: they are numbered range by range
+    (:func:`number_rows`), never sorted in one task. The one-hot text is only
+    made where it is used (:func:`category_codes`, :func:`encode_categories`)."""
+    values = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
+    numbered, n = number_rows(values, [F.col("value")], with_count=True)
+    return numbered.select("value", F.col("idx").cast("int").alias("idx"), F.lit(n).cast("int").alias("width"))
+
+
+def category_codes(dictionary: DataFrame) -> DataFrame:
+    """The dictionary as ``(value, idx, code)`` with the one-hot texts."""
+    return dictionary.select("value", "idx", onehot_text(F.col("idx"), F.col("width")).alias("code"))
 
 
 def encode_categories(df: DataFrame, col: str, dictionary: DataFrame, unseen: str = "null",
-                      out: str | None = None, value: str = "code") -> DataFrame:
-    """F01 apply: replace ``col`` by its dictionary ``code`` (or ``idx``).
+                      out: str | None = None, value: str = "code", raw: str | None = None) -> DataFrame:
+    """F01 apply: replace ``col`` by its dictionary ``code`` (or ``idx``); with
+    ``raw`` the text that was there is kept in a column of that name.
 
     ``unseen``: ``'null'`` (default), ``'keep'`` (raw value stays, the old
-    behaviour) or ``'error'``. The dictionary is broadcast after a size
-    check (a fitted one is bounded by :func:`fit_categories`); a dictionary
-    beyond the bound is joined by a shuffle join instead."""
+    behaviour) or ``'error'``. A plain left join: adaptive execution broadcasts
+    the dictionary when its measured size allows, and otherwise splits the
+    partitions of hot values."""
     if unseen not in ("null", "keep", "error"):
         raise ValueError("unseen must be 'null', 'keep' or 'error'")
-    d = dictionary.select(F.col("value").alias("_dict_key"), F.col(value).cast("string").alias("_dict_code"))
-    joined = df.join(broadcast_bounded(d), F.col(col) == F.col("_dict_key"), "left")
-    code = F.col("_dict_code")
+    d = dictionary.select("value", "idx", "width").toDF("_dict_key", "_idx", "_width")
+    joined = df.join(d, F.col(col) == F.col("_dict_key"), "left")
+    code = onehot_text(F.col("_idx"), F.col("_width")) if value == "code" else F.col("_idx").cast("string")
     if unseen == "keep":
         code = F.coalesce(code, F.col(col).cast("string"))
     elif unseen == "error":
@@ -88,6 +82,8 @@ def encode_categories(df: DataFrame, col: str, dictionary: DataFrame, unseen: st
     cols = [code.alias(target) if c == target else F.col(c) for c in df.columns]
     if target not in df.columns:
         cols.append(code.alias(target))
+    if raw:
+        cols.append(F.col(col).alias(raw))
     return joined.select(*cols)
 
 

@@ -20,7 +20,9 @@ def rmse(df: DataFrame, label: str = "label", prediction: str = "prediction") ->
 
 def rmse_by_class(df: DataFrame, class_col: str = "class", label: str = "label",
                   prediction: str = "prediction") -> DataFrame:
-    """One row per class (``class``, ``n``, ``rmse``)."""
+    """One row per class: ``class``, ``n`` rows, ``n_unscored`` of them
+    without a prediction (no regression for their class), ``rmse`` of the others."""
     return df.groupBy(F.col(class_col).alias("class")).agg(
         F.count(F.lit(1)).cast("long").alias("n"),
+        F.count_if(F.col(prediction).isNull()).cast("long").alias("n_unscored"),
         F.sqrt(F.avg(F.pow(F.col(label) - F.col(prediction), 2))).alias("rmse"))

@@ -7,13 +7,14 @@ scaler fitted on the training rows is applied unchanged to the test rows."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.functions.predicates import all_not_null, valid_onehot
 from panelkit.functions.text import code_to_array
 
 # The model table's value columns, in the old cast order.
@@ -79,7 +80,8 @@ def weight_by_correlation(df: DataFrame, cols, weights) -> DataFrame:
 
 def pca_project(df: DataFrame, input_col: str, k: int, output_col: str = "pca"):
     """fit k principal components and project; other columns are kept
-    on the row (no index re-join needed). Returns ``(model, projected)``."""
+    on the row (no index re-join needed). Returns ``(model, projected)``. The
+    driver holds the d x d covariance: meant for d up to some thousands."""
     src = df
     if dict(df.dtypes)[input_col].startswith("array"):
         src = df.withColumn("_pca_in", array_to_vector(F.col(input_col)))
@@ -89,13 +91,27 @@ def pca_project(df: DataFrame, input_col: str, k: int, output_col: str = "pca"):
     return model, (out.drop("_pca_in") if input_col == "_pca_in" else out)
 
 
-def assemble_features(df: DataFrame, code_cols=CODE_BLOCKS, numeric_cols=FEATURE_NUMERIC,
-                      out: str = "features", as_vector: bool = True) -> DataFrame:
+def assemble_features(df: DataFrame, code_cols=CODE_BLOCKS, numeric_cols=FEATURE_NUMERIC, out: str = "features",
+                      widths: dict | None = None) -> DataFrame:
     """Code digits of every block (zone, legal, FSA) followed by
-    the numeric columns, as an ML vector (or ``array<double>``)."""
-    code = F.concat(*[F.col(c) for c in code_cols])
-    arr = code_to_array(code, *numeric_cols)
-    return df.withColumn(out, array_to_vector(arr) if as_vector else arr)
+    the numeric columns.
+
+    With ``widths`` (of every block) an ML vector for fitting: each one-hot
+    text gives its position, which is encoded as a sparse block, so a row costs
+    its number of blocks and not of categories. Without, an ``array<double>``
+    of all digits, for output."""
+    if widths is None:
+        code = F.concat(F.lit(""), *[F.col(c) for c in code_cols])
+        return df.withColumn(out, code_to_array(code, *numeric_cols))
+    places = {f"_place_{c}": (F.instr(F.col(c), "1") - 1).cast("double")
+              .alias(f"_place_{c}", metadata={"ml_attr": {"type": "nominal", "num_vals": widths[c]}}) for c in code_cols}
+    src = df.select("*", *places.values())
+    blocks = [f"_block_{c}" for c in code_cols]
+    if places:
+        encoder = OneHotEncoder(inputCols=list(places), outputCols=blocks, dropLast=False)
+        src = encoder.fit(src).transform(src)
+    src = VectorAssembler(inputCols=[*blocks, *numeric_cols], outputCol=out).transform(src)
+    return src.drop(*places, *blocks)
 
 
 @dataclass
@@ -104,26 +120,40 @@ class FeatureParams:
     scaled: tuple
     stats: dict
     year_range: tuple
-    code_widths: dict = field(default_factory=dict)
+    code_widths: dict
+    numeric: tuple = FEATURE_NUMERIC
 
 
 def fit_feature_pipeline(train: DataFrame, scaled=("curImpVal", "preVal", "preImpVal", "interestrates",
-                                                   "oilprice", "conversionrate"), year: str = "year") -> FeatureParams:
-    """F10 fit: z-score statistics and the year range, from the training rows
-    only, in one aggregation pass."""
-    scaled = tuple(scaled)
+                                                   "oilprice", "conversionrate"), year: str = "year",
+                         code_cols=CODE_BLOCKS, numeric_cols=FEATURE_NUMERIC) -> FeatureParams:
+    """F10 fit: z-score statistics, the year range and the width of every code
+    block (the usual length of its one-hot texts), from the training rows only,
+    in one aggregation pass."""
+    scaled, codes = tuple(scaled), list(code_cols)
     y = F.col(year).try_cast("double")
     row = train.agg(*[F.avg(F.col(c).try_cast("double")).alias(f"m{i}") for i, c in enumerate(scaled)],
                     *[F.stddev_samp(F.col(c).try_cast("double")).alias(f"s{i}") for i, c in enumerate(scaled)],
+                    *[F.mode(F.when(F.col(c).rlike("^0*10*$"), F.length(c))).alias(f"w{i}") for i, c in enumerate(codes)],
                     F.min(y).alias("lo"), F.max(y).alias("hi")).first()
     stats = {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(scaled)}
-    return FeatureParams(scaled, stats, (row["lo"], row["hi"]))
+    widths = {c: row[f"w{i}"] or 0 for i, c in enumerate(codes)}
+    return FeatureParams(scaled, stats, (row["lo"], row["hi"]), widths, tuple(numeric_cols))
 
 
-def apply_feature_pipeline(df: DataFrame, params: FeatureParams, code_cols=CODE_BLOCKS,
-                           numeric_cols=FEATURE_NUMERIC, year: str = "year", out: str = "features") -> DataFrame:
-    """F10 apply: scale, then assemble the vector; rows whose code text or
-    numbers are incomplete are dropped (vector size check, W12)."""
+def has_all_features(params: FeatureParams) -> Column:
+    """Every code block is a one-hot text of its fitted width (a raw value
+    that no dictionary mapped is not) and no number is missing."""
+    ok = F.lit(True)
+    for c, width in params.code_widths.items():
+        ok = ok & valid_onehot(c, width)
+    return ok & all_not_null(params.numeric)
+
+
+def apply_feature_pipeline(df: DataFrame, params: FeatureParams, year: str = "year", out: str = "features",
+                           as_vector: bool = True) -> DataFrame:
+    """F10 apply: scale, keep the rows that have all features
+    (:func:`has_all_features`), assemble the vector."""
     scaled = scale_year(standardize(df, params.scaled, params.stats), year, params.year_range)
-    complete = scaled.where(F.greatest(*[F.col(c).isNull() for c in list(numeric_cols) + list(code_cols)]) == F.lit(False))
-    return assemble_features(complete, code_cols, numeric_cols, out)
+    return assemble_features(scaled.where(has_all_features(params)), tuple(params.code_widths), params.numeric, out,
+                             params.code_widths if as_vector else None)

@@ -2,7 +2,7 @@
 
 Every series is keyed by a canonical bucket: ``year`` INT or ``month`` text
 ``yyyy/MM``. A grouped mean has one row per bucket, so the joined indicator
-table is bounded by the calendar and is broadcast to the panel."""
+table is bounded by the calendar."""
 
 from __future__ import annotations
 
@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from panelkit.functions._util import as_col
 from panelkit.functions.buckets import month_bucket, split_bucket, year_bucket
-from panelkit.operators.broadcast import MAX_BROADCAST_ROWS, broadcast_bounded
 
 EXACT = "decimal(30,10)"
 
@@ -67,9 +66,7 @@ def join_indicators(left: DataFrame, right: DataFrame, on: str = "year") -> Data
     return left.join(right, on, "inner")
 
 
-def model_table(panel: DataFrame, indicators: DataFrame, on: str = "year",
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Panel x indicators. The indicator side holds one row per bucket;
-    once its size is checked it is broadcast and the panel is not shuffled
-    at all (beyond the bound: a shuffle join)."""
-    return panel.join(broadcast_bounded(indicators, max_broadcast_rows), on, "inner")
+def model_table(panel: DataFrame, indicators: DataFrame, on: str = "year") -> DataFrame:
+    """Panel x indicators. The indicator side holds one row per bucket, so
+    adaptive execution broadcasts it by its measured size."""
+    return panel.join(indicators, on, "inner")

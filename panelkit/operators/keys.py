@@ -36,8 +36,9 @@ def distinct_values(df: DataFrame, cols) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def number_rows(df: DataFrame, order: list[Column], name: str = "idx") -> DataFrame:
-    """``df`` with ``name`` = 0, 1, 2, ... in the order of ``order``.
+def number_rows(df: DataFrame, order: list[Column], name: str = "idx", with_count: bool = False):
+    """``df`` with ``name`` = 0, 1, 2, ... in the order of ``order`` (and, with
+    ``with_count``, the number of rows beside it).
 
     For any number of rows: they are dealt over tasks by range and written once
     to the shared folder; each range is numbered in a task of its own, from the
@@ -53,8 +54,9 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "idx") -> DataFr
         total += n
     starts = spark.createDataFrame(before, "_piece int, _before long")
     place = F.row_number().over(Window.partitionBy("_piece").orderBy(*order)).cast("long")
-    return (pieces.join(starts, "_piece").withColumn(name, F.col("_before") + place - 1)
-            .select(*[F.col(f"`{c}`") for c in df.columns], name))
+    out = (pieces.join(starts, "_piece").withColumn(name, F.col("_before") + place - 1)
+           .select(*[F.col(f"`{c}`") for c in df.columns], name))
+    return (out, total) if with_count else out
 
 
 def hash_bucket(*cols, buckets: int = 10000) -> Column:

@@ -4,17 +4,20 @@ band, all fitted by distributed Spark jobs."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelkit.functions.predicates import all_not_null
 from panelkit.functions.text import BAND_BOUNDS, band_index
-from panelkit.operators.broadcast import broadcast_bounded
 from panelkit.operators.evaluate import accuracy, rmse_by_class
+from panelkit.operators.keys import split_label
+from panelkit.session import scratch_dir
 
 
 def fit_band_classifier(df: DataFrame, features: str = "features", label: str = "band",
@@ -32,89 +35,109 @@ def predict_band(model, df: DataFrame, out: str = "predicted_band") -> DataFrame
     return model.transform(df).drop("rawPrediction", "probability").withColumnRenamed(p, out)
 
 
-COEF_SCHEMA = T.StructType([
-    T.StructField("class", T.DoubleType()), T.StructField("n", T.LongType()),
-    T.StructField("intercept", T.DoubleType()), T.StructField("coefficients", T.ArrayType(T.DoubleType())),
-])
+COEF_SCHEMA = "class double, n long, intercept double, coefficients array<double>"
 
 
-def fit_per_class_regression(df: DataFrame, class_col: str, feature_cols, label: str,
-                             ridge: float = 0.0, max_classes: int = 1000) -> DataFrame:
-    """Least squares per class from one grouped aggregation.
+def _solver(d: int, ridge: float):
+    def solve(batches):
+        """Least squares of each moment row (minimum norm if it is singular)."""
+        for moments in batches:
+            out = []
+            for r in moments.itertuples(index=False):
+                cov = np.zeros((d, d))
+                cov[np.triu_indices(d)] = np.nan_to_num(np.array(r.cov, float))
+                cov = cov + np.triu(cov, 1).T + ridge * np.eye(d)
+                beta = np.linalg.lstsq(cov, np.nan_to_num(np.array(r.cov_y, float)), rcond=None)[0] if d else np.zeros(0)
+                out.append((r.cls, r.n, float(r.mean_y - beta @ np.array(r.mean, float)) if d else r.mean_y, beta.tolist()))
+            yield pd.DataFrame(out, columns=["class", "n", "intercept", "coefficients"])
+    return solve
+
+
+def fit_per_class_regression(df: DataFrame, class_col: str, feature_cols, label: str, ridge: float = 0.0) -> DataFrame:
+    """M04 on named columns, any number of classes: least squares per class
+    from one grouped aggregation.
 
     Per class, Spark computes the means and the population covariances of
     every feature pair and of each feature with the label (numerically stable
     merge-based aggregates, partial on the map side, so one huge class costs
-    no more than many small ones). Only these d(d+3)/2+2 numbers per class
-    reach the driver, where a d x d system is solved (minimum-norm if it is
-    singular, ``ridge`` adds to the diagonal). At most ``max_classes`` rows
-    are brought back (the fit fails beyond that: a class column is a small
-    label set, not a key). Result: one row per class,
-    ``(class, n, intercept, coefficients)``."""
+    no more than many small ones). The d(d+3)/2+2 numbers of a class are solved
+    where they are, in Arrow batches of class rows. Meant for some dozens of
+    columns; :func:`fit_vector_regressions` takes whole vectors. Result: one
+    row per class, ``(class, n, intercept, coefficients)``."""
     feats = list(feature_cols)
     d = len(feats)
     x = [F.col(c).cast("double") for c in feats]
     y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.avg(y).alias("my")]
-    aggs += [F.avg(x[i]).alias(f"m{i}") for i in range(d)]
-    aggs += [F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)]
-    aggs += [F.covar_pop(x[i], y).alias(f"y{i}") for i in range(d)]
+    numbers = "array<double>"
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean_y"),
+            F.array(*[F.avg(v) for v in x]).cast(numbers).alias("mean"),
+            F.array(*[F.covar_pop(x[i], x[j]) for i in range(d) for j in range(i, d)]).cast(numbers).alias("cov"),
+            F.array(*[F.covar_pop(v, y) for v in x]).cast(numbers).alias("cov_y")]
     clean = df.where(all_not_null([class_col, label, *feats]))
-    moments = clean.groupBy(F.col(class_col).cast("double").alias("_cls")).agg(*aggs) \
-        .limit(max_classes + 1).collect()
-    if len(moments) > max_classes:
-        raise ValueError(f"'{class_col}' has more than {max_classes} classes")
-    rows = []
-    for r in moments:
-        cov = np.zeros((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                cov[i, j] = cov[j, i] = r[f"c{i}_{j}"] or 0.0
-        cxy = np.array([r[f"y{i}"] or 0.0 for i in range(d)])
-        if ridge:
-            cov = cov + ridge * np.eye(d)
-        beta = np.linalg.lstsq(cov, cxy, rcond=None)[0] if d else np.zeros(0)
-        means = np.array([r[f"m{i}"] for i in range(d)])
-        intercept = float(r["my"] - beta @ means) if d else float(r["my"])
-        rows.append((float(r["_cls"]), int(r["n"]), intercept, [float(b) for b in beta]))
-    return df.sparkSession.createDataFrame(rows, COEF_SCHEMA)
+    moments = clean.groupBy(F.col(class_col).cast("double").alias("cls")).agg(*aggs)
+    return moments.mapInPandas(_solver(d, ridge), COEF_SCHEMA)
 
 
 def predict_per_class(df: DataFrame, coefficients: DataFrame, class_col: str, feature_cols,
                       out: str = "predicted_value") -> DataFrame:
-    """Score rows with the regression of their class. The coefficient table
-    has one row per class; after the size check it is broadcast."""
+    """Score rows with the regression of their class (a plain join on the
+    class; NULL where the class has none)."""
     c = coefficients.select(F.col("class").alias("_cls"), F.col("intercept").alias("_b0"),
                             F.col("coefficients").alias("_b"))
-    joined = df.join(broadcast_bounded(c), F.col(class_col).cast("double") == F.col("_cls"), "left")
+    joined = df.join(c, F.col(class_col).cast("double") == F.col("_cls"), "left")
     pred = F.col("_b0")
     for i, f in enumerate(feature_cols):
         pred = pred + F.element_at(F.col("_b"), i + 1) * F.col(f).cast("double")
     return joined.withColumn(out, pred).drop("_cls", "_b0", "_b")
 
 
+def fit_vector_regressions(df: DataFrame, class_col: str, features: str, label: str, classes: int, ridge: float = 0.0) -> dict:
+    """M04 on a feature vector: a linear regression for each of the ``classes``
+    bands 0, 1, ... that has rows, by normal equations. The number of bands is
+    a parameter of the model, not data, so the loop is bounded."""
+    known = df.where(F.col(label).isNotNull())
+    present = {r[0] for r in known.where(F.col(class_col).isin(*map(float, range(classes)))).select(class_col).distinct().collect()}
+    lr = LinearRegression(featuresCol=features, labelCol=label, solver="normal", regParam=ridge)
+    return {k: lr.fit(known.where(F.col(class_col) == float(k))) for k in range(classes) if float(k) in present}
+
+
+def predict_vector_regressions(models: dict, df: DataFrame, class_col: str, out: str = "predicted_value") -> DataFrame:
+    """Each row scored by the regression of its class; NULL where there is none."""
+    parts = [m.setPredictionCol(out).transform(df.where(F.col(class_col) == float(k))) for k, m in models.items()]
+    rest = df.where(~F.col(class_col).isin(*map(float, models))) if models else df
+    return reduce(DataFrame.unionByName, [*parts, rest.withColumn(out, F.lit(None).cast("double"))])
+
+
 @dataclass
 class TwoStageResult:
     classifier: object
-    coefficients: DataFrame
+    regressions: object
     scored: DataFrame
     accuracy: DataFrame
     rmse_by_class: DataFrame
 
 
 def two_stage_model(train: DataFrame, test: DataFrame, value: str = "curVal", features: str = "features",
-                    regression_features=("curImpVal", "preVal", "preImpVal"), bounds=BAND_BOUNDS,
-                    max_iter: int = 100, ridge: float = 0.0) -> TwoStageResult:
-    """Band classifier (M02), then one regression per *predicted* band
-    (M04), fitted on ``train`` and scored on ``test``."""
+                    regression_features=None, bounds=BAND_BOUNDS, max_iter: int = 100, ridge: float = 0.0,
+                    key=("PID", "year"), fractions=(0.7, 0.3)) -> TwoStageResult:
+    """The band classifier (M02) is fitted on ``train`` and predicts the
+    bands of ``test``. Those rows are written once, by predicted band, and
+    split 70/30 inside each band (R02): one part fits the band's regression
+    (M04), the other is scored. The regressions use the whole feature vector,
+    or the named ``regression_features``."""
     tr = train.withColumn("band", band_index(value, bounds))
     te = test.withColumn("band", band_index(value, bounds))
     clf = fit_band_classifier(tr.where(F.col("band").isNotNull()), features, "band", max_iter)
-    tr_p = predict_band(clf, tr)
-    te_p = predict_band(clf, te)
-    coefs = fit_per_class_regression(tr_p, "predicted_band", regression_features, value, ridge)
-    scored = predict_per_class(te_p, coefs, "predicted_band", regression_features)
-    return TwoStageResult(clf, coefs, scored,
-                          accuracy(te_p, "band", "predicted_band"),
-                          rmse_by_class(scored.where(F.col("predicted_value").isNotNull()),
-                                        "predicted_band", value, "predicted_value"))
+    part = split_label([F.col("predicted_band").cast("int"), *key], fractions, ("fit", "score"))
+    path = scratch_dir(test.sparkSession, "predicted")
+    predict_band(clf, te).withColumn("part", part).write.partitionBy("predicted_band", "part").parquet(path)
+    predicted = test.sparkSession.read.parquet(path).withColumn("predicted_band", F.col("predicted_band").cast("double"))
+    fit_rows, rest = predicted.where("part = 'fit'"), predicted.where("part = 'score'")
+    if regression_features is None:
+        regressions = fit_vector_regressions(fit_rows, "predicted_band", features, value, len(bounds) + 1, ridge)
+        scored = predict_vector_regressions(regressions, rest, "predicted_band")
+    else:
+        regressions = fit_per_class_regression(fit_rows, "predicted_band", regression_features, value, ridge)
+        scored = predict_per_class(rest, regressions, "predicted_band", regression_features)
+    return TwoStageResult(clf, regressions, scored, accuracy(predicted, "band", "predicted_band"),
+                          rmse_by_class(scored, "predicted_band", value, "predicted_value"))

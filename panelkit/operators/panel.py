@@ -55,13 +55,13 @@ def prior_value(df: DataFrame, key: str = "PID", year: str = "year", pairs: dict
     ``how='inner'`` drops rows that have no prior row (old behaviour)."""
     if mode == "previous_year":
         w = Window.partitionBy(key).orderBy(year)
-        follows = F.lag(F.col(year)).over(w) == F.col(year) - F.lit(1)
-        out = df.withColumn("_has_prior", F.coalesce(follows, F.lit(False)))
-        for pre, cur in pairs.items():
-            out = out.withColumn(pre, F.when(F.col("_has_prior"), F.lag(F.col(cur)).over(w)))
+        follows = F.coalesce(F.lag(F.col(year)).over(w) == F.col(year) - F.lit(1), F.lit(False))
+        before = [F.lag(F.col(cur)).over(w).alias(f"_prior_{pre}") for pre, cur in pairs.items()]
+        out = df.select("*", follows.alias("_has_prior"), *before)
         if how == "inner":
-            out = out.where(F.col("_has_prior"))
-        return out.drop("_has_prior").select(*_ordered(df, pairs))
+            out = out.where("_has_prior")
+        fill = {pre: F.when(F.col("_has_prior"), F.col(f"_prior_{pre}")) for pre in pairs}
+        return out.withColumns(fill).select(*_ordered(df, pairs))
     if mode == "base_year":
         if base_year is None:
             raise ValueError("base_year mode needs base_year")

@@ -10,19 +10,15 @@ from panelkit.functions.predicates import all_not_null
 STATISTICS = ("count", "mean", "stddev", "min", "max")
 
 
-def quality_report(df: DataFrame, cols=None) -> DataFrame:
-    """One row, ``rows`` plus ``empty_<c>`` = rows where ``c`` is NULL or
-    blank text, for all columns in a single aggregation (not a job per column)."""
-    cols = list(cols or df.columns)
-    return df.agg(F.count(F.lit(1)).cast("long").alias("rows"),
-                  *[F.count_if(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == ""))
-                    .cast("long").alias(f"empty_{c}") for c in cols])
-
-
-def is_complete(report_row, cols=None) -> bool:
-    """The old -1/1 verdict from a collected :func:`quality_report` row."""
-    d = report_row.asDict()
-    return all(v == 0 for k, v in d.items() if k.startswith("empty_") and (cols is None or k[6:] in cols))
+def quality_report(df: DataFrame, cols=None, by: str | None = None) -> DataFrame:
+    """One row (or one for each value of ``by``), ``rows`` plus
+    ``empty_<c>`` = rows where ``c`` is NULL or blank text, for all columns in a
+    single aggregation (not a job per column)."""
+    cols = list(cols or [c for c in df.columns if c != by])
+    return (df.groupBy(by) if by else df.groupBy()).agg(
+        F.count(F.lit(1)).cast("long").alias("rows"),
+        *[F.count_if(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == ""))
+          .cast("long").alias(f"empty_{c}") for c in cols])
 
 
 def complete_cases(df: DataFrame, cols) -> DataFrame:

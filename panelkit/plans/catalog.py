@@ -6,16 +6,17 @@ the matching oracle SQL) because two engines may sum in different orders."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import (
     band_value, code_to_array, concat_codes, date_between, date_from, drop_sentinel, exclude_year,
     has_key, has_length, has_value, month_bucket, not_null, numeric_prefix, onehot_text, prefix_before,
-    split_bucket, valid_code, year_bucket,
+    split_bucket, valid_code, valid_vector, year_bucket,
 )
 from panelkit.operators import (
-    accuracy, apply_feature_pipeline, assemble_features, backfill_attribute, cast_numeric, complete_cases,
+    accuracy, apply_feature_pipeline, assemble_features, backfill_attribute, cast_numeric, category_codes, complete_cases,
     correlate_with, correlation_list, dedup_by_key, describe_numeric, distinct_values, encode_categories,
     encode_legal, encode_zone, fill_from, fit_band_classifier, fit_categories, fit_feature_pipeline,
     fit_per_class_regression, impute_prior, join_indicators, map_values, mean_by_month,
@@ -45,7 +46,7 @@ def rnd(df: DataFrame, *cols, digits: int = DIGITS) -> DataFrame:
 
 
 def opts() -> CleanOptions:
-    return CleanOptions(postal_len=None, zone_names=S.STANDIN_ZONE_NAMES, zone_codes=S.STANDIN_ZONE_CODES,
+    return CleanOptions(postal_len=S.STANDIN_POSTAL_LEN, zone_names=S.STANDIN_ZONE_NAMES, zone_codes=S.STANDIN_ZONE_CODES,
                         legal_values=S.STANDIN_LEGAL)
 
 
@@ -225,7 +226,9 @@ def w10_exclude_year(spark, d):
 def w12_valid_vector(spark, d):
     main = stages(spark, d)["main"]
     code = concat_codes("zoneCat", "legalType", "FSA")
-    return main.where(valid_code(code, 16)).select("PID", "year", code.alias("code"))
+    vectors = main.select("PID", "year", code.alias("code"), code_to_array(code, "year", width=16).alias("vector"))
+    return vectors.where(valid_vector("vector", 17) & valid_code("code", 16)) \
+        .select("PID", "year", "code", F.size("vector").alias("size"))
 
 
 # ---------------------------------------------------------------- joins
@@ -337,8 +340,7 @@ def t01_prefix_before(spark, d):
 
 
 def t02_prefix_before(spark, d):
-    o = S.table(spark, d, "orders", "o_orderkey", "o_orderpriority")
-    return o.select("o_orderkey", prefix_before("o_orderpriority", "-", missing="CD").alias("zoneCat"))
+    return reg(spark, d).select("folio", prefix_before("zoneName", "-", missing="CD").alias("zoneCat"))
 
 
 def t03_onehot_text(spark, d):
@@ -398,7 +400,7 @@ def _fsa(spark, d):
 
 
 def f01_fit_categories(spark, d):
-    return fit_categories(_fsa(spark, d), "FSA")
+    return category_codes(fit_categories(_fsa(spark, d), "FSA"))
 
 
 def f01_encode_categories(spark, d):
@@ -406,10 +408,26 @@ def f01_encode_categories(spark, d):
     return encode_categories(fsa, "FSA", fit_categories(fsa, "FSA"))
 
 
+def _half_dictionary(spark, d):
+    """Parts with odd keys are encoded by the words of the even ones up to 'm'."""
+    fsa = _fsa(spark, d)
+    return fsa, fit_categories(fsa.where((F.col("p_partkey") % 2 == 0) & (F.col("FSA") < "m")), "FSA")
+
+
+def f01_encode_categories_null(spark, d):
+    fsa, words = _half_dictionary(spark, d)
+    return encode_categories(fsa, "FSA", words, unseen="null", raw="fsaText")
+
+
+def f01_encode_categories_keep(spark, d):
+    fsa, words = _half_dictionary(spark, d)
+    return encode_categories(fsa, "FSA", words, unseen="keep")
+
+
 def f02_encode_zone(spark, d):
-    o = S.table(spark, d, "orders", "o_orderkey", "o_orderpriority")
-    z = o.select("o_orderkey", prefix_before("o_orderpriority", "-", missing="CD").alias("zoneCat"))
-    return encode_zone(z, "zoneCat", S.STANDIN_ZONE_NAMES, S.STANDIN_ZONE_CODES)
+    z = fill_from(reg(spark, d).select("folio", "zoneName", "zoneCat"), "zoneCat", "zoneName",
+                  lambda c: prefix_before(c, "-", missing="CD"))
+    return encode_zone(z.drop("zoneName"), "zoneCat", S.STANDIN_ZONE_NAMES, S.STANDIN_ZONE_CODES)
 
 
 def f03_encode_legal(spark, d):
@@ -436,26 +454,32 @@ def f07_weight_by_correlation(spark, d):
 
 def f08_pca_project(spark, d):
     e = S.table(spark, d, "embeddings", "vec_id", "embedding")
-    _, out = pca_project(e, "embedding", 3, "pca")
-    return out.select("vec_id", "pca")
+    width = S.table(spark, d, "embeddings").agg(F.max(F.size("embedding"))).first()[0]
+    _, out = pca_project(e, "embedding", width, "pca")
+    # all components: a rotation, which keeps every row's length
+    square = F.aggregate(vector_to_array("pca"), F.lit(0.0), lambda s, x: s + x * x)
+    return out.select("vec_id", F.round(square, 4).alias("squared_length"))
 
 
 def f09_assemble_features(spark, d):
     mt = model_table(stages(spark, d)["main"], yearly(spark, d))
-    out = assemble_features(mt, ("zoneCat", "legalType", "FSA"), ("curImpVal", "year"), out="features",
-                            as_vector=False)
+    out = assemble_features(mt, ("zoneCat", "legalType", "FSA"), ("curImpVal", "year"), out="features")
     return out.select("PID", "year", "features")
 
 
 def _features(spark, d):
     mt = rnd(model_table(stages(spark, d)["panel"], yearly(spark, d)), "oilprice")
-    mt = mt.where(F.col("preVal").isNotNull() & F.col("curImpVal").isNotNull())
-    params = fit_feature_pipeline(mt)
-    return apply_feature_pipeline(mt, params).withColumn("band", band_index("curVal"))
+    params = fit_feature_pipeline(mt.where(train_or_test() == "training"))
+    return apply_feature_pipeline(mt.withColumn("keyYear", F.col("year")), params, as_vector=False)
+
+
+def train_or_test():
+    return split_label(["PID", "year"], (0.6, 0.4), ("training", "testing"))
 
 
 def f10_feature_pipeline(spark, d):
-    return _features(spark, d).select("PID", "year", "features")
+    """Fitted on the training rows, applied to all."""
+    return _features(spark, d).select("PID", F.col("keyYear").alias("year"), F.transform("features", lambda x: F.round(x, 4) + F.lit(0.0)).alias("features"))
 
 
 # ---------------------------------------------------------------- split
@@ -471,15 +495,29 @@ def r02_hash_split(spark, d):
 
 
 # ---------------------------------------------------------------- models
+def _legal_features(spark, d):
+    """Rows with one saturated block of features, the legal type: the fitted
+    probabilities are then the shares of the bands among its rows."""
+    rows = stages(spark, d)["panel"].where(F.col("curImpVal").isNotNull())
+    return assemble_features(rows, ("legalType",), (), widths={"legalType": len(S.STANDIN_LEGAL)}) \
+        .withColumn("band", band_index("curVal"))
+
+
 def m02_fit_band_classifier(spark, d):
-    model = fit_band_classifier(_features(spark, d), "features", "band", max_iter=100)
-    rows = [(float(i), float(model.interceptVector[i]), [float(x) for x in model.coefficientMatrix.toArray()[i]])
-            for i in range(model.numClasses)]
-    return spark.createDataFrame(rows, "class double, intercept double, coefficients array<double>")
+    """Bands by legal type: their share, and whether the model gives it (to 0.01)."""
+    f = materialize(_legal_features(spark, d), "table")
+    model = fit_band_classifier(f, "features", "band", max_iter=100)
+    p = vector_to_array("probability")
+    scored = model.transform(f).select("legalType", "band", F.get(p, F.col("band").cast("int")).alias("p"))
+    counted = scored.groupBy("legalType", "band").agg(F.count("*").alias("n"), F.avg("p").alias("p"))
+    total = counted.groupBy("legalType").agg(F.sum("n").alias("total"))
+    share = F.col("n") / F.col("total")
+    return counted.join(total, "legalType").select("legalType", "band", "n", F.round(share, 6).alias("share"),
+                                                   (F.abs(F.col("p") - share) <= 0.01).alias("given"))
 
 
 def m03_predict_band(spark, d):
-    f = _features(spark, d)
+    f = materialize(_legal_features(spark, d), "table")
     model = fit_band_classifier(f, "features", "band", max_iter=100)
     return predict_band(model, f).select("PID", "year", "band", "predicted_band")
 
@@ -494,12 +532,19 @@ def m04_fit_per_class_regression(spark, d):
     return rnd(out, "intercept", "slope")
 
 
+def m04_fit_per_class_regression_two(spark, d):
+    """Two features: value totals and year."""
+    c = fit_per_class_regression(_band_frame(spark, d), "class", ["curImpVal", "year"], "curVal")
+    out = c.select("class", "n", "intercept", F.element_at("coefficients", 1).alias("slope"),
+                   F.element_at("coefficients", 2).alias("year_slope"))
+    return rnd(out.where("n > 20"), "intercept", "slope", "year_slope", digits=3)
+
+
 def m05_two_stage_model(spark, d):
-    f = _features(spark, d)
-    train = f.where(split_label(["PID", "year"], (0.6, 0.4), ("training", "testing")) == "training")
-    test = f.where(split_label(["PID", "year"], (0.6, 0.4), ("training", "testing")) == "testing")
-    res = two_stage_model(train, test, "curVal", "features", ("curImpVal", "preVal", "preImpVal"))
-    return res.scored.select("PID", "year", "band", "predicted_band", "predicted_value")
+    f = materialize(_legal_features(spark, d).drop("band"), "table")
+    res = two_stage_model(f.where(train_or_test() == "training"), f.where(train_or_test() == "testing"),
+                          "curVal", "features", ("curImpVal",))
+    return rnd(res.scored.select("PID", "year", "band", "predicted_band", "predicted_value"), "predicted_value", digits=1)
 
 
 def _one_feature_predictions(spark, d):
@@ -560,15 +605,25 @@ def c07_write_model_sets(spark, d):
     return spark.read.parquet(model_sets(spark, d))
 
 
-def train_from_sets(spark, out: str):
+def train_from_sets(spark, out: str, **options):
     """C08 proper (S08 onward): scan the written sets, fit, evaluate."""
-    res = train_value_model(read_model_set(spark, out, "training"), read_model_set(spark, out, "testing"))
+    res = train_value_model(read_model_set(spark, out, "training"), read_model_set(spark, out, "testing"), **options)
     return res["metrics"]
 
 
+C08_SHORT = {"code_cols": ("legalType",), "numeric_cols": (), "regression_features": ("curImpVal",)}
+
+
 def c08_train_value_model(spark, d):
     """Standalone C08: writes the sets (C07) first, then trains on them, so
-    the fits scan Parquet instead of re-running the panel lineage."""
+    the fits scan Parquet instead of re-running the panel lineage. The legal
+    type classifies, the improvement value regresses: both have closed forms."""
+    return rnd(train_from_sets(spark, model_sets(spark, d), **C08_SHORT), "value", digits=4)
+
+
+def c08_train_value_model_full(spark, d):
+    """C08 on all 41-digit-like code blocks and numbers; the bands' regressions
+    take the whole vector. Row check only: the classifier has no closed form."""
     return train_from_sets(spark, model_sets(spark, d))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.buckets import month_bucket, split_bucket
 from panelkit.functions.predicates import date_between, date_from, drop_sentinel, exclude_year, numeric_prefix
-from panelkit.operators.broadcast import broadcast_bounded
 from panelkit.operators.indicators import join_indicators, mean_by_month, mean_by_year, resample_month_to_year
 
 INTEREST_COLUMN = "5y-fixed-posted"
@@ -49,13 +48,12 @@ def monthly_indicators(conversion: DataFrame, oil: DataFrame, interest: DataFram
     ``end`` (W09), unrounded monthly mean as double (A05). Conversion:
     monthly mean without the ``exclude`` year (W10, A01). Oil: every price
     line with its month (T09; no aggregate, ``.`` reads as NULL). The two
-    monthly series hold one row per month and, size checked, are broadcast
-    to the oil rows."""
+    monthly series hold one row per month."""
     rate_m = mean_by_month(interest.where(date_between("date", start, end, text_bounds)), "date",
                            interest_column, "interestrates", rounding=None, value_type="decimal(4,2)")
     conv_m = conversion_monthly(conversion, date_format, exclude)
     oil_m = oil.select(month_bucket("date").alias("month"), F.col("oilprice").try_cast("double").alias("oilprice"))
     monthly = rate_m.join(conv_m, "month")  # month x month: both one row per month
-    joined = oil_m.join(broadcast_bounded(monthly), "month")
+    joined = oil_m.join(monthly, "month")
     y, m = split_bucket("month")
     return joined.select(y.alias("year"), m.alias("month"), "interestrates", "oilprice", "conversionrate")

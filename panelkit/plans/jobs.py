@@ -11,7 +11,7 @@ File layout (defaults follow the original inputs folder):
 usage:
     python -m panelkit.plans.jobs etl <inputs> <output>
     python -m panelkit.plans.jobs indicators <inputs> <output>
-    python -m panelkit.plans.jobs regression <output>
+    python -m panelkit.plans.jobs regression <output> [<metrics> [<scored rows>]]
 """
 
 from __future__ import annotations
@@ -20,12 +20,15 @@ import argparse
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelkit.plans.indicators import monthly_indicators, yearly_indicators
 from panelkit.plans.model import read_model_set, train_value_model, write_model_sets
 from panelkit.plans.register import CleanOptions, RegisterPanel, register_panel
+from panelkit.session import scratch_scope
 from panelkit.sources import scan_header_only, scan_rates, scan_whitespace, scan_years
 
+# Names of the original input files and folders.
 REGISTER_FILE = "taxreport/property_tax_report_csv{year}.csv"
 
 
@@ -76,10 +79,15 @@ def build_yearly(src: dict, layout: Layout = Layout()) -> DataFrame:
 def etl_job(spark: SparkSession, inputs: str, output: str, layout: Layout = Layout(),
             fractions=(0.6, 0.4)) -> dict:
     """Register files + indicators -> panel -> model table -> training and
-    testing sets written under ``output`` (partitioned by ``split``)."""
+    testing sets written under ``output`` (partitioned by ``split``), and the
+    quality rows of every cleaning step (A06) beside it, in ``<output>_quality``.
+    The job's scratch folders are gone when it ends."""
     src = read_inputs(spark, inputs, layout)
-    panel = build_panel_stages(src, layout).panel
-    return write_model_sets(panel, build_yearly(src, layout), output, fractions)
+    with scratch_scope(spark):
+        stages = build_panel_stages(src, layout)
+        paths = write_model_sets(stages.panel, build_yearly(src, layout), output, fractions)
+        stages.quality.write.mode("errorifexists").parquet(f"{output.rstrip('/')}_quality")
+    return paths
 
 
 def indicators_job(spark: SparkSession, inputs: str, output: str | None = None,
@@ -93,10 +101,16 @@ def indicators_job(spark: SparkSession, inputs: str, output: str | None = None,
     return table
 
 
-def regression_job(spark: SparkSession, sets_dir: str, metrics_out: str | None = None) -> DataFrame:
-    """Train on ``training``, score ``testing`` (C08); the metric table
-    (metric, class, n, value) is written as Parquet when ``metrics_out`` is given."""
-    res = train_value_model(read_model_set(spark, sets_dir, "training"), read_model_set(spark, sets_dir, "testing"))
+def regression_job(spark: SparkSession, sets_dir: str, metrics_out: str | None = None, scored_out: str | None = None,
+                   **options) -> DataFrame:
+    """Train on ``training``, score ``testing`` (C08; ``options`` go to
+    :func:`train_value_model`). The metric table is written as Parquet when
+    ``metrics_out`` is given, the scored rows (key, value, bands, predicted
+    value) when ``scored_out`` is."""
+    res = train_value_model(read_model_set(spark, sets_dir, "training"), read_model_set(spark, sets_dir, "testing"), **options)
+    if scored_out:
+        (res["result"].scored.select("PID", F.col("keyYear").alias("year"), "curVal", "band", "predicted_band", "predicted_value")
+         .write.mode("errorifexists").parquet(scored_out))
     metrics = res["metrics"]
     if metrics_out:
         metrics.write.mode("errorifexists").parquet(metrics_out)
@@ -116,7 +130,7 @@ def main(argv=None) -> None:
     elif args.job == "indicators":
         indicators_job(spark, args.paths[0], args.paths[1] if len(args.paths) > 1 else None).show()
     else:
-        regression_job(spark, args.paths[0], args.paths[1] if len(args.paths) > 1 else None).show()
+        regression_job(spark, *args.paths[:3]).show()
 
 
 if __name__ == "__main__":

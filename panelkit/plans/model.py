@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.operators.features import (
-    MODEL_NUMERIC, apply_feature_pipeline, cast_numeric, fit_feature_pipeline, weight_by_correlation,
+    CODE_BLOCKS, FEATURE_NUMERIC, MODEL_NUMERIC, apply_feature_pipeline, cast_numeric, fit_feature_pipeline,
+    has_all_features, pca_project, weight_by_correlation,
 )
 from panelkit.operators.indicators import model_table
 from panelkit.operators.keys import split_label
@@ -14,8 +15,6 @@ from panelkit.operators.models import two_stage_model
 from panelkit.operators.quality import complete_cases, correlation_list
 
 SPLIT_NAMES = ("training", "testing")
-CODE_COLUMNS = ("legalType", "zoneCat", "FSA")
-WEIGHTED = ("curVal", "curImpVal", "preVal", "preImpVal", "year", "interestrates", "oilprice", "conversionrate")
 
 
 def labelled_model_table(panel: DataFrame, indicators: DataFrame, fractions=(0.6, 0.4),
@@ -37,32 +36,49 @@ def read_model_set(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(out_dir).where(F.col("split") == F.lit(name)).drop("split")
 
 
-def prepare_training(df: DataFrame) -> DataFrame:
-    """P06 + W06: value columns to double, complete cases only."""
-    typed = cast_numeric(df, MODEL_NUMERIC, keep=("PID", *CODE_COLUMNS))
-    return complete_cases(typed, list(MODEL_NUMERIC) + list(CODE_COLUMNS))
+def prepare_training(df: DataFrame, code_cols=CODE_BLOCKS) -> DataFrame:
+    """P06 + W06: value columns to double, complete cases only; ``keyYear``
+    keeps the year of the row's key, whatever scaling does to ``year``."""
+    typed = cast_numeric(df, MODEL_NUMERIC, keep=("PID", *code_cols))
+    return complete_cases(typed, [*MODEL_NUMERIC, *code_cols]).withColumn("keyYear", F.col("year").cast("int"))
 
 
-def train_value_model(train: DataFrame, test: DataFrame, max_iter: int = 100,
-                      regression_features=("curImpVal", "year", "preVal", "preImpVal", "oilprice",
-                                           "interestrates", "conversionrate")) -> dict:
-    """P06 W06 A08 F07 F10 T14 M05 E01 E03.
+def _metric(name: str, df: DataFrame, value, cls=None, unscored=None) -> DataFrame:
+    none = F.lit(None)
+    return df.select(F.lit(name).alias("metric"), (cls if cls is not None else none).cast("double").alias("class"), "n",
+                     (unscored if unscored is not None else none).cast("long").alias("n_unscored"),
+                     (value if value is not None else none).cast("double").alias("value"))
+
+
+def train_value_model(train: DataFrame, test: DataFrame, max_iter: int = 100, code_cols=CODE_BLOCKS,
+                      numeric_cols=FEATURE_NUMERIC, regression_features=None, pca_components: int | None = None) -> dict:
+    """P06 W06 A08 F07 F10 T14 (F08) M05 E01 E03.
 
     Correlations with ``curVal`` are fitted on the training rows and used as
     column weights on both sets (a NULL correlation - a constant column -
-    weighs 0); the scaler is fitted on the training rows only. Returns the
-    fitted pieces and a ``metrics`` DataFrame (metric, class, n, value)."""
-    tr = prepare_training(train)
-    te = prepare_training(test)
-    corr = correlation_list(tr, "curVal", WEIGHTED)
-    weights = [1.0 if c == "curVal" else (w if w is not None else 0.0) for c, w in zip(WEIGHTED, corr)]
-    tr = weight_by_correlation(tr, WEIGHTED, weights)
-    te = weight_by_correlation(te, WEIGHTED, weights)
-    params = fit_feature_pipeline(tr)
-    tr_f = apply_feature_pipeline(tr, params, code_cols=("zoneCat", "legalType", "FSA"))
-    te_f = apply_feature_pipeline(te, params, code_cols=("zoneCat", "legalType", "FSA"))
-    result = two_stage_model(tr_f, te_f, "curVal", "features", regression_features, max_iter=max_iter)
-    metrics = result.accuracy.select(F.lit("accuracy").alias("metric"), F.lit(None).cast("double").alias("class"),
-                                     "n", F.col("accuracy").alias("value")).unionByName(
-        result.rmse_by_class.select(F.lit("rmse").alias("metric"), "class", "n", F.col("rmse").alias("value")))
-    return {"correlations": dict(zip(WEIGHTED, corr)), "params": params, "result": result, "metrics": metrics}
+    weighs 0); scaler, code widths and the optional PCA before the classifier
+    are fitted on the training rows only. Returns the fitted pieces and a
+    ``metrics`` DataFrame (metric, class, n, n_unscored, value): accuracy over
+    the test rows, RMSE by predicted band over the scored part, and the test
+    rows left out because a feature is missing or not mapped."""
+    tr = prepare_training(train, code_cols)
+    te = prepare_training(test, code_cols)
+    corr = correlation_list(tr, "curVal", MODEL_NUMERIC)
+    weights = [1.0 if c == "curVal" else (w if w is not None else 0.0) for c, w in zip(MODEL_NUMERIC, corr)]
+    tr = weight_by_correlation(tr, MODEL_NUMERIC, weights)
+    te = weight_by_correlation(te, MODEL_NUMERIC, weights)
+    params = fit_feature_pipeline(tr, code_cols=code_cols, numeric_cols=numeric_cols)
+    tr_f = apply_feature_pipeline(tr, params)
+    te_f = apply_feature_pipeline(te, params)
+    pca = None
+    if pca_components:
+        pca, tr_f = pca_project(tr_f, "features", pca_components, "_projected")
+        te_f = pca.transform(te_f)
+        tr_f, te_f = (d.drop("features").withColumnRenamed("_projected", "features") for d in (tr_f, te_f))
+    result = two_stage_model(tr_f, te_f, "curVal", "features", regression_features, max_iter=max_iter,
+                             key=("PID", "keyYear"))
+    left_out = te.agg(F.count_if(~has_all_features(params)).cast("long").alias("n"))
+    metrics = (_metric("accuracy", result.accuracy, F.col("accuracy"))
+               .unionByName(_metric("rmse", result.rmse_by_class, F.col("rmse"), F.col("class"), F.col("n_unscored")))
+               .unionByName(_metric("left_out", left_out, None)))
+    return {"correlations": dict(zip(MODEL_NUMERIC, corr)), "params": params, "pca": pca, "result": result, "metrics": metrics}

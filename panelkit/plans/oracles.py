@@ -11,7 +11,7 @@ from panelkit.sources.readers import HISTORY_MISSING, REGISTER_COLUMNS
 MAIN_10 = ("PID", "legalType", "zoneName", "zoneCat", "postalCode", "curVal", "curImpVal", "taxAssess",
            "preVal", "preImpVal")
 HIST_6 = ("PID", "legalType", "postalCode", "curVal", "curImpVal", "taxAssess")
-PANEL = "PID, legalType, zoneCat, curVal, curImpVal, year, preVal, preImpVal, FSA"
+PANEL = "PID, legalType, zoneCat, curVal, curImpVal, year, preVal, preImpVal, FSA, fsaText"
 
 
 def _in(years):
@@ -56,8 +56,9 @@ _GIVEN = {
     "PID": "CAST(o.o_custkey AS VARCHAR)",
     "legalType": "o.o_orderstatus",
     "folio": "CAST(o.o_orderkey AS VARCHAR)",
-    "zoneName": "o.o_orderpriority",
-    "postalCode": "o.pname",
+    "zoneName": "CASE WHEN o.o_orderkey % 17 = 0 THEN '' ELSE o.o_orderpriority END",
+    "zoneCat": "CASE WHEN o.o_orderkey % 26 = 0 THEN '2-HIGH' WHEN o.o_orderkey % 13 = 0 THEN '3' END",
+    "postalCode": f"CASE WHEN o.o_orderkey % 20 = 0 THEN o.pname ELSE rpad(o.pname, {S.STANDIN_POSTAL_LEN}, '.') END",
     "curVal": "CAST(s.cur AS VARCHAR)",
     "curImpVal": "CAST(s.imp AS VARCHAR)",
     "taxAssess": "CAST(o.yr AS VARCHAR)",
@@ -89,7 +90,7 @@ register AS (
 
 def _valid(name, years, cols, require_zone, zone_exempt=()):
     order = ", ".join(c for c in cols if c not in ("PID", "taxAssess"))
-    cond = "COALESCE(TRIM(PID), '') <> ''"
+    cond = f"COALESCE(TRIM(PID), '') <> '' AND length(TRIM(postalCode)) = {S.STANDIN_POSTAL_LEN}"
     if require_zone:
         exempt = f" OR taxAssess IN ({_in(zone_exempt)})" if zone_exempt else ""
         cond += f" AND (COALESCE(TRIM(zoneName), '') <> ''{exempt})"
@@ -110,13 +111,13 @@ main AS (
   SELECT v.PID, """ + _legal("v.legalType") + """ AS legalType, """ + _zone_map("v.zc") + """ AS zoneCat,
          TRY_CAST(v.curVal AS DOUBLE) AS curVal, TRY_CAST(v.curImpVal AS DOUBLE) AS curImpVal,
          TRY_CAST(v.taxAssess AS INTEGER) AS year, TRY_CAST(v.preVal AS DOUBLE) AS preVal,
-         TRY_CAST(v.preImpVal AS DOUBLE) AS preImpVal, d.code AS FSA
+         TRY_CAST(v.preImpVal AS DOUBLE) AS preImpVal, d.code AS FSA, v.FSA AS fsaText
   FROM (SELECT *, CASE WHEN COALESCE(TRIM(zoneCat), '') = '' THEN """ + _t02("zoneName") + """ ELSE zoneCat END AS zc
         FROM main_valid) v LEFT JOIN dict_code d ON v.FSA = d.value)""" \
     + _valid("hist_valid", [S.BASE_YEAR, *S.HISTORY_YEARS], HIST_6, False) + """,
 hist_rows AS (
   SELECT v.PID, """ + _legal("v.legalType") + """ AS legalType, TRY_CAST(v.curVal AS DOUBLE) AS curVal,
-         TRY_CAST(v.curImpVal AS DOUBLE) AS curImpVal, TRY_CAST(v.taxAssess AS INTEGER) AS year, d.code AS FSA
+         TRY_CAST(v.curImpVal AS DOUBLE) AS curImpVal, TRY_CAST(v.taxAssess AS INTEGER) AS year, d.code AS FSA, v.FSA AS fsaText
   FROM hist_valid v LEFT JOIN dict_code d ON v.FSA = d.value),
 zone_donor AS (
   SELECT PID, zoneCat FROM (
@@ -124,10 +125,10 @@ zone_donor AS (
   WHERE rn = 1),
 base AS (
   SELECT h.PID, h.legalType, z.zoneCat, h.curVal, h.curImpVal, h.year,
-         h.curVal * CAST(0.99 AS DOUBLE) AS preVal, h.curImpVal * CAST(0.99 AS DOUBLE) AS preImpVal, h.FSA
+         h.curVal * CAST(0.99 AS DOUBLE) AS preVal, h.curImpVal * CAST(0.99 AS DOUBLE) AS preImpVal, h.FSA, h.fsaText
   FROM hist_rows h JOIN zone_donor z ON h.PID = z.PID WHERE h.year = """ + str(S.BASE_YEAR) + """),
 history AS (
-  SELECT h.PID, h.legalType, z.zoneCat, h.curVal, h.curImpVal, h.year, h.pv AS preVal, h.piv AS preImpVal, h.FSA
+  SELECT h.PID, h.legalType, z.zoneCat, h.curVal, h.curImpVal, h.year, h.pv AS preVal, h.piv AS preImpVal, h.FSA, h.fsaText
   FROM (SELECT *, lag(year) OVER w AS py, lag(curVal) OVER w AS pv, lag(curImpVal) OVER w AS piv
         FROM hist_rows WINDOW w AS (PARTITION BY PID ORDER BY year)) h
   JOIN zone_donor z ON h.PID = z.PID
@@ -203,6 +204,16 @@ b AS (SELECT *, CAST(""" + _band("curVal") + """ AS INTEGER) - CAST(1 AS DOUBLE)
 coef AS (SELECT class, regr_intercept(curVal, curImpVal) AS b0, regr_slope(curVal, curImpVal) AS b1 FROM b GROUP BY class),
 pred AS (SELECT b.*, coef.b0 + coef.b1 * b.curImpVal AS prediction FROM b JOIN coef USING (class))""")
 
+# Bands by the most frequent one of the legal type in tr; te2 has te's rows with the predicted band and
+# the part of the split inside it; scored has the second part with its band's regression.
+TWO_STAGE = """
+pb AS (SELECT legalType, arg_max(band, c) AS predicted_band FROM (SELECT legalType, band, COUNT(*) AS c FROM tr GROUP BY ALL) GROUP BY legalType),
+te2 AS (SELECT te.*, predicted_band, """ + _split("CAST(CAST(predicted_band AS INTEGER) AS VARCHAR), PID, CAST(year AS VARCHAR)",
+                                                    (0.7, 0.3), ("fit", "score")) + """ AS part FROM te JOIN pb USING (legalType)),
+co AS (SELECT predicted_band, regr_intercept(curVal, curImpVal) AS b0, regr_slope(curVal, curImpVal) AS b1
+       FROM te2 WHERE part = 'fit' GROUP BY predicted_band),
+scored AS (SELECT te2.*, b0 + b1 * curImpVal AS predicted_value FROM te2 LEFT JOIN co USING (predicted_band) WHERE part = 'score')"""
+
 
 def oracles() -> dict[str, str]:
     reg_cols = ", ".join(REGISTER_COLUMNS)
@@ -260,7 +271,7 @@ def oracles() -> dict[str, str]:
                                          "WHERE date >= '1996-01' AND date <= '2000-12'")
     q["w10_exclude_year"] = (f"SELECT {CONV_TEXT[0]} AS date, strftime(l_shipdate, '%Y/%m') AS month, "
                              f"{CONV_TEXT[1]} AS rate FROM lineitem WHERE year(l_shipdate) <> 2001")
-    q["w12_valid_vector"] = w(PANEL_SQL) + (" SELECT PID, year, zoneCat || legalType || FSA AS code FROM main "
+    q["w12_valid_vector"] = w(PANEL_SQL) + (" SELECT PID, year, zoneCat || legalType || FSA AS code, 17 AS size FROM main "
                                             "WHERE length(zoneCat || legalType || FSA) = 16")
 
     q["j01_backfill_attribute"] = w(REGISTER, f"""
@@ -312,7 +323,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate,
         f"WHERE taxAssess = '{S.BASE_YEAR}'")
 
     q["t01_prefix_before"] = f"SELECT p_partkey, {_t01('p_name')} AS FSA FROM part"
-    q["t02_prefix_before"] = f"SELECT o_orderkey, {_t02('o_orderpriority')} AS zoneCat FROM orders"
+    q["t02_prefix_before"] = w(REGISTER) + f" SELECT folio, {_t02('zoneName')} AS zoneCat FROM register"
     q["t03_onehot_text"] = f"SELECT p_partkey, {_onehot('p_size - 1', 50)} AS code FROM part"
     q["t04_onehot_text"] = f"SELECT n_nationkey, {_onehot('n_nationkey', '(SELECT COUNT(*) FROM nation)')} AS code FROM nation"
     q["t05_month_bucket"] = f"SELECT {CONV_TEXT[0]} AS date, strftime(l_shipdate, '%Y/%m') AS month FROM lineitem"
@@ -336,7 +347,29 @@ d AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS i
       FROM (SELECT DISTINCT FSA AS value FROM fsa WHERE FSA IS NOT NULL))"""
     q["f01_fit_categories"] = w(fsa_dict) + f" SELECT value, idx, {_onehot('idx', 'n')} AS code FROM d"
     q["f01_encode_categories"] = w(fsa_dict) + f" SELECT p_partkey, {_onehot('idx', 'n')} AS FSA FROM fsa LEFT JOIN d ON FSA = value"
-    q["f02_encode_zone"] = f"SELECT o_orderkey, {_zone_map(_t02('o_orderpriority'))} AS zoneCat FROM orders"
+    q["f02_encode_zone"] = w(REGISTER) + (f" SELECT folio, {_zone_map('z')} AS zoneCat FROM (SELECT folio, CASE WHEN "
+                                          f"COALESCE(TRIM(zoneCat), '') = '' THEN {_t02('zoneName')} ELSE zoneCat END AS z FROM register)")
+    half = fsa_dict.replace("WHERE FSA IS NOT NULL", "WHERE FSA < 'm' AND p_partkey % 2 = 0")
+    q["f01_encode_categories_null"] = w(half) + f" SELECT p_partkey, {_onehot('idx', 'n')} AS FSA, FSA AS fsaText FROM fsa LEFT JOIN d ON FSA = value"
+    q["f01_encode_categories_keep"] = w(half) + f" SELECT p_partkey, COALESCE({_onehot('idx', 'n')}, FSA) AS FSA FROM fsa LEFT JOIN d ON FSA = value"
+    q["f08_pca_project"] = ("SELECT vec_id, ROUND(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 4) "
+                            "AS squared_length FROM embeddings")
+    scaled = [f"(({c} - avg_{c}) / sd_{c})" for c in ("preVal", "preImpVal", "oilprice", "interestrates", "conversionrate")]
+    numbers = ["((curImpVal - avg_curImpVal) / sd_curImpVal)", "((year - lo) / (hi - lo + 5))", *scaled]
+    stat = ", ".join(f"AVG({c}) AS avg_{c}, STDDEV_SAMP({c}) AS sd_{c}" for c in
+                     ("curImpVal", "preVal", "preImpVal", "oilprice", "interestrates", "conversionrate"))
+    q["f10_feature_pipeline"] = w(PANEL_SQL, SERIES, """
+mt AS (SELECT PID, zoneCat, legalType, FSA, curImpVal, preVal, preImpVal, CAST(year AS DOUBLE) AS year, year AS y, oilprice,
+              CAST(interestrates AS DOUBLE) AS interestrates, CAST(conversionrate AS DOUBLE) AS conversionrate
+       FROM panel JOIN yearly USING (year)),
+st AS (SELECT """ + stat + """, MIN(year) AS lo, MAX(year) AS hi FROM mt WHERE """ + _split("PID, CAST(y AS VARCHAR)", (0.6, 0.4)) + """ = 'training')""") + f"""
+SELECT PID, y AS year, list_transform(list_concat(list_transform(range(1, length(code) + 1), lambda i: CAST(substring(code, i, 1) AS DOUBLE)),
+  [{", ".join(numbers)}]), lambda x: ROUND(x, 4) + CAST(0 AS DOUBLE)) AS features
+FROM (SELECT *, zoneCat || legalType || FSA AS code FROM mt, st
+      WHERE regexp_matches(zoneCat, '^0*10*$') AND length(zoneCat) = {len(S.STANDIN_ZONE_CODES)}
+        AND regexp_matches(legalType, '^0*10*$') AND length(legalType) = {len(S.STANDIN_LEGAL)}
+        AND regexp_matches(FSA, '^0*10*$') AND length(FSA) = (SELECT MAX(n) FROM dict)
+        AND curImpVal IS NOT NULL AND preVal IS NOT NULL AND preImpVal IS NOT NULL)"""
     q["f03_encode_legal"] = f"SELECT o_orderkey, {_legal('o_orderstatus')} AS o_orderstatus FROM orders"
     q["f05_standardize"] = "SELECT l_orderkey, l_linenumber, " + ", ".join(
         f"ROUND(({c} - AVG({c}) OVER ()) / STDDEV_SAMP({c}) OVER (), 6) + CAST(0 AS DOUBLE) AS {c}" for c in LI_NUM) + " FROM lineitem"
@@ -359,12 +392,40 @@ FROM (SELECT m.*, zoneCat || legalType || FSA AS code FROM main m JOIN yearly US
 b AS (SELECT *, CAST(""" + _band("curVal") + """ AS INTEGER) - CAST(1 AS DOUBLE) AS class FROM cy)""") + (
         " SELECT class, regr_count(curVal, curImpVal) AS n, ROUND(regr_intercept(curVal, curImpVal), 6) AS intercept, "
         "ROUND(regr_slope(curVal, curImpVal), 6) AS slope FROM b GROUP BY class")
+    q["m04_fit_per_class_regression_two"] = w(BASE, """
+b AS (SELECT *, CAST(""" + _band("curVal") + """ AS INTEGER) - CAST(1 AS DOUBLE) AS class FROM cy WHERE curImpVal IS NOT NULL),
+m AS (SELECT class, COUNT(*) AS n, AVG(curVal) AS my, AVG(curImpVal) AS m1, AVG(year) AS m2,
+             covar_pop(curImpVal, curImpVal) AS c11, covar_pop(curImpVal, year) AS c12, covar_pop(year, year) AS c22,
+             covar_pop(curImpVal, curVal) AS c1y, covar_pop(year, curVal) AS c2y FROM b GROUP BY class),
+s AS (SELECT *, (c1y * c22 - c2y * c12) / (c11 * c22 - c12 * c12) AS b1, (c2y * c11 - c1y * c12) / (c11 * c22 - c12 * c12) AS b2 FROM m WHERE n > 20)""") + (
+        " SELECT class, n, ROUND(my - b1 * m1 - b2 * m2, 3) AS intercept, ROUND(b1, 3) AS slope, ROUND(b2, 3) AS year_slope FROM s")
+    legal = w(PANEL_SQL, """
+f AS (SELECT PID, year, legalType, curVal, curImpVal, CAST(""" + _band("curVal") + """ AS INTEGER) - CAST(1 AS DOUBLE) AS band
+      FROM panel WHERE curImpVal IS NOT NULL)""")
+    q["m02_fit_band_classifier"] = legal + (" SELECT legalType, band, COUNT(*) AS n, ROUND(COUNT(*) / CAST(SUM(COUNT(*)) OVER (PARTITION BY legalType) "
+                                            "AS DOUBLE), 6) AS share, true AS given FROM f GROUP BY legalType, band")
+    q["m03_predict_band"] = legal + (" SELECT PID, year, band, (SELECT arg_max(g.band, g.c) FROM (SELECT legalType, band, COUNT(*) AS c FROM f "
+                                     "GROUP BY ALL) g WHERE g.legalType = f.legalType) AS predicted_band FROM f")
+    in_set = _split("PID, CAST(year AS VARCHAR)", (0.6, 0.4))
+    q["m05_two_stage_model"] = legal + f""",
+tr AS (SELECT * FROM f WHERE {in_set} = 'training'), te AS (SELECT * FROM f WHERE {in_set} = 'testing'), {TWO_STAGE}
+SELECT PID, year, band, predicted_band, ROUND(predicted_value, 1) AS predicted_value FROM scored"""
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in ("curVal", "curImpVal", "preVal", "preImpVal", "legalType"))
+    q["c08_train_value_model"] = w(PANEL_SQL, SERIES, f"""
+f AS (SELECT PID, year, legalType, curVal, curImpVal, CAST({_band("curVal")} AS INTEGER) - CAST(1 AS DOUBLE) AS band
+      FROM panel JOIN yearly USING (year) WHERE {complete})""") + f""",
+tr AS (SELECT * FROM f WHERE {in_set} = 'training'), te AS (SELECT * FROM f WHERE {in_set} = 'testing'), {TWO_STAGE}
+SELECT 'accuracy' AS metric, NULL::DOUBLE AS class, COUNT(*) AS n, NULL::BIGINT AS n_unscored,
+       ROUND(AVG(CAST(band = predicted_band AS DOUBLE)), 4) AS value FROM te2
+UNION ALL SELECT 'rmse', predicted_band, COUNT(*), COUNT(*) - COUNT(predicted_value), ROUND(SQRT(AVG(POWER(curVal - predicted_value, 2))), 4)
+FROM scored GROUP BY predicted_band
+UNION ALL SELECT 'left_out', NULL::DOUBLE, 0, NULL::BIGINT, NULL::DOUBLE"""
     q["e01_accuracy"] = w(BASE) + f""" SELECT COUNT(*) AS n, ROUND(AVG(CAST(label = prediction AS DOUBLE)), 6) AS accuracy
 FROM (SELECT {_band('curVal')} AS label, {_band('pv')} AS prediction FROM (
   SELECT *, lag(year) OVER w AS py, lag(curVal) OVER w AS pv FROM cy WINDOW w AS (PARTITION BY PID ORDER BY year))
   WHERE py = year - 1)"""
     q["e02_rmse"] = ONE_FEATURE + " SELECT COUNT(*) AS n, ROUND(SQRT(AVG(POWER(curVal - prediction, 2))), 4) AS rmse FROM pred"
-    q["e03_rmse_by_class"] = ONE_FEATURE + (" SELECT class, COUNT(*) AS n, ROUND(SQRT(AVG(POWER(curVal - prediction, 2))), 4)"
+    q["e03_rmse_by_class"] = ONE_FEATURE + (" SELECT class, COUNT(*) AS n, COUNT(*) - COUNT(prediction) AS n_unscored, ROUND(SQRT(AVG(POWER(curVal - prediction, 2))), 4)"
                                             " AS rmse FROM pred GROUP BY class")
 
     q["c01_clean_main_year"] = w(PANEL_SQL) + f" SELECT {PANEL} FROM main"
@@ -372,7 +433,7 @@ FROM (SELECT {_band('curVal')} AS label, {_band('pv')} AS prediction FROM (
     q["c03_clean_history"] = w(PANEL_SQL) + f" SELECT {PANEL} FROM history"
     q["c04_build_panel"] = w(PANEL_SQL) + f" SELECT {PANEL} FROM panel"
     q["c03_clean_history_base_year"] = w(PANEL_SQL) + f""" SELECT h.PID, h.legalType, z.zoneCat, h.curVal,
-  h.curImpVal, h.year, b.curVal AS preVal, b.curImpVal AS preImpVal, h.FSA
+  h.curImpVal, h.year, b.curVal AS preVal, b.curImpVal AS preImpVal, h.FSA, h.fsaText
 FROM hist_rows h JOIN hist_rows b ON h.PID = b.PID AND b.year = {S.BASE_YEAR}
 JOIN zone_donor z ON h.PID = z.PID
 WHERE h.year IN ({", ".join(str(y) for y in S.HISTORY_YEARS)})"""

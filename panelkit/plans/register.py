@@ -22,7 +22,8 @@ from panelkit.operators.panel import backfill_attribute, fill_from, impute_prior
 from panelkit.operators.quality import quality_report
 from panelkit.session import ensure_checkpoint_dir, scratch_dir
 
-PANEL_COLUMNS = ("PID", "legalType", "zoneCat", "curVal", "curImpVal", "year", "preVal", "preImpVal", "FSA")
+# The panel's columns; fsaText beside them keeps the text that FSA encodes.
+PANEL_COLUMNS = ("PID", "legalType", "zoneCat", "curVal", "curImpVal", "year", "preVal", "preImpVal", "FSA", "fsaText")
 VALUE_COLUMNS = ("curVal", "curImpVal", "preVal", "preImpVal")
 MAIN_SELECT = ("PID", "legalType", "zoneName", "zoneCat", "postalCode", "curVal", "curImpVal",
                "taxAssess", "preVal", "preImpVal")
@@ -39,7 +40,6 @@ class CleanOptions:
     zone_missing: str = "CD"
     legal_values: tuple = LEGAL_TYPES
     unseen: str = "null"
-    max_categories: int = 4096
 
 
 def _years(df: DataFrame, years) -> DataFrame:
@@ -69,7 +69,7 @@ def select_valid(register: DataFrame, years, columns, opts: CleanOptions, requir
 def fit_fsa_dictionary(register: DataFrame, reference_year, opts: CleanOptions = CleanOptions()) -> DataFrame:
     """F01 fit on the clean rows of the reference year."""
     rows = select_valid(register, [reference_year], MAIN_SELECT, opts, require_zone=False)
-    return fit_categories(rows, "FSA", opts.max_categories)
+    return fit_categories(rows, "FSA")
 
 
 def _typed(df: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def _typed(df: DataFrame) -> DataFrame:
 
 def encode_main(valid: DataFrame, dictionary: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
     """F01 P07 F02 F03 P02 on rows from :func:`select_valid`."""
-    rows = encode_categories(valid, "FSA", dictionary, unseen=opts.unseen)
+    rows = encode_categories(valid, "FSA", dictionary, unseen=opts.unseen, raw="fsaText")
     rows = fill_from(rows, "zoneCat", "zoneName", lambda c: prefix_before(c, "-", missing=opts.zone_missing))
     rows = encode_zone(rows, "zoneCat", opts.zone_names, opts.zone_codes)
     rows = encode_legal(rows, "legalType", opts.legal_values)
@@ -104,7 +104,7 @@ def clean_main_year(register: DataFrame, years, dictionary: DataFrame,
 
 def _history_rows(register: DataFrame, years, dictionary: DataFrame, opts: CleanOptions) -> DataFrame:
     rows = select_valid(register, years, HISTORY_SELECT, opts, require_zone=False)
-    rows = encode_categories(rows, "FSA", dictionary, unseen=opts.unseen)
+    rows = encode_categories(rows, "FSA", dictionary, unseen=opts.unseen, raw="fsaText")
     rows = encode_legal(rows, "legalType", opts.legal_values)
     for c in ("zoneCat", "preVal", "preImpVal"):
         rows = rows.withColumn(c, F.lit(None).cast("string"))
@@ -218,12 +218,12 @@ class RegisterPanel:
     def dictionary(self) -> DataFrame:
         ref = self.valid_main.where(F.col("taxAssess") == F.lit(str(self.reference_year)))
         return self._once("dictionary", lambda: materialize(
-            fit_categories(ref, "FSA", self.opts.max_categories), self.persist))
+            fit_categories(ref, "FSA"), self.persist))
 
     @property
     def main(self) -> DataFrame:
-        return self._once("main", lambda: materialize(
-            encode_main(self.valid_main, self.dictionary, self.opts), self.persist))
+        """Not materialized: an encoding join over ``valid_main`` is cheap to repeat."""
+        return self._once("main", lambda: encode_main(self.valid_main, self.dictionary, self.opts))
 
     @property
     def rows(self) -> DataFrame:
@@ -231,23 +231,35 @@ class RegisterPanel:
             prepare_history(self.register_hist, [self.base_year, *self.history_years], self.dictionary, self.opts),
             self.persist))
 
+    @property
+    def before_main(self) -> DataFrame:
+        """C02 and C03 together: priors of base and history rows, then one
+        backfill for both."""
+        base = impute_prior(self.rows.where(F.col("year") == F.lit(self.base_year)))
+        later = prior_value(self.rows, "PID", "year", mode=self.mode, base_year=self.base_year)
+        priced = base.unionByName(later.where(F.col("year").isin(self.history_years)))
+        return backfill_attribute(priced, self.main, "PID", ["zoneCat"], ["year"]).select(*PANEL_COLUMNS)
+
     @property
     def base(self) -> DataFrame:
-        return base_from_rows(self.rows, self.base_year, self.main)
+        return self.before_main.where(F.col("year") == F.lit(self.base_year))
 
     @property
     def history(self) -> DataFrame:
-        return history_from_rows(self.rows, self.base_year, self.history_years, self.main, self.mode)
+        return self.before_main.where(F.col("year").isin(self.history_years))
 
     @property
     def panel(self) -> DataFrame:
-        return build_panel(self.main, self.base, self.history)
+        return stack_years([self.main, self.before_main], numeric=VALUE_COLUMNS)
 
     @property
     def quality(self) -> DataFrame:
-        """A06 over the panel: empty-or-NULL counts of every column in one
-        pass (the old per-step check ran one job per column)."""
-        return quality_report(self.panel)
+        """A06 for each cleaning step (``main``, ``base``, ``history``):
+        empty-or-NULL counts of every column in one pass (the old per-step
+        check ran one job per column)."""
+        step = (F.when(F.col("year") == F.lit(self.base_year), "base")
+                .when(F.col("year").isin(self.history_years), "history").otherwise("main"))
+        return quality_report(self.panel.withColumn("step", step), by="step")
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)

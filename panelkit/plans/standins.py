@@ -7,9 +7,11 @@ tables:
 
 * register (one row per order, text columns as read from CSV):
   PID = o_custkey, folio = o_orderkey, legalType = o_orderstatus,
-  zoneName = o_orderpriority (zoneCat empty, filled from it),
+  zoneName = o_orderpriority, empty for every 17th order; zoneCat empty and
+  filled from it, but for every 13th order (a code, or a zone's name),
   postalCode = part name of the order's first line, ties on the line number
-  broken by the name, NULL first (FSA = its first word),
+  broken by the name, NULL first (FSA = its first word), padded to the valid
+  length but for every 20th order,
   curVal / curImpVal = the key's totals of o_totalprice / l_extendedprice in
   the year, preVal / preImpVal = the same totals of the year before,
   taxAssess = year(o_orderdate). Several orders of a key in a year are the
@@ -39,6 +41,7 @@ REFERENCE_YEAR = 2001
 STANDIN_ZONE_NAMES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 STANDIN_ZONE_CODES = ("1", "2", "3", "4", "5")
 STANDIN_LEGAL = ("F", "O", "P")
+STANDIN_POSTAL_LEN = 20
 RATE_DATE_FORMAT = "M/d/yyyy"
 INTEREST_START = "1995-01"
 MONTHLY_START, MONTHLY_END, MONTHLY_EXCLUDE = "1995-01", "2000-12", 2001
@@ -79,8 +82,10 @@ def register_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "PID": F.col("o_custkey").cast("string"),
         "legalType": F.col("o_orderstatus"),
         "folio": F.col("o_orderkey").cast("string"),
-        "zoneName": F.col("o_orderpriority"),
-        "postalCode": F.col("pname"),
+        "zoneName": F.when(F.col("o_orderkey") % 17 == 0, "").otherwise(F.col("o_orderpriority")),
+        "zoneCat": F.when(F.col("o_orderkey") % 26 == 0, "2-HIGH").when(F.col("o_orderkey") % 13 == 0, "3"),
+        "postalCode": F.when(F.col("o_orderkey") % 20 == 0, F.col("pname"))
+        .otherwise(F.rpad(F.col("pname"), STANDIN_POSTAL_LEN, ".")),
         "curVal": F.col("cur").cast("string"),
         "curImpVal": F.col("imp").cast("string"),
         "taxAssess": F.col("yr").cast("string"),

@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -99,9 +101,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("panelkit_scratch_scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """All scratch folders made inside this scope lie in one folder of the
+    shared checkpoint folder, which is deleted when the scope ends."""
+    parent = scratch_dir(spark, "job")
+    token = _SCOPE.set(parent)
+    try:
+        yield parent
+    finally:
+        _SCOPE.reset(token)
+        if _context(spark) is not None:
+            path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:
     """A new, unique folder below the shared checkpoint folder."""
-    base = _configured_dir(spark) or ensure_checkpoint_dir(spark)
+    base = _SCOPE.get() or _configured_dir(spark) or ensure_checkpoint_dir(spark)
     if "://" not in base:
         base = os.path.abspath(base)
     return f"{base.rstrip('/')}/panelkit-{label}-{uuid.uuid4().hex[:12]}"

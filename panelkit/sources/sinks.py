@@ -24,14 +24,10 @@ def delimited_lines(df: DataFrame, sep: str = " ", columns=None) -> DataFrame:
                      .alias("value"))
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = " ", columns=None,
-                    single_file: bool = False, mode: str = "errorifexists") -> str:
-    """S10/R04. ``single_file`` funnels all rows through one task; keep it for
-    small outputs only - a large table is written by all tasks in parallel."""
-    lines = delimited_lines(df, sep, columns)
-    if single_file:
-        lines = lines.coalesce(1)
-    lines.write.mode(mode).text(path)
+def write_delimited(df: DataFrame, path: str, sep: str = " ", columns=None, mode: str = "errorifexists") -> str:
+    """S10. All tasks write; for one file (R04) pass ``df.coalesce(1)``, which
+    sends every row through one task."""
+    delimited_lines(df, sep, columns).write.mode(mode).text(path)
     return path
 
 

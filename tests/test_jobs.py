@@ -1,12 +1,14 @@
 """The file-based jobs, run on the stand-in inputs written in the original
 folder layout, give the same panel as the in-memory plan."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from panelkit.plans import catalog
 from panelkit.plans import standins as S
 from panelkit.plans.jobs import Layout, build_panel_stages, etl_job, indicators_job, read_inputs, regression_job
-from panelkit.session import scratch_dir
+from panelkit.session import ensure_checkpoint_dir, scratch_dir
 from panelkit.sources.readers import HISTORY_COLUMNS
 from tests.conftest import SF_SMALL
 
@@ -30,6 +32,10 @@ def write_inputs(spark):
     return root
 
 
+def scratch_folders(spark):
+    return set(os.listdir(ensure_checkpoint_dir(spark).removeprefix("file:").rsplit("/", 1)[0]))
+
+
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
 
@@ -39,7 +45,10 @@ def test_jobs_from_files(spark):
     src = read_inputs(spark, root, LAYOUT)
     assert rows(build_panel_stages(src, LAYOUT).panel) == rows(catalog.c04_build_panel(spark, SF_SMALL))
     out = scratch_dir(spark, "sets")
+    before = scratch_folders(spark)
     paths = etl_job(spark, root, out, LAYOUT)
+    assert scratch_folders(spark) - before <= {out.rsplit("/", 1)[1], out.rsplit("/", 1)[1] + "_quality"}
+    assert {r.step for r in spark.read.parquet(f"{out}_quality").collect()} == {"main", "base", "history"}
     assert set(paths) == {"training", "testing"}
     written = spark.read.parquet(out)
     expected = catalog.c07_write_model_sets(spark, SF_SMALL)
@@ -47,5 +56,10 @@ def test_jobs_from_files(spark):
     got = rows(written.select(*cols).withColumn("oilprice", F.round("oilprice", 6)))
     assert got == rows(expected.select(*cols))
     assert indicators_job(spark, root, None, LAYOUT).count() == catalog.c06_monthly_indicators(spark, SF_SMALL).count()
-    metrics = regression_job(spark, out).collect()
-    assert {r.metric for r in metrics} == {"accuracy", "rmse"}
+    scored = scratch_dir(spark, "scored")
+    metrics = regression_job(spark, out, scored_out=scored, max_iter=20).collect()
+    assert {r.metric for r in metrics} == {"accuracy", "rmse", "left_out"}
+    rows_scored = spark.read.parquet(scored)
+    assert rows_scored.count() == sum(r.n for r in metrics if r.metric == "rmse") > 0
+    with_pca = regression_job(spark, out, max_iter=5, pca_components=4).collect()
+    assert {r.metric for r in with_pca} == {"accuracy", "rmse", "left_out"}

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelkit.operators import (
-    backfill_attribute, correlate_with, dedup_by_key, encode_categories, encode_legal, encode_zone,
-    fit_categories, fit_per_class_regression, hash_split, impute_prior, map_values, mean_by_month,
+    backfill_attribute, category_codes, correlate_with, dedup_by_key, encode_categories, encode_legal, encode_zone,
+    fit_categories, fit_per_class_regression, hash_split, impute_prior, map_values, mean_by_month, number_rows,
     prior_value, quality_report, stack_years, standardize,
 )
 
@@ -26,19 +26,57 @@ def test_zone_and_legal_codes(spark):
 def test_unseen_categories(spark, unseen, expected):
     train = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "f string")
     d = fit_categories(train, "f")
-    assert [(r.value, r.idx, r.code) for r in d.orderBy("idx").collect()] == [("a", 0, "100"), ("b", 1, "010"),
+    assert [(r.value, r.idx, r.code) for r in category_codes(d).orderBy("idx").collect()] == [("a", 0, "100"), ("b", 1, "010"),
                                                                               ("c", 2, "001")]
     other = spark.createDataFrame([("zz",)], "f string")
     assert [r.f for r in encode_categories(other, "f", d, unseen=unseen).collect()] == expected
 
 
-def test_unseen_error_and_dictionary_cap(spark):
+def test_unseen_error(spark):
     train = spark.createDataFrame([("a",), ("b",)], "f string")
     other = spark.createDataFrame([("zz",)], "f string")
     with pytest.raises(Exception):
         encode_categories(other, "f", fit_categories(train, "f"), unseen="error").collect()
-    with pytest.raises(ValueError):
-        fit_categories(train, "f", max_categories=1)
+
+
+def test_any_number_of_categories(spark):
+    df = spark.range(60_000).select(F.format_string("v%05d", F.col("id") % 20_000).alias("f"))
+    d = fit_categories(df, "f")
+    got = encode_categories(df, "f", d, value="idx", out="i")
+    assert d.count() == 20_000 and {r.width for r in d.select("width").distinct().collect()} == {20_000}
+    assert got.where(F.col("i").cast("int") != F.substring("f", 2, 5).cast("int")).count() == 0
+    one = encode_categories(df.where("f = 'v19999'").limit(1), "f", d).first().f
+    assert len(one) == 20_000 and one.endswith("1") and one.count("1") == 1
+    assert fit_categories(df.where("false"), "f").collect() == []
+
+
+def test_rows_are_numbered_in_order(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k")).repartition(9)
+    got = [(r.k, r.nth) for r in number_rows(df, [F.col("k").desc()], "nth").orderBy("nth").collect()]
+    want = sorted((r.k for r in df.collect()), reverse=True)
+    assert got == [(k, i) for i, k in enumerate(want)]
+
+
+def test_hot_category_is_split_in_the_join(spark):
+    """A value (and NULL) with a third of the rows each: the join's partitions
+    of that value are split, and no row is lost."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        hot = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("v"), (F.col("id") % 400).cast("string")))
+        df = spark.range(60_000, numPartitions=8).select("id", hot.alias("f"), F.sha2(F.col("id").cast("string"), 256).alias("pay"))
+        out = encode_categories(df, "f", fit_categories(df, "f"), value="idx", out="i")
+        assert out.agg(F.count("*"), F.count("i")).first() == (60_000, 40_000)
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.collect()
+        assert len(rows) == 60_000 and "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def test_dedup_is_deterministic_and_partition_independent(spark):
@@ -138,14 +176,24 @@ def test_two_stage_model_learns_separable_bands(spark):
         .withColumn("features", array_to_vector(F.array("x", "z")))
     train = df.where(F.col("k") % 4 != 0)
     test = df.where(F.col("k") % 4 == 0)
-    res = two_stage_model(train, test, "curVal", "features", ("z",))
-    assert res.accuracy.first().accuracy > 0.95
-    for r in res.rmse_by_class.collect():
-        assert r.rmse < 1.0
-
-
-def test_per_class_regression_refuses_a_key_as_class(spark):
-    df = spark.range(50).select(F.col("id").alias("cls"), F.col("id").cast("double").alias("x"),
-                                F.col("id").cast("double").alias("y"))
-    with pytest.raises(ValueError):
-        fit_per_class_regression(df, "cls", ["x"], "y", max_classes=10)
+    for named in (("z",), None):  # a named column, the whole vector
+        res = two_stage_model(train, test, "curVal", "features", named, key=("k",))
+        assert res.accuracy.first().accuracy > 0.95
+        found = res.rmse_by_class.collect()
+        assert found and all(r.rmse < 1.0 and r.n_unscored == 0 for r in found)
+
+
+def test_per_class_regression_takes_any_number_of_classes(spark):
+    df = spark.range(30_000).select((F.col("id") % 3000).alias("cls"), F.col("id").cast("double").alias("x"),
+                                    (F.col("id") * 2.0 + F.col("id") % 3000).alias("y"))
+    got = fit_per_class_regression(df, "cls", ["x"], "y")
+    assert got.count() == 3000
+    assert got.where((F.abs(F.col("coefficients")[0] - 2) > 1e-6) | (F.abs(F.col("intercept") - F.col("class")) > 1e-3)).count() == 0
+
+
+def test_rows_of_a_band_without_regression_are_counted(spark):
+    from panelkit.operators import predict_per_class, rmse_by_class
+    df = spark.createDataFrame([(float(i % 3), float(i), 2.0 * i) for i in range(30)], "cls double, x double, y double")
+    coefs = fit_per_class_regression(df.where("cls < 2"), "cls", ["x"], "y")
+    got = {r["class"]: (r.n, r.n_unscored) for r in rmse_by_class(predict_per_class(df, coefs, "cls", ["x"], "p"), "cls", "y", "p").collect()}
+    assert got == {0.0: (10, 0), 1.0: (10, 0), 2.0: (10, 10)}

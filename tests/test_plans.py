@@ -32,6 +32,31 @@ def test_predicates_reach_the_parquet_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,F))]" in plan
 
 
+def test_date_ranges_reach_the_scan_of_a_typed_column(spark, tmp_path):
+    from panelkit.functions import date_between, date_from
+    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(F.to_date("o_orderdate").alias("d"), "o_orderkey")
+    df.write.parquet(f"{tmp_path}/dated")
+    for p in (date_from("d", "1996-01"), date_between("d", "1996-01", "1997-06")):
+        plan = spark.read.parquet(f"{tmp_path}/dated").where(p)._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(d,1996-01-01)" in plan.split("PushedFilters:")[1]
+
+
+def test_history_takes_one_window_and_one_backfill(spark):
+    df = catalog.c04_build_panel(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window ") == 1
+
+
+def test_submitted_partition_setting_survives(spark):
+    from panelkit.session import _submitted, build_session
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        assert build_session().conf.get("spark.sql.shuffle.partitions") == "13"
+        assert _submitted("spark.master")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_no_python_evaluation_in_the_main_plans(spark):
     for name in ("c04_build_panel", "c06_monthly_indicators", "j05_model_table", "a06_quality_report"):
         df = catalog.QUERIES[name](spark, SF_SMALL)

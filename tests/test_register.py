@@ -2,6 +2,7 @@
 vocabularies: zone exemption of the reference year, duplicate rows, a key
 only in the base year, a gap year, zones that differ between main years."""
 
+from panelkit.operators import category_codes
 from panelkit.plans.register import CleanOptions, register_panel
 from panelkit.sources.readers import REGISTER_COLUMNS
 
@@ -30,7 +31,7 @@ def test_register_panel_on_literals(spark):
         R("C", 2006, cur="70"),                      # no main-year zone: dropped by the backfill
     ])
     p = register_panel(main, hist, [2015, 2016], 2006, [2007, 2008, 2009], 2016, CleanOptions(), persist=None)
-    d = {r.value: r.code for r in p["dictionary"].collect()}
+    d = {r.value: r.code for r in category_codes(p["dictionary"]).collect()}
     assert d == {"V6B": "1"}  # the 2016 rows with a valid FSA: A and B (E has none)
     m = sorted((r.PID, r.year, r.legalType, r.zoneCat, r.FSA) for r in p["main"].collect())
     assert m == [("A", 2016, "100", "000001000", "1"), ("B", 2015, "100", "100000000", None),
@@ -40,5 +41,7 @@ def test_register_panel_on_literals(spark):
     hist_rows = sorted((r.PID, r.year, r.preVal, r.zoneCat) for r in p["history"].collect())
     assert hist_rows == [("B", 2007, 50.0, "010000000")]  # 2009 has no 2008 row
     assert p["panel"].count() == 4 + 1 + 1
-    q = p["quality"].first()
-    assert q.rows == 6 and q.empty_FSA == 2 and q.empty_preVal == 0
+    q = {r.step: r for r in p["quality"].collect()}
+    assert {s: r.rows for s, r in q.items()} == {"main": 4, "base": 1, "history": 1}
+    assert q["main"].empty_FSA == 2 and q["main"].empty_preVal == 0
+    assert {(r.PID, r.year): r.fsaText for r in p["main"].collect()}["B", 2015] == "V5K"  # not in the dictionary, kept as text
