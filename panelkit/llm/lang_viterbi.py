@@ -9,9 +9,9 @@ which pays ``penalty`` for each change of language, labels spans. The text's
 language is the one with most letters; its score is that language's share of
 all letters (0 to 1).
 
-Training reads a bounded sample: at most ``per_lang`` documents of each
-language and ``max_docs`` in all, the ones first in the order of a hash of the
-id (parameters). Everything else reads every word of every text. The model is
+Training reads a bounded sample: about ``per_lang`` documents of each language,
+those whose hash of the id is below the language's share, and ``max_docs`` in
+all (parameters). Everything else reads every word of every text. The model is
 a matrix of 65,536 buckets by languages.
 
 Null texts and texts without a letter are ``und`` with score 0, as is
@@ -24,12 +24,11 @@ and empty tables need no care. Null ids are scored, never learned from.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +38,9 @@ LONGEST_GRAM = 4
 SCRIPT_SHARE = 0.001
 #: Words of one Viterbi block (bounds a task's memory; one longer text is a block of its own).
 BLOCK_WORDS = 1_000_000
+#: Words that a task remembers, and how many are scored together.
 KNOWN = 400_000
+SCORED_AT_ONCE = 50_000
 UNDETERMINED = "und"
 
 #: First and last code points of scripts; other letters are "other".
@@ -62,19 +63,39 @@ SCRIPTS = {
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def script_of(char: str) -> str:
-    point = ord(char)
-    return next((s for s, ranges in SCRIPTS.items() if any(a <= point <= b for a, b in ranges)), "other")
-
-
-def letters_by_script(word: str) -> Counter:
-    return Counter(script_of(c) for c in word if c.isalpha())
-
-
-def gram_buckets(word: str) -> list[int]:
-    marked = f"<{word}>"
-    return [zlib.crc32(marked[i:i + n].encode(errors="replace")) % BUCKETS
-            for n in range(1, LONGEST_GRAM + 1) for i in range(len(marked) - n + 1)]
+class Letters:
+    """The characters of many words at once: code points, the word each one
+    belongs to, and the scripts of those that are letters."""
+
+    def __init__(self, words: list[str]):
+        marked = [f"<{w}>" for w in words]
+        self.n = len(words)
+        self.points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        self.lengths = np.array([len(m) for m in marked], np.int64)
+        self.word = np.repeat(np.arange(self.n), self.lengths)
+        self.place = np.arange(len(self.points)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+
+    def grams(self):
+        """Word and bucket of every n-gram, for one n after the other."""
+        left = self.lengths[self.word] - self.place
+        for n in range(1, LONGEST_GRAM + 1):
+            at = np.flatnonzero(left >= n)
+            mixed = np.full(len(at), n, np.uint64)
+            for k in range(n):
+                mixed = (mixed ^ self.points[at + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                mixed ^= mixed >> np.uint64(29)
+            yield self.word[at], (mixed >> np.uint64(20)).astype(np.int64) % BUCKETS
+
+    def scripts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Word and script number of every letter."""
+        points, which = np.unique(self.points, return_inverse=True)
+        letter = np.array([chr(c).isalpha() for c in points.tolist()], bool)
+        ranges = sorted((first, last, i) for i, r in enumerate(SCRIPTS.values()) for first, last in r)
+        first, last, number = (np.array(x) for x in zip(*ranges))
+        at = np.maximum(np.searchsorted(first, points, "right") - 1, 0)
+        script = np.where((points >= first[at]) & (points <= last[at]), number[at], len(SCRIPTS))
+        keep = letter[which]
+        return self.word[keep], script[which][keep]
 
 
 def _word_counts(batches):
@@ -96,38 +117,51 @@ def _word_counts(batches):
 
 
 def _feature_counts(batches):
-    """(lang, kind, feature, n): n-gram buckets and scripts of distinct words."""
-    counts = Counter()
+    """(lang, feature, n): n-gram buckets, and after them scripts, of distinct words."""
+    width = BUCKETS + len(SCRIPTS) + 1
+    counts = defaultdict(lambda: np.zeros(width, np.int64))
     for b in batches:
-        for lang, word, n in zip(*[b.column(i).to_pylist() for i in range(3)]):
-            scripts = letters_by_script(word)
-            if scripts:
-                for g in gram_buckets(word):
-                    counts[lang, str(g)] += n
-                for s, k in scripts.items():
-                    counts[lang, s] += n * k
-    keys = list(counts)
-    yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                                      pa.array([counts[k] for k in keys], pa.int64())], names=["lang", "feature", "n"])
+        langs, words, n = (b.column(i).to_pylist() for i in range(3))
+        found = Letters(words)
+        weight, lang = np.array(n, np.int64), np.array(langs, object)
+        parts = [*found.grams(), (lambda w, s: (w, s + BUCKETS))(*found.scripts())]
+        for x in set(langs):
+            mine = lang == x
+            for word, feature in parts:
+                own = mine[word]
+                counts[x] += np.bincount(feature[own], weights=weight[word[own]], minlength=width).astype(np.int64)
+    for x, c in counts.items():
+        at = np.flatnonzero(c)
+        yield pa.RecordBatch.from_arrays([pa.array([x] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(c[at], pa.int64())],
+                                         names=["lang", "feature", "n"])
 
 
 class Model:
-    """Log probabilities [bucket, language], and which scripts each language writes."""
+    """Log probabilities [bucket, language], and which languages write each script."""
 
-    def __init__(self, langs: list[str], log_p: np.ndarray, writes: dict[str, set[str]]):
+    def __init__(self, langs: list[str], log_p: np.ndarray, writes: np.ndarray):
         self.langs, self.log_p, self.writes = langs, log_p, writes
 
-    def word(self, word: str) -> tuple[np.ndarray, int, bool]:
-        """Scores by language (the best is 0), letters, whether any language writes its scripts."""
-        scripts = letters_by_script(word)
-        letters = sum(scripts.values())
-        able = np.array([scripts.keys() <= self.writes[x] for x in self.langs], bool)
-        if not letters or not able.any():
-            return np.zeros(len(self.langs)), letters, False
-        score = self.log_p[gram_buckets(word)].sum(0, dtype=np.float64) / LONGEST_GRAM
-        score -= score[able].max()
+    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word: scores by language (the best is 0), letters, and
+        whether any language writes its scripts."""
+        found, n_langs = Letters(words), len(self.langs)
+        total = np.zeros((found.n, n_langs))
+        for word, bucket in found.grams():
+            p = self.log_p[bucket]
+            for k in range(n_langs):
+                total[:, k] += np.bincount(word, weights=p[:, k], minlength=found.n)
+        word, script = found.scripts()
+        letters = np.bincount(word, minlength=found.n)
+        able = np.ones((found.n, n_langs), bool)
+        for k in range(n_langs):
+            able[word[~self.writes[script, k]], k] = False
+        known = able.any(1) & (letters > 0)
+        score = np.where(able, total / LONGEST_GRAM, -np.inf)
+        score -= np.where(known, score.max(1, initial=-np.inf), 0)[:, None]
         score[~able] = -1e6
-        return score, letters, True
+        score[~known] = 0
+        return score, letters, known
 
 
 def learn(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -135,24 +169,24 @@ def learn(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col:
     """Fit on the rows where ``learnable`` holds and id, text and language are known."""
     rows = docs.where(learnable).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                                         F.col(lang_col).cast("string").alias("lang")).dropna()
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (rows.select("id", "lang").withColumn("nth", F.row_number().over(first))
-              .where(F.col("nth") <= per_lang).orderBy("nth", "lang").limit(max_docs).select("id"))
+    share = rows.groupBy("lang").agg((F.lit(float(per_lang)) / F.count("*")).alias("share"))
+    place = (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) + 1) / float(1 << 40)
+    chosen = (rows.select("id", "lang").join(share, "lang").where(place <= F.col("share"))
+              .orderBy(place / F.col("share"), "id").limit(max_docs).select("id"))
     # at most max_docs ids: a proven bound
     sample = rows.join(F.broadcast(chosen), "id", "left_semi").select("text", "lang")
     words = (sample.mapInArrow(_word_counts, "lang string, word string, n long")
              .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    found = (words.mapInArrow(_feature_counts, "lang string, feature string, n long")
+    found = (words.mapInArrow(_feature_counts, "lang string, feature long, n long")
              .groupBy("lang", "feature").agg(F.sum("n").alias("n")).collect())  # buckets x languages at most
     langs = sorted({r.lang for r in found})
-    counts, scripts = np.full((BUCKETS, len(langs)), smoothing), defaultdict(Counter)
+    counts, scripts = np.full((BUCKETS, len(langs)), smoothing), np.zeros((len(SCRIPTS) + 1, len(langs)))
     for r in found:
-        if r.feature.isdigit():
-            counts[int(r.feature), langs.index(r.lang)] += r.n
+        if r.feature < BUCKETS:
+            counts[r.feature, langs.index(r.lang)] += r.n
         else:
-            scripts[r.lang][r.feature] += r.n
-    writes = {x: {s for s, n in scripts[x].items() if n >= SCRIPT_SHARE * sum(scripts[x].values())} for x in langs}
-    return Model(langs, np.log(counts / counts.sum(0)).astype(np.float32), writes)
+            scripts[r.feature - BUCKETS, langs.index(r.lang)] += r.n
+    return Model(langs, np.log(counts / counts.sum(0)).astype(np.float32), scripts > SCRIPT_SHARE * scripts.sum(0))
 
 
 def viterbi(texts: list[np.ndarray], scores: np.ndarray, penalty: float) -> list[np.ndarray]:
@@ -191,20 +225,26 @@ def viterbi(texts: list[np.ndarray], scores: np.ndarray, penalty: float) -> list
 
 
 class _Words(dict):
-    """Row of each word in the score table; made when a word is met."""
+    """Row of each word in the score tables; words met since the last
+    ``tables()`` are scored together there."""
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.scores, self.letters, self.known = model, [], [], []
+        self.model, self.new = model, []
+        self.scored = [model.score([])]
 
     def __missing__(self, word):
-        score, letters, known = self.model.word(word)
-        self[word] = at = len(self.scores)
-        self.scores.append(score)
-        self.letters.append(letters)
-        self.known.append(known)
+        self[word] = at = len(self)
+        self.new.append(word)
         return at
 
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        for i in range(0, len(self.new), SCORED_AT_ONCE):
+            self.scored.append(self.model.score(self.new[i:i + SCORED_AT_ONCE]))
+        self.new = []
+        self.scored = [tuple(np.concatenate(x) for x in zip(*self.scored))]
+        return self.scored[0]
+
 
 def _labeller(model: Model, penalty: float):
     langs = model.langs
@@ -228,8 +268,7 @@ def _labeller(model: Model, penalty: float):
                 words = _Words(model)
             preds, shares, spans = [], [], []
             for block in blocks(b.column(1).to_pylist(), words):
-                scores = np.array(words.scores, float).reshape(len(words.scores), len(langs))
-                letters, known = np.array(words.letters, np.int64), np.array(words.known, bool)
+                scores, letters, known = words.tables()
                 paths = viterbi(block, scores, penalty) if langs else [None] * len(block)
                 for ids, path in zip(block, paths):
                     n = letters[ids].sum() if len(ids) else 0
