@@ -3,7 +3,9 @@ vocabularies: zone exemption of the reference year, duplicate rows, a key
 only in the base year, a gap year, zones that differ between main years."""
 
 from panelkit.operators import category_codes
-from panelkit.plans.register import CleanOptions, register_panel
+from panelkit.plans.register import (
+    CleanOptions, build_panel, clean_base_year, clean_history, clean_main_year, fit_fsa_dictionary, register_panel,
+)
 from panelkit.sources.readers import REGISTER_COLUMNS
 
 
@@ -45,3 +47,11 @@ def test_register_panel_on_literals(spark):
     assert {s: r.rows for s, r in q.items()} == {"main": 4, "base": 1, "history": 1}
     assert q["main"].empty_FSA == 2 and q["main"].empty_preVal == 0
     assert {(r.PID, r.year): r.fsaText for r in p["main"].collect()}["B", 2015] == "V5K"  # not in the dictionary, kept as text
+    # the composites called one by one give the same rows
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    words = fit_fsa_dictionary(main, 2016)
+    whole = clean_main_year(main, [2015, 2016], words, zone_exempt=[2016])
+    base = clean_base_year(hist, 2006, words, whole)
+    history = clean_history(hist, 2006, [2007, 2008, 2009], words, whole)
+    assert [rows(whole), rows(base), rows(history)] == [rows(p["main"]), rows(p["base"]), rows(p["history"])]
+    assert rows(build_panel(whole, base, history)) == rows(p["panel"])
