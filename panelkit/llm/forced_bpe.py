@@ -30,8 +30,12 @@ from pyspark.sql import types as T
 #: The public byte-level pre-token pattern (white space as the Unicode property).
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
             r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-#: Entries that a task's tables of known words and fragments may hold.
-KNOWN = 200_000
+#: Entries that a task's tables of known words and of known fragments may hold.
+KNOWN = 300_000
+#: Rows that a task holds as Python objects at once.
+SLICE = 256
+#: Fragments up to this length are merged by looking for the best pair again and again.
+SHORT = 24
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -50,20 +54,24 @@ class Codec:
 
         spec = json.loads(zlib.decompress(packed))
         alphabet = byte_alphabet()
-        raw = lambda tok: bytes(alphabet[c] for c in tok)
+        raw = lambda tok: bytes(map(alphabet.__getitem__, tok))
         self.ids = {raw(tok): i for tok, i in spec["model"]["vocab"].items()}
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.bytes_of = {i: b for b, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
-        self.ranks = {}
+        #: rank of each pair of ids, and by rank the id of both joined
+        self.ranks, self.joined_id = {}, []
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             a, b = raw(a), raw(b)
-            self.ranks[self.ids[a], self.ids[b]] = (rank, self.ids[a + b])
+            self.ranks[self.ids[a], self.ids[b]] = rank
+            self.joined_id.append(self.ids[a + b])
         #: joined[a, b]: whether byte a is ever followed by byte b inside a token
         self.joined = np.zeros((256, 256), bool)
-        for tok in self.ids:
-            for a, b in zip(tok, tok[1:]):
-                self.joined[a, b] = True
+        tokens = np.frombuffer(b"".join(self.ids), np.uint8)
+        inside = np.ones(len(tokens) - 1, bool)
+        inside[np.cumsum([len(tok) for tok in self.ids])[:-1] - 1] = False  # a token's last byte and the next one's first
+        self.joined[tokens[:-1][inside], tokens[1:][inside]] = True
+        self.apart = set(map(tuple, np.argwhere(~self.joined).tolist()))
         self.byte_id = [self.ids[bytes([b])] for b in range(256)]
         self.words = regex.compile(PRETOKEN).findall
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
@@ -71,33 +79,45 @@ class Codec:
 
     def fragments(self, piece: bytes) -> list[bytes]:
         """``piece`` cut at every byte pair that no token contains."""
-        b = np.frombuffer(piece, np.uint8)
-        cuts = np.flatnonzero(~self.joined[b[:-1], b[1:]]) + 1
-        if not len(cuts):
+        if len(piece) <= SHORT:
+            cuts = [i for i, pair in enumerate(zip(piece, piece[1:]), 1) if pair in self.apart]
+        else:
+            b = np.frombuffer(piece, np.uint8)
+            cuts = (np.flatnonzero(~self.joined[b[:-1], b[1:]]) + 1).tolist()
+        if not cuts:
             return [piece]
-        ends = [0, *cuts.tolist(), len(piece)]
+        ends = [0, *cuts, len(piece)]
         return [piece[i:j] for i, j in zip(ends, ends[1:])]
 
     def merge(self, fragment: bytes) -> list[int]:
         """Ids of a fragment: the pair of lowest rank, leftmost first, is
         joined until no pair has a rank."""
         ids, n, ranks = [self.byte_id[b] for b in fragment], len(fragment), self.ranks
+        if n <= SHORT:
+            rank_of, none = ranks.get, len(self.joined_id)
+            while len(ids) > 1:
+                found = [rank_of(p, none) for p in zip(ids, ids[1:])]
+                if (rank := min(found)) == none:
+                    break
+                i = found.index(rank)
+                ids[i:i + 2] = [self.joined_id[rank]]
+            return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(ranks[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
+        heap = [(ranks[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
         heapq.heapify(heap)
         while heap:
             _, i, pair = heapq.heappop(heap)
             j = after[i]
             if j >= n or (ids[i], ids[j]) != pair:
                 continue
-            ids[i], ids[j] = ranks[pair][1], -1
+            ids[i], ids[j] = self.joined_id[ranks[pair]], -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
                 if (p := (ids[i], ids[k])) in ranks:
-                    heapq.heappush(heap, (ranks[p][0], i, p))
+                    heapq.heappush(heap, (ranks[p], i, p))
             if (h := before[i]) >= 0 and (p := (ids[h], ids[i])) in ranks:
-                heapq.heappush(heap, (ranks[p][0], h, p))
+                heapq.heappush(heap, (ranks[p], h, p))
         return [i for i in ids if i >= 0]
 
 
@@ -115,38 +135,54 @@ class Known(dict):
         return out
 
 
-def _encoder(packed: bytes):
-    def encode(batches):
-        codec = Codec(packed)
-        pack = lambda ids: np.array(ids, "<u4").tobytes()
-        fragment = Known(lambda f: pack(codec.merge(f)))
-        word = Known(lambda w: b"".join([fragment[f] for f in codec.fragments(w.encode())]))
+class Encoder:
+    """Whole texts to packed ids, remembering words and fragments met."""
 
-        def whole(text: str) -> bytes:
-            if codec.specials is None:
-                return b"".join(map(word.__getitem__, codec.words(text)))
-            out = []
-            for part in codec.specials(text):
-                out.append(pack([codec.special[part]]) if part in codec.special
-                           else b"".join(map(word.__getitem__, codec.words(part))))
-            return b"".join(out)
+    def __init__(self, codec: Codec):
+        self.codec = codec
+        self.fragment = Known(lambda f: _pack(codec.merge(f)))
+        self.word = Known(lambda w: b"".join([self.fragment[f] for f in codec.fragments(w.encode())]))
+
+    def __call__(self, text: str | None) -> bytes:
+        codec, word = self.codec, self.word.__getitem__
+        if codec.specials is None:
+            return b"".join(map(word, codec.words(text or "")))
+        return b"".join([_pack([codec.special[part]]) if part in codec.special else b"".join(map(word, codec.words(part)))
+                         for part in codec.specials(text or "")])
+
+
+def _pack(ids) -> bytes:
+    return np.array(ids, "<u4").tobytes()
 
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([whole(t or "") for t in b.column(1).to_pylist()], pa.binary())],
-                names=["id", "ids"])
-    return encode
 
+def _decoded(codec: Codec, ids: bytes | None) -> str:
+    return b"".join(map(codec.bytes_of.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())).decode(errors="replace")
 
-def _decoder(packed: bytes):
-    def decode(batches):
-        bytes_of = Codec(packed).bytes_of
+
+def _by_slices(packed: bytes, make):
+    """Maps slices of a few rows, so that a task holds few texts at once;
+    ``make(codec)`` gives the function from a slice to its columns."""
+    def run(batches):
+        work = make(Codec(packed))
         for b in batches:
-            texts = [b"".join(map(bytes_of.__getitem__, np.frombuffer(i or b"", "<u4").tolist())).decode(errors="replace")
-                     for i in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())],
-                                             names=["id", "ids", "decoded"])
-    return decode
+            for at in range(0, b.num_rows, SLICE):
+                columns = work(b.slice(at, SLICE))
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    return run
+
+
+def _encoding(codec: Codec, and_decode: bool):
+    encoder = Encoder(codec)
+
+    def work(b):
+        ids = [encoder(t.as_py()) for t in b.column(1)]
+        out = {"id": b.column(0), "ids": pa.array(ids, pa.binary())}
+        return out | ({"decoded": pa.array([_decoded(codec, i) for i in ids], pa.string())} if and_decode else {})
+    return work
+
+
+def _decoding(codec: Codec):
+    return lambda b: {"id": b.column(0), "ids": b.column(1), "decoded": pa.array([_decoded(codec, i.as_py()) for i in b.column(1)], pa.string())}
 
 
 def read_vocabulary(path: str) -> bytes:
@@ -155,16 +191,29 @@ def read_vocabulary(path: str) -> bytes:
         return zlib.compress(f.read().encode(), 6)
 
 
+def _ids_and_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+
+
+def _schema(df: DataFrame, decoded: bool) -> T.StructType:
+    fields = [T.StructField("id", df.schema["id"].dataType), T.StructField("ids", T.BinaryType())]
+    return T.StructType(fields + ([T.StructField("decoded", T.StringType())] if decoded else []))
+
+
 def encode(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id`` and ``ids``: the token ids as little-endian unsigned 32-bit integers."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([T.StructField("id", src.schema["id"].dataType), T.StructField("ids", T.BinaryType())])
-    return src.mapInArrow(_encoder(vocabulary), schema)
+    src = _ids_and_texts(docs, id_col, text_col)
+    return src.mapInArrow(_by_slices(vocabulary, lambda codec: _encoding(codec, False)), _schema(src, False))
 
 
 def decode(encoded: DataFrame, vocabulary: bytes) -> DataFrame:
     """``encoded`` with column ``decoded``, the text of its ``ids``; bytes that
     are no UTF-8 become the replacement character."""
     src = encoded.select("id", "ids")
-    schema = T.StructType([*src.schema.fields, T.StructField("decoded", T.StringType())])
-    return src.mapInArrow(_decoder(vocabulary), schema)
+    return src.mapInArrow(_by_slices(vocabulary, _decoding), _schema(src, True))
+
+
+def round_trip(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`decode` of :func:`encode` in one pass: ``id``, ``ids``, ``decoded``."""
+    src = _ids_and_texts(docs, id_col, text_col)
+    return src.mapInArrow(_by_slices(vocabulary, lambda codec: _encoding(codec, True)), _schema(src, True))

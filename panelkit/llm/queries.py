@@ -59,7 +59,7 @@ def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BPE ids of every whole text and their decoding, as digests."""
     vocabulary = forced_bpe.read_vocabulary(vocabulary_path())
-    coded = forced_bpe.decode(forced_bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    coded = forced_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary)
     return coded.select(F.col("id").alias("doc_id"), (F.length("ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -65,6 +65,8 @@ def test_bpe_edges(make_docs):
         want = lib.encode(texts[r.id] or "", add_special_tokens=False).ids
         assert np.frombuffer(r.ids, "<u4").tolist() == want, texts[r.id]
         assert r.decoded == lib.decode(want, skip_special_tokens=False)
+    both = {r.id: (bytes(r.ids), r.decoded) for r in forced_bpe.round_trip(make_docs(list(enumerate(texts))), vocabulary).collect()}
+    assert both == {r.id: (bytes(r.ids), r.decoded) for r in out}
     assert forced_bpe.encode(make_docs([]), vocabulary).collect() == []
 
 
