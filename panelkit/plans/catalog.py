@@ -55,10 +55,11 @@ def reg(spark, d):
     return S.register_rows(spark, d)
 
 
-def stages(spark, d, mode="previous_year"):
+def stages(spark, d, mode="previous_year", main_only=False):
     # the stand-in register plays the yearly files: materialize it once, as
-    # those would be on disk, instead of re-deriving it for every reader
-    r = materialize(reg(spark, d), "table")
+    # those would be on disk, instead of re-deriving it for every reader (the
+    # main years alone have one reader)
+    r = reg(spark, d) if main_only else materialize(reg(spark, d), "table")
     return register_panel(r, S.history_rows(r), S.MAIN_YEARS, S.BASE_YEAR, S.HISTORY_YEARS,
                           S.REFERENCE_YEAR, opts(), mode)
 
@@ -224,7 +225,7 @@ def w10_exclude_year(spark, d):
 
 
 def w12_valid_vector(spark, d):
-    main = stages(spark, d)["main"]
+    main = stages(spark, d, main_only=True)["main"]
     code = concat_codes("zoneCat", "legalType", "FSA")
     vectors = main.select("PID", "year", code.alias("code"), code_to_array(code, "year", width=16).alias("vector"))
     return vectors.where(valid_vector("vector", 17) & valid_code("code", 16)) \
@@ -374,17 +375,17 @@ def t09_month_bucket(spark, d):
 
 
 def t11_concat_codes(spark, d):
-    main = stages(spark, d)["main"]
+    main = stages(spark, d, main_only=True)["main"]
     return main.select("PID", "year", concat_codes("zoneCat", "legalType", "FSA").alias("LegalZoneFSA"))
 
 
 def t12_concat_codes(spark, d):
-    main = stages(spark, d)["main"]
+    main = stages(spark, d, main_only=True)["main"]
     return main.select(concat_codes("PID", "year", "zoneCat", "legalType", "FSA", sep=",").alias("line"))
 
 
 def t13_code_to_array(spark, d):
-    main = stages(spark, d)["main"]
+    main = stages(spark, d, main_only=True)["main"]
     code = concat_codes("zoneCat", "legalType", "FSA")
     return main.select("PID", "year", code_to_array(code, "year", width=16).alias("vector"))
 
@@ -462,7 +463,7 @@ def f08_pca_project(spark, d):
 
 
 def f09_assemble_features(spark, d):
-    mt = model_table(stages(spark, d)["main"], yearly(spark, d))
+    mt = model_table(stages(spark, d, main_only=True)["main"], yearly(spark, d))
     out = assemble_features(mt, ("zoneCat", "legalType", "FSA"), ("curImpVal", "year"), out="features")
     return out.select("PID", "year", "features")
 
@@ -569,7 +570,7 @@ def e03_rmse_by_class(spark, d):
 
 # ---------------------------------------------------------------- composites
 def c01_clean_main_year(spark, d):
-    return stages(spark, d)["main"]
+    return stages(spark, d, main_only=True)["main"]
 
 
 def c02_clean_base_year(spark, d):

@@ -170,7 +170,7 @@ def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
     if how == "table":
         path = scratch_dir(df.sparkSession, "stage")
         df.write.parquet(path)
-        return df.sparkSession.read.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)  # known: no job to infer it
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
@@ -186,10 +186,9 @@ def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
 class RegisterPanel:
     """C01-C04 wired together, built on first use.
 
-    The dictionary, the clean main years and the prepared history rows are
-    each read by several stages (main output, two zone backfills, base and
-    history priors), so each is materialized once (``persist``) when first
-    needed, instead of re-running its scans and dedup shuffles per reader.
+    The valid main-year rows and the prepared history rows are each read by
+    several stages (dictionary, main output, zone backfill, base and history
+    priors), so each is materialized once (``persist``) when first needed, instead of re-running its scans and dedup shuffles per reader.
     Index by stage name: ``valid_main``, ``dictionary``, ``main``, ``rows``,
     ``base``, ``history``, ``panel``, ``quality``."""
 
@@ -216,9 +215,9 @@ class RegisterPanel:
 
     @property
     def dictionary(self) -> DataFrame:
+        """Not materialized again: :func:`number_rows` has stored its rows."""
         ref = self.valid_main.where(F.col("taxAssess") == F.lit(str(self.reference_year)))
-        return self._once("dictionary", lambda: materialize(
-            fit_categories(ref, "FSA"), self.persist))
+        return self._once("dictionary", lambda: fit_categories(ref, "FSA"))
 
     @property
     def main(self) -> DataFrame:
