@@ -14,9 +14,13 @@ reversed edges: whoever links to a blocked host is tainted. A host is blocked
 when its distrust exceeds its trust by the factor ``threshold``; hosts that
 neither reaches are allowed.
 
-Each of the fixed number of rounds is one join and one aggregation over
-distinct hosts and edges; ranks go through the shared folder every few rounds.
-The rule list is part of the query's code and short.
+Rounds go on until every host's rank has settled (``rounds=None``; a number
+stops there). The change is measured relative to each host's own rank and over
+the rounds since the last look, so a host far from every seed, whose rank is
+small or not there yet, counts like any other, and ranks that swing between
+even and odd rounds don't pass for settled. Each round is one join and one
+aggregation over distinct hosts and edges; ranks go through the shared folder
+every few rounds. The rule list is part of the query's code and short.
 
 Null urls, and those without ``://``, have empty host and path, no rule and
 are allowed. Null html has no links. Rows are judged one by one, so repeated
@@ -25,7 +29,7 @@ rows, null page ids, extra columns and empty tables need no care.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelkit.llm._tables import stored
@@ -68,28 +72,39 @@ def host_edges(pages: DataFrame, html_col: str = "html", hierarchy_weight: float
     return links.unionByName(tree).where("src <> dst AND dst <> ''").groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = 6, damping: float = 0.85, store_every: int = 3) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = 0.85, store_every: int = 3,
+              tolerance: float = 1e-9) -> DataFrame:
     """``kind``, ``host`` and ``rank``: trust along the edges and distrust
     against them, from ``seeds`` (kind, host, mass). What reaches a host
-    without outgoing edges stays there for that round."""
+    without outgoing edges stays there for that round. Without ``rounds``, on
+    until no host's rank changes by more than its share ``tolerance`` any more."""
     both = (edges.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), "dst", "weight")
             .unionByName(edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("dst"), "weight")))
     out = both.groupBy("kind", "host").agg(F.sum("weight").alias("total"))
     both = stored(both.join(out, ["kind", "host"]).select("kind", "host", "dst", (F.col("weight") / F.col("total")).alias("share")), "trust-edges")
     home = seeds.select("kind", "host", F.col("mass").cast("double").alias("rank"))
-    ranks = home
-    for r in range(rounds):
-        moved = (both.join(ranks, ["kind", "host"])
-                 .select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")))
-        ranks = (moved.unionByName(home.withColumn("rank", F.col("rank") * (1 - damping)))
-                 .groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
-        if (r + 1) % store_every == 0:
-            ranks = stored(ranks, "trust-ranks")
-    return ranks
+    ranks, none, done = home, F.lit(0.0).alias("before"), 0
+    while rounds is None or done < rounds:
+        block = store_every if rounds is None else min(store_every, rounds - done)
+        start = ranks.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("before"))
+        for r in range(block):
+            moved = (both.join(ranks, ["kind", "host"])
+                     .select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"), none))
+            parts = moved.unionByName(home.select("kind", "host", (F.col("rank") * (1 - damping)).alias("rank"), none))
+            if r == block - 1:
+                parts = parts.unionByName(start)
+            ranks = parts.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before"))
+        seen = Observation()
+        unsettled = F.count_if(F.abs(F.col("rank") - F.col("before")) > F.col("rank") * tolerance).alias("unsettled")
+        ranks = stored(ranks.observe(seen, unsettled), "trust-ranks")
+        done += block
+        if rounds is None and not seen.get["unsettled"]:
+            break
+    return ranks.select("kind", "host", "rank")
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES,
-          rounds: int = 6, damping: float = 0.85, threshold: float = 1.0) -> DataFrame:
+          rounds: int | None = None, damping: float = 0.85, threshold: float = 1.0) -> DataFrame:
     """``id``, ``host``, ``path``, ``rule``, ``verdict``, ``trust`` and ``distrust`` of every row."""
     host, path = host_and_path(F.col(url_col))
     seen = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), F.col(html_col).alias("html"))
