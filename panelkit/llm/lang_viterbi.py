@@ -7,7 +7,9 @@ likelihood; script ranges narrow the candidates first: a language that does
 not write one of the word's scripts is out. A Viterbi pass over the words,
 which pays ``penalty`` for each change of language, labels spans. The text's
 language is the one with most letters; its score is that language's share of
-all letters (0 to 1).
+all letters (0 to 1). The score says nothing of how well the language fits, as
+some learned language is always the best; ``fit`` does, and ``drop_rejected``
+compares it with the fit of labelled texts.
 
 Training reads a bounded sample: about ``per_lang`` documents of each language,
 those whose hash of the id is below the language's share, and ``max_docs`` in
@@ -142,9 +144,10 @@ class Model:
     def __init__(self, langs: list[str], log_p: np.ndarray, writes: np.ndarray):
         self.langs, self.log_p, self.writes = langs, log_p, writes
 
-    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each word: scores by language (the best is 0), letters, and
-        whether any language writes its scripts."""
+    def score(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Of each word: scores by language (the best is 0), letters, whether
+        any language writes its scripts, what was taken off the scores to make
+        the best one 0, and n-grams."""
         found, n_langs = Letters(words), len(self.langs)
         total = np.zeros((found.n, n_langs))
         for word, bucket in found.grams():
@@ -158,23 +161,30 @@ class Model:
             able[word[~self.writes[script, k]], k] = False
         known = able.any(1) & (letters > 0)
         score = np.where(able, total / LONGEST_GRAM, -np.inf)
-        score -= np.where(known, score.max(1, initial=-np.inf), 0)[:, None]
+        best = np.where(known, score.max(1, initial=-np.inf), 0)
+        score -= best[:, None]
         score[~able] = -1e6
         score[~known] = 0
-        return score, letters, known
+        grams = sum(np.maximum(found.lengths - n, 0) for n in range(LONGEST_GRAM))
+        return score, letters, known, best, grams
 
 
-def learn(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_lang: int = 4_000, max_docs: int = 16_000, smoothing: float = 0.5) -> Model:
-    """Fit on the rows where ``learnable`` holds and id, text and language are known."""
-    rows = docs.where(learnable).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                                        F.col(lang_col).cast("string").alias("lang")).dropna()
+def _sampled(rows: DataFrame, per_lang: int, max_docs: int) -> DataFrame:
+    """About ``per_lang`` rows (id, text, lang) without nulls of each language, ``max_docs`` ids in all."""
+    rows = rows.dropna()
     share = rows.groupBy("lang").agg((F.lit(float(per_lang)) / F.count("*")).alias("share"))
     place = (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) + 1) / float(1 << 40)
     chosen = (rows.select("id", "lang").join(share, "lang").where(place <= F.col("share"))
               .orderBy(place / F.col("share"), "id").limit(max_docs).select("id"))
     # at most max_docs ids: a proven bound
-    sample = rows.join(F.broadcast(chosen), "id", "left_semi").select("text", "lang")
+    return rows.join(F.broadcast(chosen), "id", "left_semi")
+
+
+def learn(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          per_lang: int = 4_000, max_docs: int = 16_000, smoothing: float = 0.5) -> Model:
+    """Fit on the rows where ``learnable`` holds and id, text and language are known."""
+    sample = _sampled(docs.where(learnable).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
+                                                   F.col(lang_col).cast("string").alias("lang")), per_lang, max_docs).select("text", "lang")
     words = (sample.mapInArrow(_word_counts, "lang string, word string, n long")
              .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     found = (words.mapInArrow(_feature_counts, "lang string, feature long, n long")
@@ -238,7 +248,7 @@ class _Words(dict):
         self.new.append(word)
         return at
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def tables(self) -> tuple[np.ndarray, ...]:
         for i in range(0, len(self.new), SCORED_AT_ONCE):
             self.scored.append(self.model.score(self.new[i:i + SCORED_AT_ONCE]))
         self.new = []
@@ -266,11 +276,21 @@ def _labeller(model: Model, penalty: float):
         for b in batches:
             if len(words) > KNOWN:
                 words = _Words(model)
-            preds, shares, spans = [], [], []
+            preds, shares, spans, fits, spreads, fitted = [], [], [], [], [], []
             for block in blocks(b.column(1).to_pylist(), words):
-                scores, letters, known = words.tables()
+                scores, letters, known, best, grams = words.tables()
                 paths = viterbi(block, scores, penalty) if langs else [None] * len(block)
                 for ids, path in zip(block, paths):
+                    own = known[ids] if langs else np.zeros(len(ids), bool)
+                    w = ids[own]
+                    if len(w):
+                        likely = (scores[w, path[own]] + best[w]) * LONGEST_GRAM
+                        fits.append(float(likely.sum() / grams[w].sum()))
+                        spreads.append(float((likely / grams[w]).var()))
+                    else:
+                        fits.append(None)
+                        spreads.append(None)
+                    fitted.append(len(w))
                     n = letters[ids].sum() if len(ids) else 0
                     if not langs or not n:
                         preds.append(UNDETERMINED)
@@ -286,15 +306,19 @@ def _labeller(model: Model, penalty: float):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(preds, pa.string()), pa.array(shares, pa.float64()),
                  pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("lang", pa.string())]))),
+                 pa.array(fits, pa.float64()), pa.array(spreads, pa.float64()), pa.array(fitted, pa.int64()),
                  *[b.column(i) for i in range(2, b.num_columns)]],
-                names=["id", "lang_pred", "score", "spans", *b.schema.names[2:]])
+                names=["id", "lang_pred", "score", "spans", "fit", "spread", "n_fitted", *b.schema.names[2:]])
     return label
 
 
 def label_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
                     penalty: float = 12.0, payload: bool = False) -> DataFrame:
     """``id``, ``lang_pred``, ``score`` and ``spans`` (first and last word, from
-    0, and language of each span); with ``payload`` the row as struct ``row``."""
+    0, and language of each span); ``fit``, the mean log likelihood of an
+    n-gram, each word's in the language of its span, ``spread``, the variance
+    of that between words, and ``n_fitted``, the words of learned scripts;
+    with ``payload`` the row as struct ``row``."""
     cols = [F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")]
     if payload:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
@@ -303,6 +327,7 @@ def label_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
                          T.StructField("lang", T.StringType())])
     schema = T.StructType([src.schema.fields[0], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span)),
+                           T.StructField("fit", T.DoubleType()), T.StructField("spread", T.DoubleType()), T.StructField("n_fitted", T.LongType()),
                            *src.schema.fields[2:]])
     return src.mapInArrow(_labeller(model, penalty), schema)
 
@@ -312,13 +337,41 @@ def held_out(id_col: str = "doc_id", modulus: int = 5, remainder: int = 0) -> Co
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus == remainder, F.lit(False))
 
 
-def drop_rejected(docs: DataFrame, wanted: list[str] | None = None, min_score: float = 0.2, **columns) -> DataFrame:
+def usual_fit(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+              per_lang: int = 1_000, max_docs: int = 4_000, least: int = 5) -> dict[str, tuple[float, float, float]]:
+    """By language: median fit of labelled texts, variance between texts (from
+    the lowest twentieth, so a few wrong labels don't matter) and between the
+    words of a text. Texts the model has not seen, if there are ``least``."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    parts = {}
+    for held in (False, True):  # the later ones replace the earlier
+        sample = _sampled(rows.where(held_out("id") == held), per_lang, max_docs)
+        truth = sample.select("id", "lang").distinct()
+        found = (label_languages(sample, model, "id", "text").select("id", "lang_pred", "fit", "spread").dropna()
+                 .join(truth, "id").where("lang = lang_pred").groupBy("lang")
+                 .agg(F.median("fit").alias("mid"), F.percentile("fit", 0.05).alias("low"), F.avg("spread").alias("words"), F.count("*").alias("n")))
+        for r in found.collect():  # a row per language
+            if r.lang not in parts or r.n >= least:
+                parts[r.lang] = (r.mid, ((r.mid - r.low) / 1.645) ** 2, r.words)
+    return parts
+
+
+def drop_rejected(docs: DataFrame, wanted: list[str] | None = None, min_score: float = 0.2, max_deviations: float = 10.0,
+                  **columns) -> DataFrame:
     """The rows of ``docs``, whole, whose language is determined (and
-    ``wanted``, if given) and holds at least ``min_score`` of the letters."""
+    ``wanted``, if given), holds at least ``min_score`` of the letters and fits:
+    the text's fit is at most ``max_deviations`` standard deviations, for its
+    number of words, below what is usual in that language. Texts in a language
+    never learned and random letters go by the last condition."""
     model = learn(docs, ~held_out(columns.get("id_col", "doc_id")), **columns)
+    usual = usual_fit(docs, model, **columns)
     columns.pop("lang_col", None)
     found = label_languages(docs, model, payload=True, **columns)
     ok = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)
+    for lang, (mid, texts, words) in usual.items():
+        # a rounding error is no deviation
+        lowest = mid - max_deviations * F.sqrt(texts + words / F.col("n_fitted")) - 1e-6
+        ok &= (F.col("lang_pred") != lang) | (F.col("fit") >= lowest)
     if wanted is not None:
         ok &= F.col("lang_pred").isin(wanted)
     return found.where(ok).select("row.*")

@@ -130,6 +130,18 @@ def test_language_spans_and_edges(make_docs, spark, sf):
     assert lang_viterbi.label_languages(make_docs([]), model).collect() == []
 
 
+def test_texts_that_fit_no_language_go(make_docs, spark, sf):
+    rng = np.random.default_rng(7)
+    letters = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10))) for _ in range(n)) for n in (20, 60, 2000)]
+    unlearned = ["wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem",
+                 "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto",
+                 "watu wote wamezaliwa huru hadhi na haki zao ni sawa wote wamejaliwa akili na dhamiri hivyo yapasa watendeane kindugu"]
+    clean = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    bad = [(1_000_000 + i, t, None) for i, t in enumerate(letters + unlearned)]
+    kept = {r.doc_id for r in lang_viterbi.drop_rejected(make_docs(clean + bad)).collect()}
+    assert kept == {r[0] for r in clean}
+
+
 def test_language_of_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     got = QUERIES["op9_lang_viterbi"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id").where("held_out").collect()
