@@ -4,8 +4,9 @@ The lines of all texts are hashed (128 bits of the key: both ends stripped of
 ASCII white space, A-Z lower-cased) and counted by distinct documents. The
 distinct hashes of the lines that are frequent enough to be dropped are dealt
 over shards by hash; each shard, built in a task of its own, is a minimal
-perfect hash with three compact arrays behind it: a 64-bit fingerprint, the
-document count and the largest document id. Documents are then read once more
+perfect hash with two compact arrays behind it: a 64-bit fingerprint and the
+largest document id. The counts decide before, in the aggregation, so lines
+that are not frequent are not indexed. Documents are then read once more
 and probe the arrays; no line is joined to another.
 
 Shards have a bounded number of keys, and documents are probed by rounds of
@@ -126,13 +127,12 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
     at = np.argsort(mph.number(h1, h2))
     return pd.DataFrame({"shard": [group["shard"].iloc[0]], "mph": [mph.packed()],
                          "fingerprints": [h2[at].tobytes()],
-                         "counts": [group["n_docs"].to_numpy(np.int64)[at].astype("<u4").tobytes()],
                          "last_ids": [group["last_id"].to_numpy(np.int64)[at].tobytes()]})
 
 
 def line_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40,
                min_docs: int = 5, shard_keys: int = 250_000) -> tuple[DataFrame, int]:
-    """The stored shards (shard, mph, fingerprints, counts, last_ids) and their number."""
+    """The stored shards (shard, mph, fingerprints, last_ids) and their number."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     counted = (src.mapInArrow(_keys_of_documents(min_chars), "h1 long, h2 long, id long")
                .groupBy("h1", "h2").agg(F.countDistinct("id").alias("n_docs"), F.max("id").alias("last_id"))
@@ -141,7 +141,7 @@ def line_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shards = -(-counted.count() // shard_keys)
     dealt = F.pmod(F.col("h1").bitwiseXOR(F.shiftright("h2", 7)), F.lit(max(1, shards)))
     built = (counted.withColumn("shard", dealt)
-             .groupBy("shard").applyInPandas(_build, "shard long, mph binary, fingerprints binary, counts binary, last_ids binary"))
+             .groupBy("shard").applyInPandas(_build, "shard long, mph binary, fingerprints binary, last_ids binary"))
     return stored(built, "line-index"), shards
 
 
