@@ -1,10 +1,10 @@
-"""Exact dedup by a tree-merge of sorted digest runs.
+"""Exact dedup by a tree of aggregations over digest runs.
 
-Every input partition becomes a run: its rows' digests, sorted, equal ones
-collapsed to one entry (best row, count). Runs are merged in rounds: in round
+Every input partition becomes a run: its rows' digests, equal ones collapsed
+to one entry (best row, count). Runs are merged in rounds: in round
 ``r`` the ``fan_in`` runs whose numbers agree after division by
 ``fan_in ** (r + 1)`` meet, dealt over tasks by digest, and are merged into
-one. After the last round one entry per distinct text is left. The entry is
+one by an aggregation per group of runs (nothing is merged by sort order). After the last round one entry per distinct text is left. The entry is
 then sent back down the same tree, so that no level ever holds more than
 ``fan_in`` rows of one text, however many copies a text has: a third of all
 rows being one text costs no more than any other input.
@@ -30,17 +30,17 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEY = ["digest", "digest2", "n_bytes"]
 
 
-def sorted_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 payload: bool = False) -> DataFrame:
     """One row per document: run, position, digests, id (and with ``payload``
-    the whole row as struct ``row``), sorted by digest inside each run."""
+    the whole row as struct ``row``)."""
     text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
     cols = [F.spark_partition_id().cast("long").alias("run"), F.monotonically_increasing_id().alias("pos"),
             F.unhex(F.sha2(text, 256)).alias("digest"), F.unhex(F.md5(text)).alias("digest2"),
             F.octet_length(text).cast("long").alias("n_bytes"), F.col(id_col).alias("id")]
     if payload:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return docs.select(*cols).sortWithinPartitions("digest")
+    return docs.select(*cols)
 
 
 def tree_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max",
@@ -49,7 +49,7 @@ def tree_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``digest`` (SHA-256 of the normalised text); with ``payload`` also ``row``."""
     if keep not in ("max", "min"):
         raise ValueError("keep must be 'max' or 'min'")
-    leaves = stored(sorted_runs(docs, id_col, text_col, payload), "digest-runs")
+    leaves = stored(digest_runs(docs, id_col, text_col, payload), "digest-runs")
     runs = (leaves.agg(F.max("run")).first()[0] or 0) + 1
     id_known = F.col("id").isNotNull() if keep == "max" else F.col("id").isNull()
     sign = -1 if keep == "max" else 1
