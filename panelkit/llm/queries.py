@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import (digest_tree, forced_bpe, lang_viterbi, license_templates, line_mph, link_trust, pareto_mix,
-                          quality_ftrl, signature_tree, threshold_topk)
+from panelkit.llm import (digest_tree, forced_bpe, lang_viterbi, license_templates, line_mph, link_trust, offset_pieces,
+                          pareto_mix, quality_ftrl, signature_tree, threshold_topk)
 from panelkit.llm._tables import table
 from panelkit.llm.oracles import ORACLES
 
@@ -98,5 +98,15 @@ def op10_digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces, source spans and decoding of every whole text, as digests."""
+    model = offset_pieces.read_model(vocabulary_path("piece_bpe_32k.model"))
+    coded = offset_pieces.round_trip(table(spark, sf_dir, "documents"), model)
+    return coded.select(F.col("id").alias("doc_id"), (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                        F.sha2("spans", 256).alias("spans_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_threshold_topk, op2_quality_ftrl, op3_license_templates, op4_pareto_mix,
-                                      op5_forced_bpe, op6_link_trust, op7_signature_tree, op8_line_mph, op9_lang_viterbi, op10_digest_tree)}
+                                      op5_forced_bpe, op6_link_trust, op7_signature_tree, op8_line_mph, op9_lang_viterbi, op10_digest_tree,
+                                      op11_offset_pieces)}
