@@ -136,4 +136,55 @@ FROM w LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)
 """
 
 
-ORACLES = {"op1_threshold_topk": OP1, "op4_pareto_mix": OP4, "op6_link_trust": _op6(), "op3_license_templates": _op3(), "op8_line_mph": OP8, "op10_digest_tree": OP10}
+#: A checksum bit by bit: its table of 256 steps, then one step a byte.
+_CRC = """list_reduce(list_transform(range(octet_length(encode({0}))), lambda i: CAST('0x' || substr(hex(encode({0})), 2 * i + 1, 2) AS BIGINT)),
+  lambda c, b: xor(c >> 8, steps[CAST(xor(c, b) & 255 AS INTEGER) + 1]), 4294967295::BIGINT)"""
+
+OP12 = f"""
+WITH RECURSIVE table_of AS (SELECT list_transform(range(256), lambda v: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, CAST(v AS BIGINT))) AS steps),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all({lowered('text')}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+counted AS (SELECT id, run, count(*) AS n FROM runs GROUP BY id, run),
+summed AS (SELECT run, n, xor({_CRC.format("(id || ':' || run)")}, 4294967295::BIGINT) AS h FROM counted, table_of),
+thinned AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, n FROM summed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM thinned WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+less AS (SELECT word, n, i, left(word, CAST(i - 1 AS INTEGER)) || substr(word, CAST(i + 1 AS INTEGER)) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+shorter AS (SELECT DISTINCT l.word, l.n, w.word AS other, w.n AS other_n FROM less l JOIN words w ON w.word = l.rest),
+near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+         UNION ALL SELECT word, other, other_n FROM shorter UNION ALL SELECT other, word, n FROM shorter),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word),
+first_best AS (SELECT near.word, min(other) AS other FROM near JOIN best ON best.word = near.word AND most = other_n GROUP BY near.word),
+judged AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * n THEN other END AS form, CASE WHEN most >= 2 * n THEN most END AS form_n
+           FROM words LEFT JOIN best ON best.word = words.word LEFT JOIN first_best ON first_best.word = words.word),
+walk AS (SELECT word, form AS reached FROM judged WHERE form IS NOT NULL
+         UNION ALL SELECT walk.word, judged.form FROM walk JOIN judged ON judged.word = walk.reached WHERE judged.form IS NOT NULL),
+ends AS (SELECT walk.word, reached FROM walk JOIN judged ON judged.word = walk.reached WHERE judged.form IS NULL)
+SELECT judged.word, form, coalesce(reached, judged.word) AS root, n, n_near, form_n FROM judged LEFT JOIN ends ON ends.word = judged.word
+"""
+
+def _op13(longest: int = 4) -> str:
+    """Phrases by slicing the word lists, cuts and containment by joins."""
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {k} AS len, array_to_string(ws[i:i + {k - 1}], ' ') AS p, count(*) AS f FROM (SELECT lang, ws, unnest(range(1, len(ws) - {k} + 2)) AS i FROM pieces) GROUP BY ALL"
+        for k in range(1, longest + 1))
+    return f"""
+WITH pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({lowered('text')}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS ({grams}), sizes AS (SELECT lang, sum(len(ws)) AS n FROM pieces GROUP BY lang),
+often AS (SELECT * FROM grams WHERE f >= 30),
+parts AS (SELECT lang, p, len, f AS a, string_split(p, ' ') AS ws FROM often WHERE len > 1),
+held AS (SELECT lang, array_to_string(ws[i:i + j - 1], ' ') AS p, a AS f
+         FROM (SELECT *, unnest(range(1, len - j + 2)) AS i FROM (SELECT *, unnest(range(2, len)) AS j FROM parts))),
+dropped AS (SELECT DISTINCT parts.lang, parts.p FROM parts JOIN held ON held.lang = parts.lang AND held.p = parts.p WHERE 100 * held.f >= 80 * parts.a),
+kept AS (SELECT * FROM parts ANTI JOIN dropped USING (lang, p)),
+cuts AS (SELECT lang, p, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, len)) AS k FROM kept)),
+scored AS (SELECT cuts.lang, cuts.p, a, k, gx.f AS l, gy.f AS r, (2000000::HUGEINT * a) // (gx.f + gy.f) AS score
+           FROM cuts JOIN often gx ON gx.lang = cuts.lang AND gx.p = x JOIN often gy ON gy.lang = cuts.lang AND gy.p = y),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(p)) AS rank FROM lowest)
+SELECT ranked.lang, rank, p AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
+ORACLES = {"op1_threshold_topk": OP1, "op4_pareto_mix": OP4, "op6_link_trust": _op6(), "op3_license_templates": _op3(), "op8_line_mph": OP8, "op10_digest_tree": OP10,
+           "op12_sliced_variants": OP12, "op13_phrase_index": _op13()}

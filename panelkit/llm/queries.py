@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import (digest_tree, forced_bpe, lang_viterbi, license_templates, line_mph, link_trust, offset_pieces,
-                          pareto_mix, quality_ftrl, signature_tree, threshold_topk)
+                          pareto_mix, phrase_index, quality_ftrl, signature_tree, sliced_index, threshold_topk)
 from panelkit.llm._tables import table
 from panelkit.llm.oracles import ORACLES
 
@@ -107,6 +107,16 @@ def op11_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("spans", 256).alias("spans_sha256"))
 
 
+def op12_sliced_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return sliced_index.variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of every language."""
+    return phrase_index.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_threshold_topk, op2_quality_ftrl, op3_license_templates, op4_pareto_mix,
                                       op5_forced_bpe, op6_link_trust, op7_signature_tree, op8_line_mph, op9_lang_viterbi, op10_digest_tree,
-                                      op11_offset_pieces)}
+                                      op11_offset_pieces, op12_sliced_variants, op13_phrase_index)}
