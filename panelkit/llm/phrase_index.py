@@ -43,7 +43,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes that end a piece, and bytes between words.
 PIECE_ENDS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: Bytes of text of a shard, and bytes that a task may hold before it makes one.
-SHARD, HELD = 8 << 20, 24 << 20
+SHARD, HELD = 4 << 20, 12 << 20
 #: Rows that a task hands over at once.
 ROWS = 1 << 17
 
@@ -60,19 +60,26 @@ def words_of(data: np.ndarray, ends: np.ndarray):
     between pieces). Ids count from 1."""
     kind = _KIND[data]
     inside = kind == 0
-    edge = np.zeros(len(data) + 1, bool)
-    edge[ends] = True  # a text's end ends its piece
-    before = np.append(False, inside[:-1]) & ~edge[:-1] if len(data) else inside
-    first = np.flatnonzero(inside & ~before)
-    if not len(first):
+    ended = kind == 2
+    if len(data):
+        begun = ends[:-1][(ends[:-1] > 0) & (ends[:-1] < len(data))]
+        ended[begun] = True  # a text's first byte begins a piece
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        first[begun] = inside[begun]
+        after = np.append(~inside[1:], True)
+        after[begun - 1] = True
+        last = np.flatnonzero(inside & after)
+        first = np.flatnonzero(first)
+        del after
+    if not len(data) or not len(first):
         return pa.array([], pa.string()), np.zeros(0, np.int32)
-    cuts = np.cumsum(kind == 2) + np.cumsum(edge[:-1])  # grows at each end of a piece
-    at = np.append(0, np.cumsum(inside))
-    offsets = np.append(at[first], at[-1]).astype(np.int32)
+    offsets = np.zeros(len(first) + 1, np.int32)
+    np.cumsum(last - first + 1, out=offsets[1:])
     words = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data[inside])).dictionary_encode()
     ids = words.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1
-    breaks = np.flatnonzero(np.diff(cuts[first])) + 1
-    return words.dictionary, np.insert(ids, breaks, 0)
+    piece = np.searchsorted(np.flatnonzero(ended), first, side="right")
+    return words.dictionary, np.insert(ids, np.flatnonzero(np.diff(piece)) + 1, 0)
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -80,7 +87,7 @@ def pack(ids: np.ndarray) -> bytes:
 
 
 def unpack(data: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, decompressed_size=size * 4, codec="zstd"), "<u4").astype(np.int64) if size else np.zeros(0, np.int64)
+    return np.frombuffer(pa.decompress(data, decompressed_size=size * 4, codec="zstd"), "<u4").view(np.int32) if size else np.zeros(0, np.int32)
 
 
 def _shards(shard_bytes: int, held_bytes: int):
@@ -93,9 +100,12 @@ def _shards(shard_bytes: int, held_bytes: int):
             nonlocal made
             texts = held.pop(lang)
             sizes.pop(lang)
-            data = np.concatenate([t for t, _ in texts])
             bases = np.cumsum([0] + [len(t) for t, _ in texts[:-1]])
-            words, ids = words_of(data, np.concatenate([e + b for (_, e), b in zip(texts, bases)]))
+            ends = np.concatenate([e + b for (_, e), b in zip(texts, bases)])
+            data = np.concatenate([t for t, _ in texts]) if len(texts) > 1 else texts[0][0]
+            texts.clear()
+            words, ids = words_of(data, ends)
+            del data
             if len(words):
                 counts = np.bincount(ids, minlength=len(words) + 1)[1:]
                 made += 1
@@ -106,19 +116,19 @@ def _shards(shard_bytes: int, held_bytes: int):
                     pa.array([len(ids)], pa.int64()), pa.array([pack(ids)], pa.binary())],
                     names=["shard", "lang", "n", "words", "counts", "size", "ids"])
         for b in batches:
-            langs, texts = b.column(0).dictionary_encode(), b.column(1).cast(pa.large_binary())
+            langs, texts = b.column(0).dictionary_encode(), b.column(1)
             which = langs.indices.to_numpy(zero_copy_only=False)
-            lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+            lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
             for code, lang in enumerate(langs.dictionary.to_pylist()):
                 rows = np.flatnonzero(which == code)
                 ends, at = np.cumsum(lengths[rows]), 0
                 while at < len(rows):
                     base = ends[at - 1] if at else 0
                     to = max(int(np.searchsorted(ends, base + shard_bytes - sizes.get(lang, 0), "right")), at + 1)
-                    mine = texts.take(pa.array(rows[at:to]))
+                    mine = texts.take(pa.array(rows[at:to])).cast(pa.large_binary())
                     offsets = np.frombuffer(mine.buffers()[1], np.int64)[:to - at + 1]
-                    data = np.frombuffer(mine.buffers()[2] or b"", np.uint8)[:offsets[-1]].copy()
-                    held.setdefault(lang, []).append((data, offsets[1:].copy()))
+                    data = np.frombuffer(mine.buffers()[2] or b"", np.uint8)[:offsets[-1]]
+                    held.setdefault(lang, []).append((data, offsets[1:]))
                     sizes[lang] = sizes.get(lang, 0) + len(data)
                     if sizes[lang] >= shard_bytes or to < len(rows):
                         yield from shard(lang)
@@ -138,7 +148,7 @@ class BidirectionalIndex:
     (start, start in the reverse, width)."""
 
     def __init__(self, ids: np.ndarray, depth: int):
-        text = np.append(0, ids)
+        text = np.append(0, ids).astype(np.int32)
         self.symbols = int(text.max()) + 1
         self.starts = np.append(0, np.cumsum(np.bincount(text, minlength=self.symbols)))
         self.forward, self.backward = self._transform(text, depth), self._transform(text[::-1], depth)
@@ -150,9 +160,10 @@ class BidirectionalIndex:
         while sorted_by < depth:
             add = min(sorted_by, depth - sorted_by)
             if sorted_by > 1:
-                ranks[sorted_by] = key = np.unique(key, return_inverse=True)[1]
+                ranks[sorted_by] = key = np.unique(key, return_inverse=True)[1].astype(np.int32)
             more = np.roll(ranks[add], -sorted_by)
-            key = key * (int(more.max()) + 1) + more
+            key = key * np.int64(int(more.max()) + 1)
+            key += more
             sorted_by += add
         return text[np.argsort(key, kind="stable") - 1]
 
@@ -160,8 +171,8 @@ class BidirectionalIndex:
         """Where the rotation that begins with each place's word stands."""
         if right not in self._steps:
             last = self.backward if right else self.forward
-            out = np.empty(len(last), np.int64)
-            out[np.argsort(last, kind="stable")] = np.arange(len(last))
+            out = np.empty(len(last), np.int32)
+            out[np.argsort(last, kind="stable")] = np.arange(len(last), dtype=np.int32)
             self._steps[right] = out
         return self._steps[right]
 
@@ -177,10 +188,11 @@ class BidirectionalIndex:
         start, other, width = intervals if right else (intervals[1], intervals[0], intervals[2])
         if not len(width):
             return np.zeros((0, phrases.shape[1] + 1), np.int64), intervals
-        parents = np.repeat(np.arange(len(width)), width)
         first = np.cumsum(width) - width
-        places = np.repeat(other - first, width) + np.arange(len(parents))
-        key = parents * self.symbols + (self.backward if right else self.forward)[places]
+        places = np.repeat((other - first).astype(np.int32), width)
+        places += np.arange(len(places), dtype=np.int32)
+        key = np.repeat(np.arange(len(width), dtype=np.int64) * self.symbols, width)
+        key += (self.backward if right else self.forward)[places]
         order = np.argsort(key, kind="stable")
         key = key[order]
         head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
