@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions._util import as_col
-from panelkit.session import scratch_dir
+from panelkit.stages import releasing, store_stage
 
 
 def dedup_by_key(df: DataFrame, keys, order_by=(), keep: str = "first") -> DataFrame:
@@ -30,6 +30,30 @@ def dedup_by_key(df: DataFrame, keys, order_by=(), keep: str = "first") -> DataF
                       *[F.col("_winner").getField(c).alias(c) for c in order + rest]).select(*df.columns)
 
 
+def dedup_within_key(df: DataFrame, key: str, within: str, values, order_by=(), keep: str = "first") -> DataFrame:
+    """D01 on (``key``, ``within``) for the listed ``values`` of ``within``, laid
+    out by ``key``: the winners are those of :func:`dedup_by_key` and rows with
+    other values go.
+
+    One grouped aggregate by ``key`` holds a winner per value, so the rows that
+    come out are partitioned by ``key`` alone: windows and joins on it need no
+    further exchange. The partial step reduces a key with a third of all rows
+    to a row per input task, so the layout costs no hot task."""
+    values = list(dict.fromkeys(values))
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    rest = [c for c in df.columns if c not in (key, within) and c not in order]
+    packed = F.struct(*[F.col(c) for c in order + rest])
+    pick = F.min if keep == "first" else F.max
+    if not values:
+        return df.limit(0)
+    wide = df.where(F.col(within).isin(values)).groupBy(key).agg(
+        *[pick(F.when(F.col(within) == F.lit(v), packed)).alias(f"_winner{i}") for i, v in enumerate(values)])
+    found = F.array(*[F.struct(F.lit(v).alias(within), F.col(f"_winner{i}").alias("_row")) for i, v in enumerate(values)])
+    rows = wide.select(key, F.explode(found).alias("_one")).where(F.col("_one._row").isNotNull())
+    return rows.select(key, F.col(f"_one.{within}").alias(within),
+                       *[F.col("_one._row").getField(c).alias(c) for c in order + rest]).select(*df.columns)
+
+
 def distinct_values(df: DataFrame, cols) -> DataFrame:
     """Distinct values of one or more columns (partial + final aggregate)."""
     cols = [cols] if isinstance(cols, str) else list(cols)
@@ -38,24 +62,28 @@ def distinct_values(df: DataFrame, cols) -> DataFrame:
 
 def number_rows(df: DataFrame, order: list[Column], name: str = "idx", with_count: bool = False):
     """``df`` with ``name`` = 0, 1, 2, ... in the order of ``order`` (and, with
-    ``with_count``, the number of rows beside it).
-
-    For any number of rows: they are dealt over tasks by range and written once
-    to the shared folder; each range is numbered in a task of its own, from the
-    number of rows in the ranges before it. The driver sees one count per
-    range."""
+    ``with_count``, the number of rows beside it), as a finished table.
+
+    For any number of rows: they are dealt over tasks by range, sorted there,
+    and each row's place in its range is noted as it is written (the low bits
+    of ``monotonically_increasing_id``). The number of rows in the ranges before
+    it is added in a second pass over the written rows, so a reader scans the
+    numbers and repeats nothing: no window, no sort, no join. The driver sees
+    one count per range."""
     spark = df.sparkSession
-    path = scratch_dir(spark, "numbered")
-    df.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id()).write.parquet(path)
-    pieces = spark.read.schema(df.withColumn("_piece", F.lit(0)).schema).parquet(path)
-    before, total = [], 0
-    for piece, n in sorted(pieces.groupBy("_piece").count().collect()):
-        before.append((piece, total))
-        total += n
-    starts = spark.createDataFrame(before, "_piece int, _before long")
-    place = F.row_number().over(Window.partitionBy("_piece").orderBy(*order)).cast("long")
-    out = (pieces.join(starts, "_piece").withColumn(name, F.col("_before") + place - 1)
-           .select(*[F.col(f"`{c}`") for c in df.columns], name))
+    with releasing(spark) as step:
+        placed = store_stage(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                             .withColumn("_place", F.monotonically_increasing_id()), "placed")
+        piece = F.shiftright("_place", 33)
+        before, total = [], 0
+        for found, n in sorted(placed.groupBy(piece).count().collect()):
+            before.append((found, total))
+            total += n
+        starts = spark.createDataFrame(before, "_piece long, _before long")
+        place = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+        numbered = (placed.withColumn("_piece", piece).join(starts, "_piece")
+                    .select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + place).alias(name)))
+        out = step.keep(store_stage(numbered, "numbered"))
     return (out, total) if with_count else out
 
 

@@ -114,9 +114,15 @@ def scratch_scope(spark: SparkSession):
         yield parent
     finally:
         _SCOPE.reset(token)
-        if _context(spark) is not None:
-            path = spark._jvm.org.apache.hadoop.fs.Path(parent)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(spark, parent)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage (not under Spark Connect, which
+    gives no access to it)."""
+    if _context(spark) is not None:
+        found = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
 def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:
