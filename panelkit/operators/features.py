@@ -151,9 +151,17 @@ def has_all_features(params: FeatureParams) -> Column:
 
 
 def apply_feature_pipeline(df: DataFrame, params: FeatureParams, year: str = "year", out: str = "features",
-                           as_vector: bool = True) -> DataFrame:
+                           as_vector: bool = True, flag: str | None = None) -> DataFrame:
     """F10 apply: scale, keep the rows that have all features
-    (:func:`has_all_features`), assemble the vector."""
+    (:func:`has_all_features`), assemble the vector. With ``flag`` the other
+    rows stay, marked false in that column, with a stand-in for what they lack."""
     scaled = scale_year(standardize(df, params.scaled, params.stats), year, params.year_range)
-    return assemble_features(scaled.where(has_all_features(params)), tuple(params.code_widths), params.numeric, out,
-                             params.code_widths if as_vector else None)
+    if flag is None:
+        rows = scaled.where(has_all_features(params))
+    else:
+        rows = scaled.withColumn(flag, has_all_features(params))
+        whole = F.col(flag)
+        rows = rows.withColumns({c: F.when(whole, F.col(c)).otherwise(F.lit("1" + "0" * max(width - 1, 0)))
+                                 for c, width in params.code_widths.items()}
+                                | {c: F.when(whole, F.col(c)).otherwise(F.lit(0.0)) for c in params.numeric})
+    return assemble_features(rows, tuple(params.code_widths), params.numeric, out, params.code_widths if as_vector else None)

@@ -4,29 +4,37 @@ band, all fitted by distributed Spark jobs."""
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.predicates import all_not_null
 from panelkit.functions.text import BAND_BOUNDS, band_index
-from panelkit.operators.evaluate import accuracy, rmse_by_class
+from panelkit.operators.evaluate import two_stage_metrics
 from panelkit.operators.keys import split_label
-from panelkit.session import scratch_dir
+from panelkit.operators.moments import COEF_SCHEMA, RANK, fit_vector_regressions, predict_vector_regressions
+from panelkit.session import delete_path, scratch_dir
+from panelkit.stages import store_stage
 
 
 def fit_band_classifier(df: DataFrame, features: str = "features", label: str = "band",
                         max_iter: int = 100, reg_param: float = 0.0):
     """Multinomial logistic regression with intercept. Labels are 0-based
-    class indices (see :func:`panelkit.functions.band_index`)."""
+    class indices (see :func:`panelkit.functions.band_index`).
+
+    The model comes back as saved and read again, without its training summary:
+    that of a two-band model holds the session, and a session that has observed
+    metrics can't be shipped to tasks with the model."""
     lr = LogisticRegression(featuresCol=features, labelCol=label, family="multinomial",
                             maxIter=max_iter, regParam=reg_param, fitIntercept=True)
-    return lr.fit(df)
+    path = scratch_dir(df.sparkSession, "classifier")
+    lr.fit(df).write().save(path)
+    model = LogisticRegressionModel.load(path)
+    delete_path(df.sparkSession, path)
+    return model
 
 
 def predict_band(model, df: DataFrame, out: str = "predicted_band") -> DataFrame:
@@ -35,19 +43,20 @@ def predict_band(model, df: DataFrame, out: str = "predicted_band") -> DataFrame
     return model.transform(df).drop("rawPrediction", "probability").withColumnRenamed(p, out)
 
 
-COEF_SCHEMA = "class double, n long, intercept double, coefficients array<double>"
-
-
 def _solver(d: int, ridge: float):
     def solve(batches):
-        """Least squares of each moment row (minimum norm if it is singular)."""
+        """Least squares of each moment row. Features are scaled to deviation
+        1; a singular class gets the shortest solution in that scale."""
         for moments in batches:
             out = []
             for r in moments.itertuples(index=False):
                 cov = np.zeros((d, d))
                 cov[np.triu_indices(d)] = np.nan_to_num(np.array(r.cov, float))
                 cov = cov + np.triu(cov, 1).T + ridge * np.eye(d)
-                beta = np.linalg.lstsq(cov, np.nan_to_num(np.array(r.cov_y, float)), rcond=None)[0] if d else np.zeros(0)
+                scale = np.sqrt(np.diag(cov))
+                unit = np.divide(1.0, scale, out=np.zeros(d), where=scale > 0)
+                beta = unit * np.linalg.lstsq(cov * np.outer(unit, unit), np.nan_to_num(np.array(r.cov_y, float)) * unit,
+                                              rcond=RANK)[0] if d else np.zeros(0)
                 out.append((r.cls, r.n, float(r.mean_y - beta @ np.array(r.mean, float)) if d else r.mean_y, beta.tolist()))
             yield pd.DataFrame(out, columns=["class", "n", "intercept", "coefficients"])
     return solve
@@ -91,53 +100,50 @@ def predict_per_class(df: DataFrame, coefficients: DataFrame, class_col: str, fe
     return joined.withColumn(out, pred).drop("_cls", "_b0", "_b")
 
 
-def fit_vector_regressions(df: DataFrame, class_col: str, features: str, label: str, classes: int, ridge: float = 0.0) -> dict:
-    """M04 on a feature vector: a linear regression for each of the ``classes``
-    bands 0, 1, ... that has rows, by normal equations. The number of bands is
-    a parameter of the model, not data, so the loop is bounded."""
-    known = df.where(F.col(label).isNotNull())
-    present = {r[0] for r in known.where(F.col(class_col).isin(*map(float, range(classes)))).select(class_col).distinct().collect()}
-    lr = LinearRegression(featuresCol=features, labelCol=label, solver="normal", regParam=ridge)
-    return {k: lr.fit(known.where(F.col(class_col) == float(k))) for k in range(classes) if float(k) in present}
-
-
-def predict_vector_regressions(models: dict, df: DataFrame, class_col: str, out: str = "predicted_value") -> DataFrame:
-    """Each row scored by the regression of its class; NULL where there is none."""
-    parts = [m.setPredictionCol(out).transform(df.where(F.col(class_col) == float(k))) for k, m in models.items()]
-    rest = df.where(~F.col(class_col).isin(*map(float, models))) if models else df
-    return reduce(DataFrame.unionByName, [*parts, rest.withColumn(out, F.lit(None).cast("double"))])
-
-
 @dataclass
 class TwoStageResult:
+    """``scored`` holds every test row with its bands, its part ('fit', 'score'
+    or 'left_out') and, in part 'score', the predicted value."""
     classifier: object
-    regressions: object
+    regressions: DataFrame
+    predicted: DataFrame
     scored: DataFrame
-    accuracy: DataFrame
-    rmse_by_class: DataFrame
+    metrics: DataFrame
+
+    @property
+    def accuracy(self) -> DataFrame:
+        return self.metrics.where("metric = 'accuracy'").select("n", F.col("value").alias("accuracy"))
+
+    @property
+    def rmse_by_class(self) -> DataFrame:
+        return self.metrics.where("metric = 'rmse'").select("class", "n", "n_unscored", F.col("value").alias("rmse"))
 
 
 def two_stage_model(train: DataFrame, test: DataFrame, value: str = "curVal", features: str = "features",
                     regression_features=None, bounds=BAND_BOUNDS, max_iter: int = 100, ridge: float = 0.0,
-                    key=("PID", "year"), fractions=(0.7, 0.3)) -> TwoStageResult:
+                    key=("PID", "year"), fractions=(0.7, 0.3), complete: str | None = None) -> TwoStageResult:
     """The band classifier (M02) is fitted on ``train`` and predicts the
     bands of ``test``. Those rows are written once, by predicted band, and
     split 70/30 inside each band (R02): one part fits the band's regression
     (M04), the other is scored. The regressions use the whole feature vector,
-    or the named ``regression_features``."""
+    or the named ``regression_features``. Test rows whose flag ``complete`` is
+    false have no band and are counted as left out. All metrics come from one
+    aggregation (:func:`panelkit.operators.evaluate.two_stage_metrics`)."""
     tr = train.withColumn("band", band_index(value, bounds))
     te = test.withColumn("band", band_index(value, bounds))
     clf = fit_band_classifier(tr.where(F.col("band").isNotNull()), features, "band", max_iter)
-    part = split_label([F.col("predicted_band").cast("int"), *key], fractions, ("fit", "score"))
+    whole = F.col(complete) if complete else F.lit(True)
+    banded = predict_band(clf, te).withColumn("predicted_band", F.when(whole, F.col("predicted_band")))
+    part = F.when(whole, split_label([F.col("predicted_band").cast("int"), *key], fractions, ("fit", "score"))).otherwise("left_out")
     path = scratch_dir(test.sparkSession, "predicted")
-    predict_band(clf, te).withColumn("part", part).write.partitionBy("predicted_band", "part").parquet(path)
+    banded.withColumn("part", part).write.partitionBy("predicted_band", "part").parquet(path)
     predicted = test.sparkSession.read.parquet(path).withColumn("predicted_band", F.col("predicted_band").cast("double"))
-    fit_rows, rest = predicted.where("part = 'fit'"), predicted.where("part = 'score'")
+    fit_rows = predicted.where("part = 'fit'")
     if regression_features is None:
-        regressions = fit_vector_regressions(fit_rows, "predicted_band", features, value, len(bounds) + 1, ridge)
-        scored = predict_vector_regressions(regressions, rest, "predicted_band")
+        regressions = store_stage(fit_vector_regressions(fit_rows, "predicted_band", features, value, ridge), "regressions")
+        scored = predict_vector_regressions(regressions, predicted, "predicted_band", features)
     else:
-        regressions = fit_per_class_regression(fit_rows, "predicted_band", regression_features, value, ridge)
-        scored = predict_per_class(rest, regressions, "predicted_band", regression_features)
-    return TwoStageResult(clf, regressions, scored, accuracy(predicted, "band", "predicted_band"),
-                          rmse_by_class(scored, "predicted_band", value, "predicted_value"))
+        regressions = store_stage(fit_per_class_regression(fit_rows, "predicted_band", regression_features, value, ridge), "regressions")
+        scored = predict_per_class(predicted, regressions, "predicted_band", regression_features)
+    scored = scored.withColumn("predicted_value", F.when(F.col("part") == "score", F.col("predicted_value")))
+    return TwoStageResult(clf, regressions, predicted, scored, two_stage_metrics(scored, value))
