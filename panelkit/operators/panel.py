@@ -43,24 +43,40 @@ def backfill_attribute(df: DataFrame, donor: DataFrame, key: str = "PID", attrs=
 
 
 def prior_value(df: DataFrame, key: str = "PID", year: str = "year", pairs: dict = PRIOR_PAIRS,
-                mode: str = "previous_year", base_year: int | None = None, how: str = "inner") -> DataFrame:
+                mode: str = "previous_year", base_year: int | None = None, how: str = "inner",
+                first_factor: float | None = None) -> DataFrame:
     """Prior-period values.
 
     ``previous_year``: each ``pre`` column := the same key's ``cur`` value of
-    ``year - 1`` (a ``lag`` guarded by ``lag(year) = year - 1``; the input must
-    hold one row per key and year, so a window group is bounded by the number
-    of years). ``base_year``: ``pre`` := the key's ``cur`` in ``base_year``,
-    for the rows of the other years.
+    ``year - 1`` (a ``lag`` guarded by ``lag(year) = year - 1``). The input must
+    hold one row per key and year: a window group is then bounded by the number
+    of years, and the same window raises where a key has two rows of one year.
+    Rows laid out by ``key`` (:func:`dedup_within_key`) need no exchange.
+    ``first_factor`` (P05): the rows of ``base_year``, which have no prior, stay
+    with ``first_factor`` x current. ``base_year``: ``pre`` := the key's ``cur``
+    in ``base_year``, for the rows of the other years.
 
     ``how='inner'`` drops rows that have no prior row (old behaviour)."""
     if mode == "previous_year":
         w = Window.partitionBy(key).orderBy(year)
-        follows = F.coalesce(F.lag(F.col(year)).over(w) == F.col(year) - F.lit(1), F.lit(False))
-        before = [F.lag(F.col(cur)).over(w).alias(f"_prior_{pre}") for pre, cur in pairs.items()]
-        out = df.select("*", follows.alias("_has_prior"), *before)
+        before = F.lag(F.col(year)).over(w)
+        twice = F.concat(F.lit(f"two rows of one {year} for {key} "), F.col(key).cast("string"), F.lit(", "), F.col(year).cast("string"))
+        follows = (F.when(before.isNotNull() & (before == F.col(year)), F.raise_error(twice).cast("boolean"))
+                   .otherwise(F.coalesce(before == F.col(year) - F.lit(1), F.lit(False))))
+        priors = [F.lag(F.col(cur)).over(w).alias(f"_prior_{pre}") for pre, cur in pairs.items()]
+        out = df.select("*", follows.alias("_has_prior"), *priors)
+        first = F.lit(False)
+        if first_factor is not None:
+            if base_year is None:
+                raise ValueError("first_factor needs base_year")
+            first = F.coalesce(F.col(year) == F.lit(base_year), F.lit(False))
         if how == "inner":
-            out = out.where("_has_prior")
-        fill = {pre: F.when(F.col("_has_prior"), F.col(f"_prior_{pre}")) for pre in pairs}
+            out = out.where(F.col("_has_prior") | first)
+        fill = {}
+        for pre, cur in pairs.items():
+            prior = F.when(F.col("_has_prior"), F.col(f"_prior_{pre}"))
+            fill[pre] = prior if first_factor is None else \
+                F.when(first, F.col(cur).try_cast("double") * F.lit(first_factor)).otherwise(prior)
         return out.withColumns(fill).select(*_ordered(df, pairs))
     if mode == "base_year":
         if base_year is None:
@@ -71,7 +87,10 @@ def prior_value(df: DataFrame, key: str = "PID", year: str = "year", pairs: dict
         out = rest.join(base, key, how)
         for pre in pairs:
             out = out.withColumnRenamed("_b_" + pre, pre)
-        return out.select(*_ordered(df, pairs))
+        out = out.select(*_ordered(df, pairs))
+        if first_factor is None:
+            return out
+        return out.unionByName(impute_prior(df.where(F.col(year) == F.lit(base_year)), pairs, first_factor).select(*_ordered(df, pairs)))
     raise ValueError("mode must be 'previous_year' or 'base_year'")
 
 

@@ -349,7 +349,7 @@ d AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS i
     q["f01_encode_categories"] = w(fsa_dict) + f" SELECT p_partkey, {_onehot('idx', 'n')} AS FSA FROM fsa LEFT JOIN d ON FSA = value"
     q["f02_encode_zone"] = w(REGISTER) + (f" SELECT folio, {_zone_map('z')} AS zoneCat FROM (SELECT folio, CASE WHEN "
                                           f"COALESCE(TRIM(zoneCat), '') = '' THEN {_t02('zoneName')} ELSE zoneCat END AS z FROM register)")
-    half = fsa_dict.replace("WHERE FSA IS NOT NULL", "WHERE FSA < 'm' AND p_partkey % 2 = 0")
+    half = fsa_dict.replace("WHERE FSA IS NOT NULL", "WHERE FSA < 'm'")
     q["f01_encode_categories_null"] = w(half) + f" SELECT p_partkey, {_onehot('idx', 'n')} AS FSA, FSA AS fsaText FROM fsa LEFT JOIN d ON FSA = value"
     q["f01_encode_categories_keep"] = w(half) + f" SELECT p_partkey, COALESCE({_onehot('idx', 'n')}, FSA) AS FSA FROM fsa LEFT JOIN d ON FSA = value"
     q["f08_pca_project"] = ("SELECT vec_id, ROUND(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 4) "
@@ -388,6 +388,7 @@ FROM (SELECT m.*, zoneCat || legalType || FSA AS code FROM main m JOIN yearly US
     q["r02_hash_split"] = w(BASE) + (f" SELECT PID, year, band, {_split('band, PID, CAST(year AS VARCHAR)', (0.7, 0.3))}"
                                      f" AS split FROM (SELECT *, {_band('curVal')} AS band FROM cy)")
 
+    q["r05_stage_tables"] = w(BASE) + (" SELECT year, COUNT(*) AS n, ROUND(SUM(curVal), 2) AS total, MAX(curVal) AS largest FROM cy GROUP BY year")
     q["m04_fit_per_class_regression"] = w(BASE, """
 b AS (SELECT *, CAST(""" + _band("curVal") + """ AS INTEGER) - CAST(1 AS DOUBLE) AS class FROM cy)""") + (
         " SELECT class, regr_count(curVal, curImpVal) AS n, ROUND(regr_intercept(curVal, curImpVal), 6) AS intercept, "
@@ -397,7 +398,10 @@ b AS (SELECT *, CAST(""" + _band("curVal") + """ AS INTEGER) - CAST(1 AS DOUBLE)
 m AS (SELECT class, COUNT(*) AS n, AVG(curVal) AS my, AVG(curImpVal) AS m1, AVG(year) AS m2,
              covar_pop(curImpVal, curImpVal) AS c11, covar_pop(curImpVal, year) AS c12, covar_pop(year, year) AS c22,
              covar_pop(curImpVal, curVal) AS c1y, covar_pop(year, curVal) AS c2y FROM b GROUP BY class),
-s AS (SELECT *, (c1y * c22 - c2y * c12) / (c11 * c22 - c12 * c12) AS b1, (c2y * c11 - c1y * c12) / (c11 * c22 - c12 * c12) AS b2 FROM m WHERE n > 20)""") + (
+s AS (SELECT *, CASE WHEN c11 = 0 THEN 0 WHEN c22 = 0 THEN c1y / c11 WHEN c12 * c12 > (1 - 1e-9) * c11 * c22 THEN c1y / (2 * c11)
+                     ELSE (c1y * c22 - c2y * c12) / (c11 * c22 - c12 * c12) END AS b1,
+                CASE WHEN c22 = 0 THEN 0 WHEN c11 = 0 THEN c2y / c22 WHEN c12 * c12 > (1 - 1e-9) * c11 * c22 THEN c2y / (2 * c22)
+                     ELSE (c2y * c11 - c1y * c12) / (c11 * c22 - c12 * c12) END AS b2 FROM m)""") + (
         " SELECT class, n, ROUND(my - b1 * m1 - b2 * m2, 3) AS intercept, ROUND(b1, 3) AS slope, ROUND(b2, 3) AS year_slope FROM s")
     legal = w(PANEL_SQL, """
 f AS (SELECT PID, year, legalType, curVal, curImpVal, CAST(""" + _band("curVal") + """ AS INTEGER) - CAST(1 AS DOUBLE) AS band
@@ -420,6 +424,17 @@ SELECT 'accuracy' AS metric, NULL::DOUBLE AS class, COUNT(*) AS n, NULL::BIGINT
 UNION ALL SELECT 'rmse', predicted_band, COUNT(*), COUNT(*) - COUNT(predicted_value), ROUND(SQRT(AVG(POWER(curVal - predicted_value, 2))), 4)
 FROM scored GROUP BY predicted_band
 UNION ALL SELECT 'left_out', NULL::DOUBLE, 0, NULL::BIGINT, NULL::DOUBLE"""
+    mapped = f"""regexp_matches(zoneCat, '^0*10*$') AND length(zoneCat) = {len(S.STANDIN_ZONE_CODES)}
+        AND regexp_matches(legalType, '^0*10*$') AND length(legalType) = {len(S.STANDIN_LEGAL)}
+        AND regexp_matches(FSA, '^0*10*$') AND length(FSA) = (SELECT MAX(n) FROM dict)"""
+    present = " AND ".join(f"{c} IS NOT NULL" for c in ("curVal", "curImpVal", "preVal", "preImpVal", "zoneCat", "legalType", "FSA"))
+    q["c08_train_value_model_full"] = w(PANEL_SQL, SERIES, f"""
+f AS (SELECT {in_set} AS part, {mapped} AS mapped, CAST({_band("curVal")} AS INTEGER) - CAST(1 AS DOUBLE) AS band
+      FROM panel JOIN yearly USING (year) WHERE {present})""") + """,
+k AS (SELECT unnest(range(0, (SELECT CAST(MAX(band) AS INTEGER) + 1 FROM f WHERE mapped AND part = 'training'))) AS class)
+SELECT 'classifier' AS equation, CAST(class AS DOUBLE) AS class, (SELECT COUNT(*) FROM f WHERE mapped AND part = 'training') AS n, 0.0::DOUBLE AS score FROM k
+UNION ALL SELECT 'regression', NULL::DOUBLE, COUNT(*), 0.0::DOUBLE FROM f WHERE mapped AND part = 'testing'
+UNION ALL SELECT 'left_out', NULL::DOUBLE, COUNT(*), 0.0::DOUBLE FROM f WHERE NOT mapped AND part = 'testing'"""
     q["e01_accuracy"] = w(BASE) + f""" SELECT COUNT(*) AS n, ROUND(AVG(CAST(label = prediction AS DOUBLE)), 6) AS accuracy
 FROM (SELECT {_band('curVal')} AS label, {_band('pv')} AS prediction FROM (
   SELECT *, lag(year) OVER w AS py, lag(curVal) OVER w AS pv FROM cy WINDOW w AS (PARTITION BY PID ORDER BY year))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.predicates import has_key, has_length, has_value
@@ -17,16 +17,21 @@ from panelkit.functions.text import prefix_before
 from panelkit.operators.encode import (
     LEGAL_TYPES, ZONE_CODES, ZONE_NAMES, encode_categories, encode_legal, encode_zone, fit_categories,
 )
-from panelkit.operators.keys import dedup_by_key
+from panelkit.operators.keys import dedup_by_key, dedup_within_key
 from panelkit.operators.panel import backfill_attribute, fill_from, impute_prior, prior_value, stack_years
 from panelkit.operators.quality import quality_report
-from panelkit.session import ensure_checkpoint_dir, scratch_dir
+from panelkit.session import ensure_checkpoint_dir
+from panelkit.stages import store_stage
 
 # The panel's columns; fsaText beside them keeps the text that FSA encodes.
 PANEL_COLUMNS = ("PID", "legalType", "zoneCat", "curVal", "curImpVal", "year", "preVal", "preImpVal", "FSA", "fsaText")
 VALUE_COLUMNS = ("curVal", "curImpVal", "preVal", "preImpVal")
 MAIN_SELECT = ("PID", "legalType", "zoneName", "zoneCat", "postalCode", "curVal", "curImpVal",
                "taxAssess", "preVal", "preImpVal")
+#: The cleaning steps of a panel's rows.
+STEPS = ("main", "base", "history")
+# Fixed value: a key's first year has no prior; it takes this share of the current value.
+FIRST_FACTOR = 0.99
 HISTORY_SELECT = ("PID", "legalType", "postalCode", "curVal", "curImpVal", "taxAssess")
 
 
@@ -42,17 +47,12 @@ class CleanOptions:
     unseen: str = "null"
 
 
-def _years(df: DataFrame, years) -> DataFrame:
-    if years is None:
-        return df
-    return df.where(F.col("taxAssess").isin([str(y) for y in years]))
-
-
 def select_valid(register: DataFrame, years, columns, opts: CleanOptions, require_zone: bool,
                  zone_exempt=()) -> DataFrame:
     """W01 + W02 (+ W03, except for the ``zone_exempt`` years), then D01 per
     key and year, then T01 (FSA). Filters come before the dedup, so a row
-    that fails them can never be the one kept."""
+    that fails them can never be the one kept. With ``years`` the rows are laid
+    out by key alone, for the windows and joins on it that follow."""
     cond = has_key("PID")
     if opts.postal_len is not None:
         cond = cond & has_length("postalCode", opts.postal_len)
@@ -61,8 +61,11 @@ def select_valid(register: DataFrame, years, columns, opts: CleanOptions, requir
         if zone_exempt:
             zone_ok = zone_ok | F.col("taxAssess").isin([str(y) for y in zone_exempt])
         cond = cond & zone_ok
-    rows = _years(register, years).where(cond).select(*columns)
-    rows = dedup_by_key(rows, ["PID", "taxAssess"])
+    rows = register.where(cond).select(*columns)
+    if years is None:
+        rows = dedup_by_key(rows, ["PID", "taxAssess"])
+    else:
+        rows = dedup_within_key(rows, "PID", "taxAssess", [str(y) for y in years])
     return rows.withColumn("FSA", prefix_before("postalCode", " ", strip=True))
 
 
@@ -73,25 +76,35 @@ def fit_fsa_dictionary(register: DataFrame, reference_year, opts: CleanOptions =
 
 
 def _typed(df: DataFrame) -> DataFrame:
+    """The panel's columns, FSA still as text."""
     cols = []
     for c in PANEL_COLUMNS:
         if c == "year":
-            cols.append(F.col("taxAssess").try_cast("int").alias("year") if "taxAssess" in df.columns
-                        else F.col("year").cast("int").alias("year"))
+            cols.append(F.col("taxAssess").try_cast("int").alias("year"))
         elif c in VALUE_COLUMNS:
             cols.append(F.col(c).try_cast("double").alias(c))
-        else:
+        elif c in df.columns:
             cols.append(F.col(c))
     return df.select(*cols)
 
 
+def with_codes(df: DataFrame, dictionary: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """F01 on typed rows, FSA's text beside its code. The codes come last, so a
+    dictionary too large to broadcast moves the rows once, after all that works
+    by key."""
+    return encode_categories(df, "FSA", dictionary, unseen=opts.unseen, raw="fsaText").select(*PANEL_COLUMNS)
+
+
+def typed_main(valid: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """P07 F02 F03 P02 on rows from :func:`select_valid`."""
+    rows = fill_from(valid, "zoneCat", "zoneName", lambda c: prefix_before(c, "-", missing=opts.zone_missing))
+    rows = encode_zone(rows, "zoneCat", opts.zone_names, opts.zone_codes)
+    return _typed(encode_legal(rows, "legalType", opts.legal_values))
+
+
 def encode_main(valid: DataFrame, dictionary: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
     """F01 P07 F02 F03 P02 on rows from :func:`select_valid`."""
-    rows = encode_categories(valid, "FSA", dictionary, unseen=opts.unseen, raw="fsaText")
-    rows = fill_from(rows, "zoneCat", "zoneName", lambda c: prefix_before(c, "-", missing=opts.zone_missing))
-    rows = encode_zone(rows, "zoneCat", opts.zone_names, opts.zone_codes)
-    rows = encode_legal(rows, "legalType", opts.legal_values)
-    return _typed(rows)
+    return with_codes(typed_main(valid, opts), dictionary, opts)
 
 
 def clean_main_year(register: DataFrame, years, dictionary: DataFrame,
@@ -102,20 +115,20 @@ def clean_main_year(register: DataFrame, years, dictionary: DataFrame,
     return encode_main(select_valid(register, years, MAIN_SELECT, opts, True, zone_exempt), dictionary, opts)
 
 
-def _history_rows(register: DataFrame, years, dictionary: DataFrame, opts: CleanOptions) -> DataFrame:
+def typed_history(register: DataFrame, years, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """Historical rows after W01 W02 D01 T01 F03, typed, one per key and year."""
     rows = select_valid(register, years, HISTORY_SELECT, opts, require_zone=False)
-    rows = encode_categories(rows, "FSA", dictionary, unseen=opts.unseen, raw="fsaText")
     rows = encode_legal(rows, "legalType", opts.legal_values)
     for c in ("zoneCat", "preVal", "preImpVal"):
         rows = rows.withColumn(c, F.lit(None).cast("string"))
     return _typed(rows)
 
 
-def base_from_rows(rows: DataFrame, base_year: int, main: DataFrame, factor: float = 0.99,
+def base_from_rows(rows: DataFrame, base_year: int, main: DataFrame, factor: float = FIRST_FACTOR,
                    how: str = "inner") -> DataFrame:
     """C02 from prepared history rows: P05 then J01."""
     rows = impute_prior(rows.where(F.col("year") == F.lit(base_year)), factor=factor)
-    return backfill_attribute(rows, main, "PID", ["zoneCat"], ["year"], how).select(*PANEL_COLUMNS)
+    return backfill_attribute(rows, main, "PID", ["zoneCat"], ["year"], how)
 
 
 def history_from_rows(rows: DataFrame, base_year: int, years, main: DataFrame, mode: str = "previous_year",
@@ -123,20 +136,20 @@ def history_from_rows(rows: DataFrame, base_year: int, years, main: DataFrame, m
     """C03 from prepared rows of the base and history years: J02 then J01."""
     priced = prior_value(rows, "PID", "year", mode=mode, base_year=base_year, how=how)
     priced = priced.where(F.col("year").isin(list(years)))
-    return backfill_attribute(priced, main, "PID", ["zoneCat"], ["year"], how).select(*PANEL_COLUMNS)
+    return backfill_attribute(priced, main, "PID", ["zoneCat"], ["year"], how)
 
 
 def prepare_history(history: DataFrame, years, dictionary: DataFrame,
                     opts: CleanOptions = CleanOptions()) -> DataFrame:
     """Historical rows after W01 W02 D01 T01 F01 F03, typed, one per key and year."""
-    return _history_rows(history, years, dictionary, opts)
+    return with_codes(typed_history(history, years, opts), dictionary, opts)
 
 
 def clean_base_year(history: DataFrame, base_year: int, dictionary: DataFrame, main: DataFrame,
-                    opts: CleanOptions = CleanOptions(), factor: float = 0.99, how: str = "inner") -> DataFrame:
+                    opts: CleanOptions = CleanOptions(), factor: float = FIRST_FACTOR, how: str = "inner") -> DataFrame:
     """S02 W01 W02 D01 T01 F01 F03 P05 J01. Prior values are ``factor`` x
     current; the zone comes from the key's latest main-year row."""
-    return base_from_rows(_history_rows(history, [base_year], dictionary, opts), base_year, main, factor, how)
+    return with_codes(base_from_rows(typed_history(history, [base_year], opts), base_year, main, factor, how), dictionary, opts)
 
 
 def clean_history(history: DataFrame, base_year: int, years, dictionary: DataFrame, main: DataFrame,
@@ -147,8 +160,8 @@ def clean_history(history: DataFrame, base_year: int, years, dictionary: DataFra
     previous year (``previous_year``, the base year included) or of the base
     year (``base_year``). Rows without a prior, or without a main-year zone,
     are dropped (inner joins, as before)."""
-    rows = _history_rows(history, [base_year, *years], dictionary, opts)
-    return history_from_rows(rows, base_year, years, main, mode, how)
+    rows = typed_history(history, [base_year, *years], opts)
+    return with_codes(history_from_rows(rows, base_year, years, main, mode, how), dictionary, opts)
 
 
 def build_panel(main: DataFrame, base: DataFrame, history: DataFrame) -> DataFrame:
@@ -156,21 +169,20 @@ def build_panel(main: DataFrame, base: DataFrame, history: DataFrame) -> DataFra
     return stack_years([main, base, history], numeric=VALUE_COLUMNS)
 
 
-def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, how: str | None = "checkpoint", readers: int | None = None) -> DataFrame:
     """Materialize a frame that several later stages read.
 
-    ``'table'`` (default of the pipeline): written once as a Parquet table
-    in a new folder below ``spark.checkpoint.dir`` (the shared folder read
-    from the session) and read back. This cuts the lineage on reliable
+    ``'table'`` (default of the pipeline): a stage table of the job's ledger
+    (:mod:`panelkit.stages`), written once as Parquet in a new folder below
+    ``spark.checkpoint.dir`` and read back. This cuts the lineage on reliable
     storage, and unlike a checkpoint every reader still gets column pruning
-    and filter pushdown on it.
+    and filter pushdown on it; with ``readers`` the table goes when the last
+    of so many frames written from it is there.
     ``'checkpoint'``: eager ``checkpoint()`` into the same shared folder.
     ``'cache'``: memory-and-disk cache (lost blocks are recomputed from the
     lineage; release with ``unpersist`` after the sink). ``None``: lazy."""
     if how == "table":
-        path = scratch_dir(df.sparkSession, "stage")
-        df.write.parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)  # known: no job to infer it
+        return store_stage(df, readers=readers)
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
@@ -186,15 +198,19 @@ def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
 class RegisterPanel:
     """C01-C04 wired together, built on first use.
 
-    The valid main-year rows and the prepared history rows are each read by
-    several stages (dictionary, main output, zone backfill, base and history
-    priors), so each is materialized once (``persist``) when first needed, instead of re-running its scans and dedup shuffles per reader.
+    Only the valid main-year rows are read by several stages (dictionary, main
+    output, zone backfill) and therefore materialized (``persist``). The history
+    rows have one reader in every stage, and their layout by key serves dedup,
+    prior values and backfill, so they are not written in between. A job that
+    writes the panel and nothing else says ``panel_only``: the valid rows then
+    go from disk when the panel is there (inside a ledger's block).
     Index by stage name: ``valid_main``, ``dictionary``, ``main``, ``rows``,
     ``base``, ``history``, ``panel``, ``quality``."""
 
     def __init__(self, register_main: DataFrame, register_hist: DataFrame, main_years, base_year: int,
                  history_years, reference_year: int, opts: CleanOptions = CleanOptions(),
-                 mode: str = "previous_year", persist: str | None = "table"):
+                 mode: str = "previous_year", persist: str | None = "table", panel_only: bool = False):
+        self.panel_only = panel_only
         self.register_main, self.register_hist = register_main, register_hist
         self.main_years, self.base_year, self.history_years = list(main_years), base_year, list(history_years)
         self.reference_year, self.opts, self.mode, self.persist = reference_year, opts, mode, persist
@@ -211,7 +227,8 @@ class RegisterPanel:
         year without the zone filter)."""
         return self._once("valid_main", lambda: materialize(
             select_valid(self.register_main, self.main_years, MAIN_SELECT, self.opts, True,
-                         zone_exempt=[self.reference_year]), self.persist))
+                         zone_exempt=[self.reference_year]), self.persist,
+            readers=2 if self.panel_only else None))  # the dictionary and the panel
 
     @property
     def dictionary(self) -> DataFrame:
@@ -222,26 +239,36 @@ class RegisterPanel:
     @property
     def main(self) -> DataFrame:
         """Not materialized: an encoding join over ``valid_main`` is cheap to repeat."""
-        return self._once("main", lambda: encode_main(self.valid_main, self.dictionary, self.opts))
+        return self._once("main", lambda: with_codes(self._main, self.dictionary, self.opts))
+
+    @property
+    def _main(self) -> DataFrame:
+        return typed_main(self.valid_main, self.opts)
 
     @property
     def rows(self) -> DataFrame:
-        return self._once("rows", lambda: materialize(
-            prepare_history(self.register_hist, [self.base_year, *self.history_years], self.dictionary, self.opts),
-            self.persist))
+        """Base and history years, one row per key and year, laid out by key."""
+        return self._once("rows", lambda: prepare_history(
+            self.register_hist, [self.base_year, *self.history_years], self.dictionary, self.opts))
+
+    @property
+    def _before_main(self) -> DataFrame:
+        """The priors of base and history rows from one window, then one backfill
+        for both: the history files are exchanged once, by key."""
+        rows = typed_history(self.register_hist, [self.base_year, *self.history_years], self.opts)
+        priced = prior_value(rows, "PID", "year", mode=self.mode, base_year=self.base_year, first_factor=FIRST_FACTOR)
+        priced = priced.where(F.col("year").isin([self.base_year, *self.history_years]))
+        return backfill_attribute(priced, self._main, "PID", ["zoneCat"], ["year"])
 
     @property
     def before_main(self) -> DataFrame:
-        """C02 and C03 together: priors of base and history rows, then one
-        backfill for both."""
-        base = impute_prior(self.rows.where(F.col("year") == F.lit(self.base_year)))
-        later = prior_value(self.rows, "PID", "year", mode=self.mode, base_year=self.base_year)
-        priced = base.unionByName(later.where(F.col("year").isin(self.history_years)))
-        return backfill_attribute(priced, self.main, "PID", ["zoneCat"], ["year"]).select(*PANEL_COLUMNS)
+        """C02 and C03 together."""
+        return self._once("before_main", lambda: with_codes(self._before_main, self.dictionary, self.opts))
 
     @property
     def base(self) -> DataFrame:
-        return self.before_main.where(F.col("year") == F.lit(self.base_year))
+        """C02 alone: only the base year's rows are read."""
+        return clean_base_year(self.register_hist, self.base_year, self.dictionary, self._main, self.opts)
 
     @property
     def history(self) -> DataFrame:
@@ -249,16 +276,21 @@ class RegisterPanel:
 
     @property
     def panel(self) -> DataFrame:
-        return stack_years([self.main, self.before_main], numeric=VALUE_COLUMNS)
+        """All years stacked, then one encoding for all."""
+        return with_codes(stack_years([self._main, self._before_main], numeric=VALUE_COLUMNS), self.dictionary, self.opts)
+
+    @property
+    def step(self) -> Column:
+        """The cleaning step that a panel row comes from."""
+        return (F.when(F.col("year") == F.lit(self.base_year), "base")
+                .when(F.col("year").isin(self.history_years), "history").otherwise("main"))
 
     @property
     def quality(self) -> DataFrame:
         """A06 for each cleaning step (``main``, ``base``, ``history``):
         empty-or-NULL counts of every column in one pass (the old per-step
         check ran one job per column)."""
-        step = (F.when(F.col("year") == F.lit(self.base_year), "base")
-                .when(F.col("year").isin(self.history_years), "history").otherwise("main"))
-        return quality_report(self.panel.withColumn("step", step), by="step")
+        return quality_report(self.panel.withColumn("step", self.step), by="step")
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -266,7 +298,7 @@ class RegisterPanel:
 
 def register_panel(register_main: DataFrame, register_hist: DataFrame, main_years, base_year: int,
                    history_years, reference_year: int, opts: CleanOptions = CleanOptions(),
-                   mode: str = "previous_year", persist: str | None = "table") -> RegisterPanel:
+                   mode: str = "previous_year", persist: str | None = "table", panel_only: bool = False) -> RegisterPanel:
     """See :class:`RegisterPanel`."""
     return RegisterPanel(register_main, register_hist, main_years, base_year, history_years, reference_year,
-                         opts, mode, persist)
+                         opts, mode, persist, panel_only)

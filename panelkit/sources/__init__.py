@@ -1,5 +1,6 @@
 """Sources and sinks."""
 
+from panelkit.sources.census import CENSUS_SCHEMA, census_csv, census_whitespace
 from panelkit.sources.readers import (
     HISTORY_COLUMNS, HISTORY_SCHEMA, RATE_COLUMNS, RATE_SCHEMA, REGISTER_COLUMNS, REGISTER_SCHEMA,
     parse_whitespace, read_csv, scan_header_only, scan_parquet, scan_rates, scan_register,

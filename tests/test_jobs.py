@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from panelkit.plans import catalog
 from panelkit.plans import standins as S
-from panelkit.plans.jobs import Layout, build_panel_stages, etl_job, indicators_job, read_inputs, regression_job
+from panelkit.plans.indicators import yearly_from_state
+from panelkit.plans.jobs import Layout, build_panel_stages, etl_job, indicators_job, read_inputs, regression_job, state_job
 from panelkit.session import ensure_checkpoint_dir, scratch_dir
 from panelkit.sources.readers import HISTORY_COLUMNS
 from tests.conftest import SF_SMALL
@@ -50,12 +51,22 @@ def test_jobs_from_files(spark):
     assert scratch_folders(spark) - before <= {out.rsplit("/", 1)[1], out.rsplit("/", 1)[1] + "_quality"}
     assert {r.step for r in spark.read.parquet(f"{out}_quality").collect()} == {"main", "base", "history"}
     assert set(paths) == {"training", "testing"}
+    census = {r.step: r for r in spark.read.parquet(f"{out}_quality").collect()}
+    assert sum(f.lines for f in census["main"].bad_lines) == S.register_rows(spark, SF_SMALL).where(F.col("taxAssess").isin([str(y) for y in S.MAIN_YEARS])).count()
+    assert all(f.bad_lines == 0 for r in census.values() for f in [*r.bad_lines, *r.indicator_bad_lines])
+    assert len({f.file.rsplit("/", 2)[1] for f in census["history"].bad_lines}) == len(S.HISTORY_YEARS)
     written = spark.read.parquet(out)
     expected = catalog.c07_write_model_sets(spark, SF_SMALL)
     cols = sorted(expected.columns)
     got = rows(written.select(*cols).withColumn("oilprice", F.round("oilprice", 6)))
     assert got == rows(expected.select(*cols))
     assert indicators_job(spark, root, None, LAYOUT).count() == catalog.c06_monthly_indicators(spark, SF_SMALL).count()
+    # a state of the months, and the same files added again: means stay, numbers double
+    first, second = scratch_dir(spark, "state"), scratch_dir(spark, "state")
+    state = state_job(spark, root, first, None, LAYOUT)
+    twice = state_job(spark, root, second, first, LAYOUT)
+    assert rows(yearly_from_state(twice, S.INTEREST_START).drop("oilprice")) == rows(catalog.c05_yearly_indicators(spark, SF_SMALL).drop("oilprice"))
+    assert {(r.series, r.month): r.n for r in twice.collect()} == {(r.series, r.month): 2 * r.n for r in state.collect()}
     scored = scratch_dir(spark, "scored")
     metrics = regression_job(spark, out, scored_out=scored, max_iter=20).collect()
     assert {r.metric for r in metrics} == {"accuracy", "rmse", "left_out"}

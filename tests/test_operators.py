@@ -197,3 +197,56 @@ def test_rows_of_a_band_without_regression_are_counted(spark):
     coefs = fit_per_class_regression(df.where("cls < 2"), "cls", ["x"], "y")
     got = {r["class"]: (r.n, r.n_unscored) for r in rmse_by_class(predict_per_class(df, coefs, "cls", ["x"], "p"), "cls", "y", "p").collect()}
     assert got == {0.0: (10, 0), 1.0: (10, 0), 2.0: (10, 10)}
+
+
+def test_prior_value_refuses_two_rows_of_one_year(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    rows = [("A", 2000, 1.0, 1.0), ("A", 2001, 2.0, 2.0), ("B", 2000, 3.0, 3.0), ("B", 2000, 4.0, 4.0)]
+    df = spark.createDataFrame(rows, "PID string, year int, curVal double, curImpVal double")
+    out = prior_value(df.where("PID = 'A'"))
+    assert [(r.year, r.preVal) for r in out.collect()] == [(2001, 1.0)]
+    with pytest.raises(PySparkException, match="two rows of one year for PID B"):
+        prior_value(df).collect()
+    for plan in (prior_value(df)._jdf.queryExecution().executedPlan().toString(),):
+        assert plan.count("Exchange") == 1
+
+
+def test_prior_value_keeps_the_first_year_at_its_factor(spark):
+    rows = [("A", 2000, 100.0, 10.0), ("A", 2001, 110.0, 11.0), ("A", 2003, 120.0, 12.0), ("B", 2001, 5.0, 6.0)]
+    df = spark.createDataFrame(rows, "PID string, year int, curVal double, curImpVal double")
+    for mode, want in (("previous_year", [("A", 2000, 99.0), ("A", 2001, 100.0)]),
+                       ("base_year", [("A", 2000, 99.0), ("A", 2001, 100.0), ("A", 2003, 100.0)])):
+        out = prior_value(df, mode=mode, base_year=2000, first_factor=0.99)
+        assert sorted((r.PID, r.year, r.preVal) for r in out.collect()) == want
+
+
+def test_dedup_within_key_is_dedup_by_key_laid_out(spark):
+    from panelkit.operators import dedup_within_key
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 700).cast("string").alias("k"),
+                                    (2000 + F.col("id") % 5).cast("string").alias("y"), (F.col("id") * 7919 % 30_011).alias("v"), F.col("id").alias("w"))
+    for keep in ("first", "last"):
+        for order in ((), ("v",)):
+            rows = lambda d: sorted(map(tuple, d.select("k", "y", "v", "w").collect()))
+            want = dedup_by_key(df.where("y <> '2004'"), ["k", "y"], order, keep)
+            got = dedup_within_key(df, "k", "y", ["2000", "2001", "2002", "2003", "2000"], order, keep)
+            assert rows(got) == rows(want) and got.columns == df.columns
+    plan = dedup_within_key(df, "k", "y", ["2000"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and plan.count("Exchange") == 1
+    assert dedup_within_key(df, "k", "y", []).count() == 0
+
+
+def test_monthly_states_merge_to_the_state_of_all_rows(spark):
+    from panelkit.plans.indicators import merge_states, monthly_from_state, monthly_state, yearly_from_state
+    conv = spark.createDataFrame([(f"{m}/{d}/06", f"1.{m:02}{d}") for m in (1, 2, 3) for d in (1, 5)] + [("1/9/06", "Bank holiday"), ("x", "2")], "date string, rate string")
+    oil = spark.createDataFrame([("2006-01-03", "60.5"), ("2006-02-03", "."), ("2006-02-04", "62"), ("2007-01-01", "70"), (None, "1")], "date string, oilprice string")
+    rate = spark.createDataFrame([("2006-01-31", "5.126"), ("2006-02-28", "5.25"), ("2005-12-01", "9"), ("2006-02-27", "bad")], "date string, `5y-fixed-posted` string")
+    rows = lambda df: sorted(map(str, df.collect()))
+    whole = monthly_state(conv, oil, rate)
+    halves = merge_states(monthly_state(conv.where("rate < '1.03'"), oil.limit(0), rate), monthly_state(conv.where("rate >= '1.03'"), oil, rate.limit(0)))
+    assert rows(halves) == rows(whole) and halves.dtypes == whole.dtypes
+    year = yearly_from_state(halves).collect()
+    assert [(r.year, str(r.interestrates), r.oilprice, str(r.conversionrate)) for r in year] == [(2006, "5.19", 61.25, "1.02")]
+    months = sorted(monthly_from_state(halves, oil).collect(), key=str)
+    assert [(r.year, r.month, r.oilprice) for r in months if r.oilprice] == [(2006, 1, 60.5), (2006, 2, 62.0)]
+    assert len(months) == 3  # the price that is missing has its line

@@ -47,6 +47,23 @@ def test_history_takes_one_window_and_one_backfill(spark):
     assert plan.count("Window ") == 1
 
 
+def test_each_input_is_exchanged_once_on_its_key(spark):
+    """History rows are laid out by key in their dedup; window and backfill reuse it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stages = catalog.stages(spark, SF_SMALL)
+        stages.valid_main, stages.dictionary
+        plan = stages.panel._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(PID#") == 2, plan
+
+
+def test_indicator_tables_take_one_shuffle_of_the_rows(spark):
+    plan = catalog.c05_yearly_indicators(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan  # by month, then the months by year
+
+
 def test_submitted_partition_setting_survives(spark):
     from panelkit.session import _submitted, build_session
     spark.conf.set("spark.sql.shuffle.partitions", "13")
