@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.session import scratch_dir
+from panelkit.stages import store_stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,7 +13,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read
-    back: later jobs reread files, whichever executors are lost meanwhile."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back: later jobs reread files, whichever executors are lost meanwhile. The
+    table belongs to the ledger around it (:mod:`panelkit.stages`)."""
+    return store_stage(df, label)
