@@ -9,18 +9,19 @@ the right (by the reversed transform) and to the left (by the forward one) in
 turn, each step moving both intervals, until the phrases have that length; the
 widths of the intervals are their counts. Counts are summed across shards.
 
-A phrase can only be frequent if the phrases one word shorter inside it are.
-So each shard gets back which of its own phrases are frequent over all shards,
-cuts its words where none goes on, and indexes what is left for the next
-length: the counts of the longer frequent phrases stay exact, and shards shrink.
-Extensions of a phrase to the left and to the right are the frequent phrases one
-word longer that end or begin with it; the best of them decides whether the
-phrase is dropped.
-
-Frequent words are numbered once, so all that is shuffled are numbers; sums are
-formed before the shuffle. A shard comes from one task's rows and holds
-``SHARD`` bytes of text, or one text if longer. No group is collected: a very
-frequent word, phrase or language has one row per shard.
+A phrase can only be frequent if the phrases one word shorter inside it are, so
+a shard's words are cut where that is ruled out before they are indexed for the
+next length; the counts of the longer frequent phrases stay exact. For words
+this is told each shard (the frequent ones get numbers), for longer phrases by a
+filter of ``FILTER_BITS`` bits, whatever their number: what it lets through in
+error, more of it the fuller it is, costs rows but never a result.
+
+A shard sends its words and phrases as sorted, packed runs, one a bucket, that
+are merged where they meet; the number of buckets grows with the words, so that
+a task holds some ``BUCKET`` entries. A shard comes from one task's rows and
+holds ``SHARD`` bytes of text, or one text if longer. A very frequent word,
+phrase or language has one entry a shard, and those of a phrase are folded as
+they arrive.
 
 Null texts have no words; null languages count as ``und``; repeated rows count
 as often as they stand there; ids and other columns take no part; empty tables
@@ -29,7 +30,11 @@ give no rows. Equal scores are ordered by count, then by the phrase's bytes.
 
 from __future__ import annotations
 
+import zlib
+from itertools import groupby
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -37,15 +42,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.llm._tables import stored
-from panelkit.operators.keys import number_rows
+from panelkit.stages import releasing
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes that end a piece, and bytes between words.
 PIECE_ENDS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: Bytes of text of a shard, and bytes that a task may hold before it makes one.
 SHARD, HELD = 4 << 20, 12 << 20
-#: Rows that a task hands over at once.
-ROWS = 1 << 17
+#: Entries of a bucket, on average and before they are folded.
+BUCKET = 250_000
+#: Bits of the filter of frequent phrases.
+FILTER_BITS = 1 << 25
 
 
 # -- words and shards ----------------------------------------------------
@@ -82,12 +89,19 @@ def words_of(data: np.ndarray, ends: np.ndarray):
     return words.dictionary, np.insert(ids, np.flatnonzero(np.diff(piece)) + 1, 0)
 
 
-def pack(ids: np.ndarray) -> bytes:
-    return pa.compress(ids.astype("<u4").tobytes(), codec="zstd", asbytes=True) if len(ids) else b""
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of numbers below 2^32, byte by byte, compressed."""
+    if not len(columns[0]):
+        return b""
+    planes = [c.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
 
-def unpack(data: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, decompressed_size=size * 4, codec="zstd"), "<u4").view(np.int32) if size else np.zeros(0, np.int32)
+def unpack(data: bytes, size: int, columns: int = 1) -> list[np.ndarray]:
+    if not size:
+        return [np.zeros(0, np.int64)] * columns
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=size * 4 * columns, codec="zstd"), np.uint8).reshape(columns, 4, size)
+    return [np.ascontiguousarray(p.T).view("<u4").ravel().astype(np.int64) for p in planes]
 
 
 def _shards(shard_bytes: int, held_bytes: int):
@@ -215,95 +229,224 @@ class BidirectionalIndex:
         return found, intervals[2]
 
 
-def cut(ids: np.ndarray, frequent: np.ndarray, symbols: int) -> np.ndarray:
-    """The runs of ``ids`` in which every ``k`` neighbours are a row of
-    ``frequent`` (phrases of k words) and that hold k + 1 words at least, with 0
-    between them: just the words in which a longer phrase can be frequent."""
-    k = frequent.shape[1]
-    n = len(ids) - k + 1
-    if n <= 0 or not len(frequent):
-        return np.zeros(0, ids.dtype)
-    state, rows = np.zeros(n, np.int64), np.zeros(len(frequent), np.int64)
-    for i in range(k):
-        known, rows = np.unique(rows * symbols + frequent[:, i], return_inverse=True)
-        key = state * symbols + ids[i:i + n]
-        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-        state = np.where((state >= 0) & (known[at] == key), at, -1)
-    good = np.concatenate([[False], state >= 0, [False]])
-    edges = np.flatnonzero(good[1:] != good[:-1])
+def cut(ids: np.ndarray, good: np.ndarray, k: int) -> np.ndarray:
+    """The runs of ``ids`` in which every ``k`` neighbours are ``good`` (a flag
+    for each first one) and that hold k + 1 words at least, with 0 between them:
+    just the words in which a longer phrase can be frequent."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], good.astype(np.int8), [0]])))
     first, size = edges[::2], edges[1::2] - edges[::2]
     first, size = first[size > 1], size[size > 1] + k - 1
     if not len(first):
         return np.zeros(0, ids.dtype)
     ends = np.cumsum(size + 1)
-    out = np.concatenate([ids, [0]])[np.minimum(np.repeat(first - (ends - size - 1), size + 1) + np.arange(ends[-1]), len(ids))]
+    places = np.repeat(first - (ends - size - 1), size + 1) + np.arange(ends[-1])
+    out = ids[np.minimum(places, len(ids) - 1)]
     out[ends - 1] = 0
     return out[:-1]
 
 
-# -- passes over the shards ----------------------------------------------
+def phrase_hash(columns: list[np.ndarray]) -> np.ndarray:
+    """64-bit hashes of phrases, given as a column of gids for each word."""
+    h = np.full(len(columns[0]), 0x9E3779B97F4A7C15, np.uint64)
+    for c in columns:
+        h = (h ^ c.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+    return h
 
-def _flat(column):
-    return [f.to_numpy(zero_copy_only=False) for f in column.flatten().flatten()]
 
+def narrowed(ids: np.ndarray, gid: np.ndarray, filters: list[np.ndarray]) -> np.ndarray:
+    """``ids`` cut where no phrase of 2, 3, ... words goes on that may be frequent."""
+    for k, bits in enumerate(filters, 2):
+        n = len(ids) - k + 1
+        if n <= 0:
+            return ids[:0]
+        global_ids = np.append(-1, gid)[ids]
+        spot = phrase_hash([global_ids[i:i + n] for i in range(k)]) % np.uint64(FILTER_BITS)
+        good = (bits[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        for i in range(k):
+            good &= ids[i:i + n] > 0
+        ids = cut(ids, good, k)
+    return ids
 
-def _number(batches):
-    """Shards with the numbers of their frequent words instead of all words."""
-    for b in batches:
-        for i in range(b.num_rows):
-            row = b.slice(i, 1)
-            place, gid = _flat(row.column(3))
-            order = np.argsort(gid)
-            gid, local = gid[order], np.zeros(int(place.max()) + 2, np.int64)
-            local[place[order] + 1] = np.arange(1, len(gid) + 1)
-            ids = unpack(row.column(2)[0].as_py(), row.column(1)[0].as_py())
-            ids = np.where(ids < len(local), local[np.minimum(ids, len(local) - 1)], 0)
-            yield _shard_row(row.column(0), gid, cut(ids, np.arange(1, len(gid) + 1)[:, None], len(gid) + 1))
-
-
-def _shard_row(shard, gid, ids):
-    """A shard whose word numbers are ``gid``; those no longer used go."""
-    used = np.unique(ids)
-    used = used[used > 0]
-    local = np.zeros(len(gid) + 1, np.int64)
-    local[used] = np.arange(1, len(used) + 1)
-    gid = gid[used - 1]
-    return pa.RecordBatch.from_arrays([
-        shard, pa.ListArray.from_arrays(pa.array([0, len(gid)], pa.int32()), pa.array(gid, pa.int64())),
-        pa.array([len(ids)], pa.int64()), pa.array([pack(local[ids])], pa.binary())], names=["shard", "gids", "size", "ids"])
-
-
-def _narrow(batches):
-    """Shards cut to the runs of their frequent phrases."""
+
+# -- passes over the shards ----------------------------------------------
+
+def _rows(batches):
     for b in batches:
-        for i in range(b.num_rows):
-            row = b.slice(i, 1)
-            gid = row.column(1).flatten().to_numpy(zero_copy_only=False)
-            ids = unpack(row.column(3)[0].as_py(), row.column(2)[0].as_py())
-            frequent = np.column_stack([np.searchsorted(gid, c) + 1 for c in _flat(row.column(4))])
-            yield _shard_row(row.column(0), gid, cut(ids, frequent, len(gid) + 1))
+        yield from zip(*[c.to_pylist() for c in b.columns])
 
 
-def _enumerate(length: int):
+def _word_runs(buckets: int):
+    """Shards to runs: the words of each bucket with their places and counts."""
     def run(batches):
-        names = ["shard"] + [f"w{i}" for i in range(length)] + ["n"]
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1)
-                size = row.column(2)[0].as_py()
-                if not size:
-                    continue
-                gid = row.column(1).flatten().to_numpy(zero_copy_only=False)
-                phrases, counts = BidirectionalIndex(unpack(row.column(3)[0].as_py(), size), length).phrases(length)
-                shard = row.column(0)[0].as_py()
-                for at in range(0, len(counts), ROWS):
-                    part, n = phrases[at:at + ROWS], counts[at:at + ROWS]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(n), shard), pa.int64())] + [pa.array(gid[part[:, k] - 1], pa.int64()) for k in range(length)]
-                        + [pa.array(n, pa.int64())], names=names)
+                lang, words = row.column(1)[0].as_py(), row.column(2).flatten()
+                counts = row.column(3).flatten().to_numpy(zero_copy_only=False)
+                hashed = pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False) + np.uint64(zlib.crc32(lang.encode()))
+                bucket = (hashed % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                bucket = bucket[order]
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                ends = np.append(first[1:], len(order))
+                texts = words.take(pa.array(order)).to_pylist()
+                n = len(first)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(bucket[first]), pa.array([lang] * n, pa.string()), pa.array([row.column(0)[0].as_py()] * n, pa.int64()),
+                    pa.array(ends - first), pa.array([pa.compress("\n".join(texts[x:y]).encode(), codec="zstd", asbytes=True) for x, y in zip(first, ends)], pa.binary()),
+                    pa.array([sum(len(t.encode()) + 1 for t in texts[x:y]) - 1 for x, y in zip(first, ends)], pa.int64()),
+                    pa.array([pack(order[x:y], counts[order[x:y]]) for x, y in zip(first, ends)], pa.binary())],
+                    names=["bucket", "lang", "shard", "size", "words", "bytes", "numbers"])
     return run
 
 
+def _frequent_words(buckets: int, min_count: int):
+    """Runs sorted by bucket and language: the frequent words with their numbers
+    (shard null), and for each shard the places and numbers of its own."""
+    def run(batches):
+        for bucket, same in groupby(_rows(batches), lambda r: r[0]):
+            made = 0
+            for lang, rows in groupby(same, lambda r: r[1]):
+                rows = list(rows)
+                words = pa.concat_arrays([pa.array(pa.decompress(r[4], decompressed_size=r[5], codec="zstd", asbytes=True).decode().split("\n"), pa.string())
+                                          for r in rows]).dictionary_encode()
+                places, counts = zip(*[unpack(r[6], r[3], 2) for r in rows])
+                which = words.indices.to_numpy(zero_copy_only=False)
+                total = np.zeros(len(words.dictionary), np.int64)
+                np.add.at(total, which, np.concatenate(counts))
+                often = np.flatnonzero(total >= min_count)
+                gid = np.full(len(total), -1, np.int64)
+                gid[often] = (made + np.arange(len(often))) * buckets + bucket
+                made += len(often)
+                if made * buckets >= 2**32:
+                    raise ValueError("more than 2^32 frequent words")
+                m = len(often)
+                yield _told([None] * m, [lang] * m, words.dictionary.take(pa.array(often)).to_pylist(), gid[often].tolist(), total[often].tolist(),
+                            [None] * m, [None] * m)
+                at, out = 0, []
+                for r, place in zip(rows, places):
+                    mine = gid[which[at:at + r[3]]]
+                    at += r[3]
+                    kept = mine >= 0
+                    if kept.any():
+                        out.append((r[2], int(kept.sum()), pack(place[kept], mine[kept])))
+                if out:
+                    n = len(out)
+                    yield _told([x[0] for x in out], [lang] * n, [None] * n, [None] * n, [None] * n, [x[1] for x in out], [x[2] for x in out])
+    return run
+
+
+def _told(*columns):
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                      names=["shard", "lang", "word", "gid", "f", "size", "numbers"])
+
+
+def _number(batches):
+    """Shards with the numbers of their frequent words instead of all words."""
+    for shard, size, ids, kept in _rows(batches):
+        place, gid = (np.concatenate(c) for c in zip(*[unpack(k["numbers"], k["size"], 2) for k in kept]))
+        order = np.argsort(gid)
+        gid, local = gid[order], np.zeros(int(place.max()) + 2, np.int32)
+        local[place[order] + 1] = np.arange(1, len(gid) + 1)
+        ids, = unpack(ids, size)
+        ids = np.where(ids < len(local), local[np.minimum(ids, len(local) - 1)], 0)
+        ids = cut(ids, ids > 0, 1)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([shard], pa.int64()), pa.array([len(gid)], pa.int64()), pa.array([pack(gid)], pa.binary()),
+            pa.array([len(ids)], pa.int64()), pa.array([pack(ids)], pa.binary())], names=["shard", "n_gids", "gids", "size", "ids"])
+
+
+def _phrase_runs(length: int, buckets: int, filters: list[bytes]):
+    """Shards to sorted runs of their phrases of ``length`` words and counts."""
+    def run(batches):
+        bits = [np.frombuffer(zlib.decompress(f), np.uint8) for f in filters]
+        for _, n_gids, gids, size, ids in _rows(batches):
+            gid, = unpack(gids, n_gids)
+            left = narrowed(unpack(ids, size)[0], gid, bits)
+            if not len(left):
+                continue
+            phrases, counts = BidirectionalIndex(left, length).phrases(length)
+            words = [gid[phrases[:, k] - 1] for k in range(length)]
+            bucket = (phrase_hash(words) >> np.uint64(20)) % np.uint64(buckets)
+            order = np.lexsort([*words[::-1], bucket])
+            bucket = bucket[order].astype(np.int64)
+            columns = [c[order] for c in [*words, counts]]
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            ends = np.append(first[1:], len(order))
+            blobs = []
+            for x, y in zip(first, ends):
+                part = [c[x:y] for c in columns]
+                part[0] = np.diff(part[0], prepend=0)  # sorted: small steps
+                blobs.append(pack(*part))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(ends - first), pa.array(blobs, pa.binary())],
+                                             names=["bucket", "size", "run"])
+    return run
+
+
+def _folded(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Entries (words, count) with those of one phrase folded, in order."""
+    order = np.lexsort(columns[-2::-1])
+    columns = [c[order] for c in columns]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns[:-1]:
+        new[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(new)
+    return [c[first] for c in columns[:-1]] + [np.add.reduceat(columns[-1], first) if len(first) else columns[-1]]
+
+
+def _frequent_phrases(length: int, min_count: int):
+    """Runs sorted by bucket: the phrases whose counts over all shards suffice."""
+    def run(batches):
+        for _, rows in groupby(_rows(batches), lambda r: r[0]):
+            folded, fresh, waiting = None, [], 0
+            for _, size, blob in rows:
+                part = unpack(blob, size, length + 1)
+                part[0] = np.cumsum(part[0])
+                fresh.append(part)
+                waiting += size
+                if waiting > max(BUCKET, len(folded[0]) if folded else 0):
+                    folded, fresh, waiting = _folded([np.concatenate(c) for c in zip(*([folded] if folded else []), *fresh)]), [], 0
+            if fresh:
+                folded = _folded([np.concatenate(c) for c in zip(*([folded] if folded else []), *fresh)])
+            keep = folded[-1] >= min_count
+            words = np.column_stack([c[keep] for c in folded[:-1]]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.ListArray.from_arrays(pa.array(np.arange(0, words.size + 1, length), pa.int32()), pa.array(words.ravel())),
+                pa.array(folded[-1][keep], pa.int64())], names=["w", "f"])
+    return run
+
+
+def _filter_pages(length: int):
+    """The filter's bits of phrases, as pages of 4 KB."""
+    def run(batches):
+        bits = np.zeros(FILTER_BITS, bool)
+        for b in batches:
+            words = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, length)
+            bits[(phrase_hash(list(words.T)) % np.uint64(FILTER_BITS)).astype(np.int64)] = True
+        pages = np.packbits(bits, bitorder="little").reshape(-1, 4096)
+        used = np.flatnonzero(pages.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array([pages[p].tobytes() for p in used], pa.binary())], names=["page", "bits"])
+    return run
+
+
+def _or_pages(pages: pd.DataFrame) -> pd.DataFrame:
+    bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in pages["bits"]])
+    return pd.DataFrame({"page": [pages["page"].iloc[0]], "bits": [bits.tobytes()]})
+
+
+def phrase_filter(phrases: DataFrame, length: int) -> bytes:
+    """A filter of ``FILTER_BITS`` bits of all ``phrases``, compressed."""
+    pages = (phrases.select("w").mapInArrow(_filter_pages(length), "page long, bits binary")
+             .groupBy("page").applyInPandas(_or_pages, "page long, bits binary").collect())  # FILTER_BITS at most
+    out = np.zeros((FILTER_BITS // 8 // 4096, 4096), np.uint8)
+    for p in pages:
+        out[p.page] = np.frombuffer(p.bits, np.uint8)
+    return zlib.compress(out.tobytes(), 1)
+
+
 def frequent_phrases(docs: DataFrame, longest: int = 4, min_count: int = 30, lang_col: str = "lang", text_col: str = "text",
                      shard_bytes: int = SHARD):
     """(sizes, words, phrases): words per language; ``gid``, ``lang``, ``word``,
@@ -311,30 +454,35 @@ def frequent_phrases(docs: DataFrame, longest: int = 4, min_count: int = 30, lan
     phrases of 1 to ``longest`` words."""
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER).alias("text"))
-    shards = stored(texts.mapInArrow(_shards(shard_bytes, max(HELD, shard_bytes)),
-                                     "shard long, lang string, n long, words array<string>, counts array<long>, size long, ids binary"), "shards")
-    sizes = shards.groupBy("lang").agg(F.sum("n").alias("n"))
-    known = (shards.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-             .groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f")).where(F.col("f") >= min_count))
-    words = stored(number_rows(known, [F.col("lang"), F.col("word")], name="gid"), "phrase-words")
-    mine = (shards.select("shard", "lang", F.posexplode("words").alias("place", "word")).join(words, ["lang", "word"])
-            .groupBy("shard").agg(F.collect_list(F.struct("place", "gid")).alias("kept")))
-    shards = stored(shards.select("shard", "size", "ids").join(mine, "shard").select("shard", "size", "ids", "kept")
-                    .mapInArrow(_number, "shard long, gids array<long>, size long, ids binary"), "shards")
-    phrases = [words.select(F.array("gid").alias("w"), "f")]
-    for length in range(2, longest + 1):
-        columns = [f"w{i}" for i in range(length)]
-        found = shards.mapInArrow(_enumerate(length), ", ".join(f"{c} long" for c in ["shard", *columns, "n"]))
-        frequent = stored(found.groupBy(*columns).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count), "phrases")
-        phrases.append(frequent.select(F.array(*columns).alias("w"), "f"))
-        if length < longest:
-            mine = (found.join(frequent, columns).groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias("kept")))
-            shards = stored(shards.join(mine, "shard").select("shard", "gids", "size", "ids", "kept")
-                            .mapInArrow(_narrow, "shard long, gids array<long>, size long, ids binary"), "shards")
-    out = phrases[0]
-    for p in phrases[1:]:
-        out = out.unionByName(p)
-    return sizes, words, out
+    with releasing(docs.sparkSession) as step:
+        shards = stored(texts.mapInArrow(_shards(shard_bytes, max(HELD, shard_bytes)),
+                                         "shard long, lang string, n long, words array<string>, counts array<long>, size long, ids binary"), "shards")
+        sizes = stored(shards.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-sizes")
+        entries, total = shards.agg(F.sum(F.size("words")), F.sum("n")).first()
+        buckets = 1 + (entries or 0) // BUCKET
+        runs = (shards.select("shard", "lang", "words", "counts").mapInArrow(
+            _word_runs(buckets), "bucket long, lang string, shard long, size long, words binary, bytes long, numbers binary")
+            .repartition("bucket").sortWithinPartitions("bucket", "lang"))
+        told = stored(runs.mapInArrow(_frequent_words(buckets, min_count),
+                                      "shard long, lang string, word string, gid long, f long, size long, numbers binary"), "phrase-words")
+        words = told.where("shard IS NULL").select("gid", "lang", "word", "f")
+        mine = told.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("size", "numbers")).alias("kept"))
+        shards = stored(shards.select("shard", "size", "ids").join(mine, "shard")
+                        .mapInArrow(_number, "shard long, n_gids long, gids binary, size long, ids binary"), "shards")
+        step.release(sizes, told, shards)
+        phrases, filters, found = [words.select(F.array("gid").alias("w"), "f")], [], None
+        buckets = 1 + (total or 0) // BUCKET
+        for length in range(2, longest + 1):
+            if found is not None:
+                filters.append(phrase_filter(found, length - 1))
+            runs = (shards.mapInArrow(_phrase_runs(length, buckets, list(filters)), "bucket long, size long, run binary")
+                    .repartition("bucket").sortWithinPartitions("bucket"))
+            found = stored(runs.mapInArrow(_frequent_phrases(length, min_count), "w array<long>, f long"), "phrases")
+            phrases.append(found)
+        out = phrases[0]
+        for p in phrases[1:]:
+            out = out.unionByName(p)
+        return step.keep(sizes), step.keep(words), step.keep(out)
 
 
 def collocations(docs: DataFrame, top: int = 2000, longest: int = 4, min_count: int = 30, lang_col: str = "lang",

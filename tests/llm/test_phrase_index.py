@@ -88,16 +88,41 @@ def test_both_intervals_stay_in_step():
             assert all(r[:step] == tuple(p[::-1]) for r in backward[b:b + n])
 
 
-def test_cut_keeps_what_longer_phrases_need():
+@pytest.mark.parametrize("stray", [False, True])
+def test_cut_keeps_what_longer_phrases_need(stray):
+    """Also where the filter lets other phrases through."""
     rng = np.random.default_rng(3)
     ids = rng.integers(0, 9, 5_000)
-    pieces = [[int(w) for w in p.split()] for p in " ".join(map(str, ids)).split("0")]
-    for k in (1, 2, 3):
+    gid = np.arange(1, 9) * 7
+    plain = lambda seq: [[int(w) for w in p.split()] for p in " ".join(map(str, seq)).split("0")]
+    pieces, filters, left = plain(ids), [], ids
+    for k in (2, 3):
         often = [p for p, n in grams(pieces, k).items() if n >= 9]
-        left = px.cut(ids, np.array(often), 10)
-        rest = [[int(w) for w in p.split()] for p in " ".join(map(str, left)).split("0")]
-        want = {p: n for p, n in grams(pieces, k + 1).items() if all(p[i:i + k] in set(often) for i in range(2))}
-        assert dict(grams(rest, k + 1)) == want and len(left) <= 2 * len(ids)
+        bits = np.zeros(px.FILTER_BITS, bool)
+        bits[(px.phrase_hash([gid[np.array(often)[:, i] - 1] for i in range(k)]) % np.uint64(px.FILTER_BITS)).astype(np.int64)] = True
+        if stray:
+            bits[::2] = True
+        filters.append(np.packbits(bits, bitorder="little"))
+        left = px.narrowed(ids, gid, filters)
+        got, want = grams(plain(left), k + 1), grams(pieces, k + 1)
+        sure = {p for p in want if all(p[i:i + k] in set(often) for i in range(2))}
+        if k == 2:
+            assert {p: got[p] for p in sure} == {p: want[p] for p in sure}
+            assert stray or set(got) == sure
+        frequent = {p: n for p, n in want.items() if n >= 9}
+        assert {p: got[p] for p in frequent} == frequent
+
+
+def test_runs_are_packed_and_folded_whole():
+    rng = np.random.default_rng(5)
+    columns = [rng.integers(0, 5, 900) * 10**8, rng.integers(0, 4, 900), rng.integers(1, 9, 900)]
+    back = px.unpack(px.pack(*columns), 900, 3)
+    assert all((a == b).all() for a, b in zip(back, columns))
+    *words, n = px._folded(back)
+    want = Counter()
+    for a, b, k in zip(*columns):
+        want[a, b] += k
+    assert {(a, b): k for a, b, k in zip(*words, n)} == want and len(n) == len(want)
 
 
 @pytest.mark.parametrize("shard_bytes", [px.SHARD, 2_000])
@@ -108,6 +133,13 @@ def test_collocations_equal_plain_counting(spark, make_docs, shard_bytes):
     assert {"und", "de", "en"} <= {r["lang"] for r in got}
 
 
+def test_many_buckets_give_the_same(spark, make_docs, monkeypatch):
+    rows = corpus(6)
+    monkeypatch.setattr(px, "BUCKET", 40)
+    got = px.collocations(make_docs(rows), shard_bytes=3_000).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows))
+
+
 def test_top_and_empty_tables(spark, make_docs):
     rows = corpus(5)
     got = px.collocations(make_docs(rows), top=3, min_count=5).collect()
