@@ -185,10 +185,32 @@ def _decoding(codec: Codec):
     return lambda b: {"id": b.column(0), "ids": b.column(1), "decoded": pa.array([_decoded(codec, i.as_py()) for i in b.column(1)], pa.string())}
 
 
+def unsupported(spec: dict) -> list[str]:
+    """What a vocabulary file asks for that is not done here."""
+    model, first = spec["model"], spec.get("pre_tokenizer") or {}
+    found = [f"{k} of the model" for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback",
+                                           "ignore_merges") if model.get(k)]
+    if model.get("type", "BPE") != "BPE":
+        found.append(f"model {model['type']}")
+    if spec.get("normalizer"):
+        found.append("a normalizer")
+    if first.get("type") != "ByteLevel" or first.get("add_prefix_space") or not first.get("use_regex", True):
+        found.append("a pre-tokenizer other than byte level with its pattern and no prefix space")
+    if (spec.get("decoder") or {}).get("type") != "ByteLevel":
+        found.append("a decoder other than byte level")
+    if any(a.get(k) for a in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        found.append("added tokens with conditions")
+    return found
+
+
 def read_vocabulary(path: str) -> bytes:
-    """A byte-level BPE file of the tokenizers library, packed for shipping (under 1 MB)."""
+    """A byte-level BPE file of the tokenizers library, packed for shipping
+    (under 1 MB). Files that ask for anything else are refused."""
     with open(path, encoding="utf-8") as f:
-        return zlib.compress(f.read().encode(), 6)
+        text = f.read()
+    if found := unsupported(json.loads(text)):
+        raise ValueError(f"vocabulary not supported: {', '.join(found)}")
+    return zlib.compress(text.encode(), 6)
 
 
 def _ids_and_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -81,6 +81,21 @@ def test_bpe_query_is_the_library(spark, sf, documents):
         assert got[i].decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_other_vocabularies_are_refused(tmp_path):
+    import json
+
+    import pytest
+    with pytest.raises(ValueError, match="normalizer"):
+        forced_bpe.read_vocabulary(vocabulary_path("word_bpe_49k.json"))
+    with open(vocabulary_path()) as f:
+        spec = json.load(f)
+    assert forced_bpe.unsupported(spec) == []
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "v.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="prefix space"):
+        forced_bpe.read_vocabulary(str(tmp_path / "v.json"))
+
+
 def test_forced_cuts_never_split_a_token():
     codec = forced_bpe.Codec(forced_bpe.read_vocabulary(vocabulary_path()))
     assert not codec.joined.all()

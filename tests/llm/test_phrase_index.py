@@ -10,7 +10,7 @@ from panelkit.llm import phrase_index as px
 
 def plain_pieces(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    return [p.split() if False else [w for w in re.split("[ \t]+", p) if w] for p in re.split("[.,;:!?\n\x0b\x0c\r]", low)]
+    return [[w for w in re.split("[ \t]+", p) if w] for p in re.split("[.,;:!?\n\x0b\x0c\r]", low)]
 
 
 def grams(pieces, length):
