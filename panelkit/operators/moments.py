@@ -3,16 +3,22 @@
 The moments of a class are the sums of the products of a row's entries, its
 label and a constant. They are sparse (only pairs that occur together), are
 summed in the tasks batch by batch, merge by addition, and meet in one grouped
-aggregation; a class is then solved from its own sums alone."""
+aggregation; a class is then solved from its own sums alone. What runs in the
+tasks is pickled by value, so executors need no copy of this package."""
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Places of the constant and of the label among the entries of a row.
 CONSTANT, LABEL = -2, -1
 #: Products that a task forms at once.
