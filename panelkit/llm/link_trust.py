@@ -19,8 +19,8 @@ stops there). The change is measured relative to each host's own rank and over
 the rounds since the last look, so a host far from every seed, whose rank is
 small or not there yet, counts like any other, and ranks that swing between
 even and odd rounds don't pass for settled. Each round is one join and one
-aggregation over distinct hosts and edges; ranks go through the shared folder
-every few rounds. The rule list is part of the query's code and short.
+aggregation over distinct hosts and edges, in a task for every ``PIECE`` edges;
+ranks go through the shared folder every few rounds, and those before them go. The rule list is part of the query's code and short.
 
 Null urls, and those without ``://``, have empty host and path, no rule and
 are allowed. Null html has no links. Rows are judged one by one, so repeated
@@ -33,11 +33,14 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelkit.llm._tables import stored
+from panelkit.stages import releasing
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed values of the contract: verdict, host, path.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+#: Edges that a task of a round may hold.
+PIECE = 250_000
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'\s<>]+)"""
 
 
@@ -78,29 +81,33 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, dam
     against them, from ``seeds`` (kind, host, mass). What reaches a host
     without outgoing edges stays there for that round. Without ``rounds``, on
     until no host's rank changes by more than its share ``tolerance`` any more."""
-    both = (edges.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), "dst", "weight")
-            .unionByName(edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("dst"), "weight")))
-    out = both.groupBy("kind", "host").agg(F.sum("weight").alias("total"))
-    both = stored(both.join(out, ["kind", "host"]).select("kind", "host", "dst", (F.col("weight") / F.col("total")).alias("share")), "trust-edges")
-    home = seeds.select("kind", "host", F.col("mass").cast("double").alias("rank"))
-    ranks, none, done = home, F.lit(0.0).alias("before"), 0
-    while rounds is None or done < rounds:
-        block = store_every if rounds is None else min(store_every, rounds - done)
-        start = ranks.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("before"))
-        for r in range(block):
-            moved = (both.join(ranks, ["kind", "host"])
-                     .select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"), none))
-            parts = moved.unionByName(home.select("kind", "host", (F.col("rank") * (1 - damping)).alias("rank"), none))
-            if r == block - 1:
-                parts = parts.unionByName(start)
-            ranks = parts.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before"))
-        seen = Observation()
-        unsettled = F.count_if(F.abs(F.col("rank") - F.col("before")) > F.col("rank") * tolerance).alias("unsettled")
-        ranks = stored(ranks.observe(seen, unsettled), "trust-ranks")
-        done += block
-        if rounds is None and not seen.get["unsettled"]:
-            break
-    return ranks.select("kind", "host", "rank")
+    with releasing(edges.sparkSession) as step:
+        both = (edges.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), "dst", "weight")
+                .unionByName(edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("dst"), "weight")))
+        out = both.groupBy("kind", "host").agg(F.sum("weight").alias("total"))
+        both = stored(both.join(out, ["kind", "host"]).select("kind", "host", "dst", (F.col("weight") / F.col("total")).alias("share")), "trust-edges")
+        pieces = 1 + both.count() // PIECE  # a small graph in a few tasks a round, whatever the session's shuffles have
+        both = stored(both.coalesce(pieces), "trust-edges")
+        home = stored(seeds.select("kind", "host", F.col("mass").cast("double").alias("rank")).coalesce(pieces), "trust-home")
+        ranks, none, done = home, F.lit(0.0).alias("before"), 0
+        while rounds is None or done < rounds:
+            block = store_every if rounds is None else min(store_every, rounds - done)
+            start = ranks.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("before"))
+            for r in range(block):
+                moved = (both.join(ranks, ["kind", "host"])
+                         .select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"), none))
+                parts = moved.unionByName(home.select("kind", "host", (F.col("rank") * (1 - damping)).alias("rank"), none))
+                if r == block - 1:
+                    parts = parts.unionByName(start)
+                ranks = parts.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before")).coalesce(pieces)
+            seen = Observation()
+            unsettled = F.count_if(F.abs(F.col("rank") - F.col("before")) > F.col("rank") * tolerance).alias("unsettled")
+            ranks = stored(ranks.observe(seen, unsettled), "trust-ranks")
+            step.release(both, home, ranks)  # the ranks before these have no reader any more
+            done += block
+            if rounds is None and not seen.get["unsettled"]:
+                break
+        return step.keep(ranks.select("kind", "host", "rank"))
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES,

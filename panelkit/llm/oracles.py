@@ -64,22 +64,18 @@ SELECT doc_id, size, source_size, target,
 """
 
 
-def _op6(rounds: int = 6, damping: float = 0.85) -> str:
-    """Rules, host edges, and the rounds of propagation written out one by one."""
+def _op6(steps: int = 200, damping: float = 0.85) -> str:
+    """Rules, host edges, and the settled ranks as the sum over all walks from
+    the seeds: what is left after ``steps`` steps (1e-14 of the mass) is beyond
+    what the query's rounds still change."""
     case = []
     for verdict, host, path in sorted(RULES, key=lambda r: -len(r[1]) - len(r[2])):
         case.append((f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')", host + path, verdict))
     rule = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in case) + " END"
     said = "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, _, v in case) + " END"
     link = LINK.replace("'", "''")
-    steps, last = [], "home"
-    for r in range(rounds):
-        steps.append(f"""r{r} AS (SELECT kind, host, sum(rank) AS rank FROM (
-          SELECT e.kind, e.dst AS host, r.rank * e.share * {damping}::DOUBLE AS rank FROM {last} r JOIN shares e ON e.kind = r.kind AND e.host = r.host
-          UNION ALL SELECT kind, host, rank * (1 - {damping}::DOUBLE) FROM home) GROUP BY kind, host)""")
-        last = f"r{r}"
     return f"""
-WITH u AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE u AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, html, {lowered("regexp_extract(rest, '^[^/?#]*')")} AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
 j AS (SELECT page_id, html, host, path, {rule} AS rule, {said} AS said FROM p),
 links AS (SELECT host AS src, {lowered('dst')} AS dst, 1.0::DOUBLE AS weight
@@ -91,10 +87,12 @@ edges AS (SELECT src, dst, sum(weight) AS weight FROM (SELECT * FROM links UNION
           UNION ALL SELECT dst, src, 1.0::DOUBLE FROM up) WHERE src <> dst AND dst <> '' GROUP BY src, dst),
 both_ways AS (SELECT 'trust' AS kind, src AS host, dst, weight FROM edges UNION ALL SELECT 'distrust', dst, src, weight FROM edges),
 shares AS (SELECT kind, host, dst, weight / sum(weight) OVER (PARTITION BY kind, host) AS share FROM both_ways),
-home AS (SELECT CASE said WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*)::DOUBLE AS rank FROM j WHERE said IS NOT NULL GROUP BY 1, 2),
-{", ".join(steps)},
+home AS (SELECT CASE said WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) * (1 - {damping}::DOUBLE) AS rank FROM j WHERE said IS NOT NULL GROUP BY 1, 2),
+walks AS (SELECT 0 AS i, kind, host, rank FROM home
+          UNION ALL SELECT w.i + 1, e.kind, e.dst, sum(w.rank * e.share * {damping}::DOUBLE) FROM walks w JOIN shares e ON e.kind = w.kind AND e.host = w.host
+          WHERE w.i < {steps} GROUP BY w.i, e.kind, e.dst),
 standing AS (SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0) AS trust, coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0) AS distrust
-             FROM {last} GROUP BY host)
+             FROM walks GROUP BY host)
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN distrust > trust * (1 + 1e-9) THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN standing USING (host)
 """
