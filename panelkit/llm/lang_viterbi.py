@@ -11,10 +11,11 @@ all letters (0 to 1). The score says nothing of how well the language fits, as
 some learned language is always the best; ``fit`` does, and ``drop_rejected``
 compares it with the fit of labelled texts.
 
-Training reads a bounded sample: about ``per_lang`` documents of each language,
-those whose hash of the id is below the language's share, and ``max_docs`` in
-all (parameters). Everything else reads every word of every text. The model is
-a matrix of 65,536 buckets by languages.
+Training reads every word of every labelled text, and the usual fits are those
+of all labelled texts; nothing is sampled. Words are counted in tables of bounded
+size in the tasks, then by an aggregation. The model is a matrix of 65,536
+buckets by languages, all that reaches the driver and every task; beside it a
+few rows of each language come back for its usual fit.
 
 Null texts and texts without a letter are ``und`` with score 0, as is
 everything when nothing could be learned. Words whose scripts no learned
@@ -30,10 +31,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.llm._memory import lean
+from panelkit.llm._tables import stored
+
 BUCKETS = 1 << 16
 LONGEST_GRAM = 4
 #: A language writes a script if at least this share of its training letters is in it.
@@ -43,6 +47,12 @@ BLOCK_WORDS = 1_000_000
 #: Words that a task remembers, and how many are scored together.
 KNOWN = 400_000
 SCORED_AT_ONCE = 50_000
+#: Rows that a task holds as Python objects at once.
+SLICE = 1_000
+#: Words of all languages that a task counts before it hands the counts on.
+COUNTED = 100_000
+#: Bins of a unit of fit: the ranks of a quantile are first placed in bins, then read inside them.
+FIT_BINS = 4_096
 UNDETERMINED = "und"
 
 #: First and last code points of scripts; other letters are "other".
@@ -101,20 +111,20 @@ class Letters:
 
 
 def _word_counts(batches):
-    counts = Counter()
+    counts = defaultdict(Counter)
 
     def rows():
-        keys = list(counts)
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                                           pa.array([counts[k] for k in keys], pa.int64())], names=["lang", "word", "n"])
+        langs, words, n = ([x for lang, c in counts.items() for x in column(lang, c)]
+                           for column in (lambda lang, c: [lang] * len(c), lambda lang, c: c.keys(), lambda lang, c: c.values()))
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())],
+                                          names=["lang", "word", "n"])
     for b in batches:
-        for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            for w, n in Counter(WORD.findall(text.lower())).items():
-                counts[lang, w] += n
-        if len(counts) > KNOWN:
-            yield rows()
-            counts.clear()
-    if counts:
+        for text, lang in zip(b.column(0), b.column(1).to_pylist()):
+            counts[lang].update(WORD.findall(text.as_py().lower()))
+            if sum(map(len, counts.values())) > COUNTED:
+                yield rows()
+                counts.clear()
+    if any(counts.values()):
         yield rows()
 
 
@@ -169,33 +179,22 @@ class Model:
         return score, letters, known, best, grams
 
 
-def _sampled(rows: DataFrame, per_lang: int, max_docs: int) -> DataFrame:
-    """About ``per_lang`` rows (id, text, lang) without nulls of each language, ``max_docs`` ids in all."""
-    rows = rows.dropna()
-    share = rows.groupBy("lang").agg((F.lit(float(per_lang)) / F.count("*")).alias("share"))
-    place = (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) + 1) / float(1 << 40)
-    chosen = (rows.select("id", "lang").join(share, "lang").where(place <= F.col("share"))
-              .orderBy(place / F.col("share"), "id").limit(max_docs).select("id"))
-    # at most max_docs ids: a proven bound
-    return rows.join(F.broadcast(chosen), "id", "left_semi")
-
-
 def learn(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_lang: int = 4_000, max_docs: int = 16_000, smoothing: float = 0.5) -> Model:
-    """Fit on the rows where ``learnable`` holds and id, text and language are known."""
-    sample = _sampled(docs.where(learnable).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                                                   F.col(lang_col).cast("string").alias("lang")), per_lang, max_docs).select("text", "lang")
-    words = (sample.mapInArrow(_word_counts, "lang string, word string, n long")
+          smoothing: float = 0.5) -> Model:
+    """Fit on all rows where ``learnable`` holds and id, text and language are known."""
+    rows = docs.where(learnable).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
+                                        F.col(lang_col).cast("string").alias("lang")).dropna().select("text", "lang")
+    words = (rows.mapInArrow(lean(_word_counts), "lang string, word string, n long")
              .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    found = (words.mapInArrow(_feature_counts, "lang string, feature long, n long")
-             .groupBy("lang", "feature").agg(F.sum("n").alias("n")).collect())  # buckets x languages at most
-    langs = sorted({r.lang for r in found})
+    found = (words.mapInArrow(lean(_feature_counts), "lang string, feature long, n long")
+             .groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow())  # buckets x languages at most
+    langs = sorted(set(found["lang"].to_pylist()))
     counts, scripts = np.full((BUCKETS, len(langs)), smoothing), np.zeros((len(SCRIPTS) + 1, len(langs)))
-    for r in found:
-        if r.feature < BUCKETS:
-            counts[r.feature, langs.index(r.lang)] += r.n
-        else:
-            scripts[r.feature - BUCKETS, langs.index(r.lang)] += r.n
+    at = np.searchsorted(np.array(langs, object), np.array(found["lang"].to_pylist(), object))
+    feature, n = found["feature"].to_numpy(), found["n"].to_numpy()
+    gram = feature < BUCKETS
+    counts[feature[gram], at[gram]] += n[gram]
+    scripts[feature[~gram] - BUCKETS, at[~gram]] += n[~gram]
     return Model(langs, np.log(counts / counts.sum(0)).astype(np.float32), scripts > SCRIPT_SHARE * scripts.sum(0))
 
 
@@ -256,7 +255,9 @@ class _Words(dict):
         return self.scored[0]
 
 
-def _labeller(model: Model, penalty: float):
+def _labeller(model: Model, penalty: float, text_at: int | None):
+    """Of the columns id, text and others; with ``text_at`` of id and a struct
+    whose field of that place is the text."""
     langs = model.langs
 
     def blocks(texts: list[str], words: _Words):
@@ -273,11 +274,12 @@ def _labeller(model: Model, penalty: float):
 
     def label(batches):
         words = _Words(model)
-        for b in batches:
+        for b in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             if len(words) > KNOWN:
                 words = _Words(model)
+            texts, rest = (b.column(1), 2) if text_at is None else (b.column(1).field(text_at), 1)
             preds, shares, spans, fits, spreads, fitted = [], [], [], [], [], []
-            for block in blocks(b.column(1).to_pylist(), words):
+            for block in blocks(texts.to_pylist(), words):
                 scores, letters, known, best, grams = words.tables()
                 paths = viterbi(block, scores, penalty) if langs else [None] * len(block)
                 for ids, path in zip(block, paths):
@@ -307,8 +309,8 @@ def _labeller(model: Model, penalty: float):
                 [b.column(0), pa.array(preds, pa.string()), pa.array(shares, pa.float64()),
                  pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("lang", pa.string())]))),
                  pa.array(fits, pa.float64()), pa.array(spreads, pa.float64()), pa.array(fitted, pa.int64()),
-                 *[b.column(i) for i in range(2, b.num_columns)]],
-                names=["id", "lang_pred", "score", "spans", "fit", "spread", "n_fitted", *b.schema.names[2:]])
+                 *[b.column(i) for i in range(rest, b.num_columns)]],
+                names=["id", "lang_pred", "score", "spans", "fit", "spread", "n_fitted", *b.schema.names[rest:]])
     return label
 
 
@@ -319,17 +321,22 @@ def label_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     n-gram, each word's in the language of its span, ``spread``, the variance
     of that between words, and ``n_fitted``, the words of learned scripts;
     with ``payload`` the row as struct ``row``."""
-    cols = [F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")]
+    # a text that the row holds as it is travels once
+    text_at = docs.columns.index(text_col) if payload and docs.schema[text_col].dataType == T.StringType() else None
+    cols = [F.col(id_col).alias("id")]
+    if text_at is None:
+        cols.append(F.col(text_col).cast("string").alias("text"))
     if payload:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     src = docs.select(*cols)
+    others = [f for f in src.schema.fields[1:] if f.name != "text"]
     span = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType()),
                          T.StructField("lang", T.StringType())])
     schema = T.StructType([src.schema.fields[0], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span)),
                            T.StructField("fit", T.DoubleType()), T.StructField("spread", T.DoubleType()), T.StructField("n_fitted", T.LongType()),
-                           *src.schema.fields[2:]])
-    return src.mapInArrow(_labeller(model, penalty), schema)
+                           *others])
+    return src.mapInArrow(lean(_labeller(model, penalty, text_at)), schema)
 
 
 def held_out(id_col: str = "doc_id", modulus: int = 5, remainder: int = 0) -> Column:
@@ -337,36 +344,64 @@ def held_out(id_col: str = "doc_id", modulus: int = 5, remainder: int = 0) -> Co
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus == remainder, F.lit(False))
 
 
-def usual_fit(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-              per_lang: int = 1_000, max_docs: int = 4_000, least: int = 5) -> dict[str, tuple[float, float, float]]:
-    """By language: median fit of labelled texts, variance between texts (from
-    the lowest twentieth, so a few wrong labels don't matter) and between the
-    words of a text. Texts the model has not seen, if there are ``least``."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+def _quantiles(rows: DataFrame, keys: list[str], value: str, shares: tuple[float, ...]) -> dict[tuple, list[float]]:
+    """By group the exact quantiles of ``value``, interpolated between ranks as
+    ``percentile`` does. The groups' ranks are found among counts of bins, and
+    only the bins that hold a wanted rank are put in order, so no task holds or
+    sorts a whole group."""
+    rows = rows.select(*keys, F.col(value).alias("v"), F.floor(F.col(value) * FIT_BINS).alias("bin"))
+    group = Window.partitionBy(*keys)
+    bins = (rows.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
+            .withColumn("before", F.sum("n").over(group.orderBy("bin")) - F.col("n")).withColumn("size", F.sum("n").over(group)))
+    places = [f((F.col("size") - 1) * F.lit(p)) for p in shares for f in (F.floor, F.ceil)]
+    ranks = (bins.withColumn("rank", F.explode(F.array_distinct(F.array(*places))))
+             .where("rank >= before AND rank < before + n").select(*keys, "bin", "before", "size", "rank"))
+    inside = rows.join(F.broadcast(ranks.select(*keys, "bin", "before").distinct()), [*keys, "bin"])  # two bins a share and group at most
+    order = Window.partitionBy(*keys, "bin").orderBy("v")
+    counted = inside.groupBy(*keys, "bin", "before", "v").agg(F.count("*").alias("n")).withColumn("last", F.col("before") + F.sum("n").over(order) - 1)
+    found = (counted.drop("before").join(ranks, [*keys, "bin"]).where("rank <= last AND rank > last - n")
+             .select(*keys, "size", "rank", "v").collect())  # two rows a share and group at most
+    at = defaultdict(dict)
+    for r in found:
+        at[tuple(r[k] for k in keys), r["size"]][r["rank"]] = r["v"]
+    out = {}
+    for (key, size), v in at.items():
+        out[key] = []
+        for p in shares:
+            place = (size - 1) * p
+            low, high = int(np.floor(place)), int(np.ceil(place))
+            out[key].append(v[low] if v[low] == v[high] else (high - place) * v[low] + (place - low) * v[high])
+    return out
+
+
+def usual_fit(labelled: DataFrame, lang: Column, least: int = 5) -> dict[str, tuple[float, float, float]]:
+    """By language, from all labelled texts that were given their own language:
+    median fit, variance between texts (from the lowest twentieth, so a few
+    wrong labels don't matter) and between the words of a text. Texts the model
+    has not seen, if there are ``least``. ``labelled`` is a result of
+    :func:`label_languages`, ``lang`` the rows' label."""
+    own = (labelled.select(held_out("id").alias("held"), lang.cast("string").alias("lang"), "lang_pred", "fit", "spread", "id").dropna()
+           .where("lang = lang_pred").select("lang", "held", "fit", "spread"))
+    words = {(r.lang, r.held): r for r in own.groupBy("lang", "held").agg(F.avg("spread").alias("words"), F.count("*").alias("n")).collect()}
     parts = {}
-    for held in (False, True):  # the later ones replace the earlier
-        sample = _sampled(rows.where(held_out("id") == held), per_lang, max_docs)
-        truth = sample.select("id", "lang").distinct()
-        found = (label_languages(sample, model, "id", "text").select("id", "lang_pred", "fit", "spread").dropna()
-                 .join(truth, "id").where("lang = lang_pred").groupBy("lang")
-                 .agg(F.median("fit").alias("mid"), F.percentile("fit", 0.05).alias("low"), F.avg("spread").alias("words"), F.count("*").alias("n")))
-        for r in found.collect():  # a row per language
-            if r.lang not in parts or r.n >= least:
-                parts[r.lang] = (r.mid, ((r.mid - r.low) / 1.645) ** 2, r.words)
+    for (lang, held), (low, mid) in sorted(_quantiles(own, ["lang", "held"], "fit", (0.05, 0.5)).items()):  # the later ones replace the earlier
+        r = words[lang, held]
+        if lang not in parts or r.n >= least:
+            parts[lang] = (mid, ((mid - low) / 1.645) ** 2, r.words)
     return parts
 
 
 def drop_rejected(docs: DataFrame, wanted: list[str] | None = None, min_score: float = 0.2, max_deviations: float = 10.0,
-                  **columns) -> DataFrame:
+                  lang_col: str = "lang", **columns) -> DataFrame:
     """The rows of ``docs``, whole, whose language is determined (and
     ``wanted``, if given), holds at least ``min_score`` of the letters and fits:
     the text's fit is at most ``max_deviations`` standard deviations, for its
     number of words, below what is usual in that language. Texts in a language
-    never learned and random letters go by the last condition."""
-    model = learn(docs, ~held_out(columns.get("id_col", "doc_id")), **columns)
-    usual = usual_fit(docs, model, **columns)
-    columns.pop("lang_col", None)
-    found = label_languages(docs, model, payload=True, **columns)
+    never learned and random letters go by the last condition. The labelled
+    rows are written once: the usual fits and the result read them."""
+    model = learn(docs, ~held_out(columns.get("id_col", "doc_id")), lang_col=lang_col, **columns)
+    found = stored(label_languages(docs, model, payload=True, **columns).drop("spans"), "languages")
+    usual = usual_fit(found, F.col(f"row.`{lang_col}`"))
     ok = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)
     for lang, (mid, texts, words) in usual.items():
         # a rounding error is no deviation

@@ -170,3 +170,49 @@ def test_languages_are_those_of_a_plain_decoder(spark, sf):
         r = got[doc_id]
         assert r.lang_pred == want and r.score == pytest.approx(share, abs=1e-9)
         assert r.held_out == (fold(doc_id, 5) == 0)
+
+
+def many_texts():
+    """More rows of a language than were once sampled; each has a word of its own."""
+    rng = np.random.default_rng(11)
+    return [(i, " ".join("".join(rng.choice(list("abcdefgh" if i % 8 else "äöüßopqr"), rng.integers(3, 8))) for _ in range(4)), "xx" if i % 8 else "yy")
+            for i in range(6_500)] + [(9_001, None, "xx"), (9_002, "abc", None), (None, "hgf edc", "xx")]
+
+
+def test_language_model_and_usual_fits_are_of_all_rows(spark):
+    rows = many_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = lv.learn(docs, ~lv.held_out())
+    for k, lang in enumerate(["xx", "yy"]):
+        seen = np.full(lv.BUCKETS, 0.5)
+        for doc_id, text, label in rows:
+            if doc_id is not None and label == lang and fold(doc_id, 5) != 0:
+                for word in words_of(text):
+                    for g in plain_grams(word):
+                        seen[g] += 1
+        assert np.array_equal(model.log_p[:, k], np.log(seen / seen.sum()).astype(np.float32)) and seen.sum() > lv.BUCKETS / 2
+    labelled = lv.label_languages(docs, model, payload=True)
+    fits = defaultdict(list)
+    for r in labelled.collect():
+        if r.id is not None and r.fit is not None and r.row.lang == r.lang_pred:
+            fits[r.lang_pred, fold(r.id, 5) == 0].append((r.fit, r.spread))
+    got = lv.usual_fit(labelled, lv.F.col("row.lang"))
+    assert set(got) == {"xx", "yy"} and len(fits["xx", False]) > 4_000 and len(fits["xx", True]) > 1_000
+    for lang, (mid, texts, words) in got.items():
+        fit, spread = np.array(fits[lang, True]).T
+        low, median = np.percentile(fit, [5, 50])
+        assert mid == pytest.approx(median, abs=1e-12) and texts == pytest.approx(((median - low) / 1.645) ** 2, rel=1e-9)
+        assert words == pytest.approx(spread.mean(), rel=1e-9)
+
+
+def test_quantiles_are_those_of_percentile(spark):
+    rng = np.random.default_rng(5)
+    rows = [(g, float(v)) for g, n in (("a", 1), ("b", 2), ("c", 500), ("d", 60)) for v in rng.normal(-9, 0.3, n)] + [("e", -3.25)] * 40 + [("e", -3.5)] * 3
+    df = spark.createDataFrame(rows, "g string, fit double")
+    shares = (0.05, 0.5, 1.0)
+    want = {r.g: r.p for r in df.groupBy("g").agg(lv.F.percentile("fit", list(shares)).alias("p")).collect()}
+    got = lv._quantiles(df, ["g"], "fit", shares)
+    assert {k[0] for k in got} == set(want)
+    for (g,), v in got.items():
+        assert v == pytest.approx(want[g], abs=1e-12)
+    assert lv._quantiles(df.where("g = 'z'"), ["g"], "fit", shares) == {}
