@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -27,14 +29,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.llm._memory import lean
+
 #: The public byte-level pre-token pattern (white space as the Unicode property).
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
             r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+#: What the pattern finds in ASCII texts, with plain classes.
+ASCII_PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+"
+                  r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 #: Entries that a task's tables of known words and of known fragments may hold.
 KNOWN = 300_000
 #: Rows that a task holds as Python objects at once.
 SLICE = 256
-#: Fragments up to this length are merged by looking for the best pair again and again.
+#: Fragments up to this length are merged by looking for the lowest rank again and again.
 SHORT = 24
 
 
@@ -72,11 +79,17 @@ class Codec:
         inside[np.cumsum([len(tok) for tok in self.ids])[:-1] - 1] = False  # a token's last byte and the next one's first
         self.joined[tokens[:-1][inside], tokens[1:][inside]] = True
         self.apart = set(map(tuple, np.argwhere(~self.joined).tolist()))
+        #: the bytes of every id, to look up many at once
+        self.pieces = pa.array([self.bytes_of.get(i) for i in range(max(self.bytes_of) + 1)], pa.large_binary())
         self.byte_id = [self.ids[bytes([b])] for b in range(256)]
-        self.words = regex.compile(PRETOKEN).findall
+        self._words, self._ascii_words = regex.compile(PRETOKEN).findall, re.compile(ASCII_PRETOKEN).findall
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
                                       + ")").split if self.special else None
 
+    def words(self, text: str) -> list[str]:
+        """The pre-tokens of ``text``."""
+        return self._ascii_words(text) if text.isascii() else self._words(text)
+
     def fragments(self, piece: bytes) -> list[bytes]:
         """``piece`` cut at every byte pair that no token contains."""
         if len(piece) <= SHORT:
@@ -94,13 +107,16 @@ class Codec:
         joined until no pair has a rank."""
         ids, n, ranks = [self.byte_id[b] for b in fragment], len(fragment), self.ranks
         if n <= SHORT:
-            rank_of, none = ranks.get, len(self.joined_id)
-            while len(ids) > 1:
-                found = [rank_of(p, none) for p in zip(ids, ids[1:])]
-                if (rank := min(found)) == none:
-                    break
+            rank_of, none, joined_id = ranks.get, len(self.joined_id), self.joined_id
+            found = [rank_of(p, none) for p in zip(ids, ids[1:])]
+            while found and (rank := min(found)) != none:
                 i = found.index(rank)
-                ids[i:i + 2] = [self.joined_id[rank]]
+                ids[i] = joined_id[rank]
+                del ids[i + 1], found[i]
+                if i:  # only the neighbours' pairs have changed
+                    found[i - 1] = rank_of((ids[i - 1], ids[i]), none)
+                if i < len(found):
+                    found[i] = rank_of((ids[i], ids[i + 1]), none)
             return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(ranks[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
@@ -152,11 +168,21 @@ class Encoder:
 
 
 def _pack(ids) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _decoded(codec: Codec, ids: bytes | None) -> str:
-    return b"".join(map(codec.bytes_of.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())).decode(errors="replace")
+def _decoded(codec: Codec, ids: list[bytes | None]) -> list[str]:
+    """The texts of many rows' ids: all their bytes are looked up at once, and
+    lie one row after the other."""
+    ids = [i or b"" for i in ids]
+    found = codec.pieces.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+    if found.null_count:
+        raise KeyError("an id that the vocabulary does not hold")
+    ends = np.cumsum([0, *(len(i) // 4 for i in ids)])
+    _, offsets, data = found.buffers()
+    at = np.frombuffer(offsets, np.int64)[found.offset + ends].tolist() if offsets else [0] * len(ends)
+    whole = memoryview(data) if data else memoryview(b"")
+    return [str(whole[i:j], "utf-8", "replace") for i, j in zip(at, at[1:])]
 
 
 def _by_slices(packed: bytes, make):
@@ -168,7 +194,7 @@ def _by_slices(packed: bytes, make):
             for at in range(0, b.num_rows, SLICE):
                 columns = work(b.slice(at, SLICE))
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-    return run
+    return lean(run)
 
 
 def _encoding(codec: Codec, and_decode: bool):
@@ -177,12 +203,12 @@ def _encoding(codec: Codec, and_decode: bool):
     def work(b):
         ids = [encoder(t.as_py()) for t in b.column(1)]
         out = {"id": b.column(0), "ids": pa.array(ids, pa.binary())}
-        return out | ({"decoded": pa.array([_decoded(codec, i) for i in ids], pa.string())} if and_decode else {})
+        return out | ({"decoded": pa.array(_decoded(codec, ids), pa.string())} if and_decode else {})
     return work
 
 
 def _decoding(codec: Codec):
-    return lambda b: {"id": b.column(0), "ids": b.column(1), "decoded": pa.array([_decoded(codec, i.as_py()) for i in b.column(1)], pa.string())}
+    return lambda b: {"id": b.column(0), "ids": b.column(1), "decoded": pa.array(_decoded(codec, b.column(1).to_pylist()), pa.string())}
 
 
 def unsupported(spec: dict) -> list[str]:

@@ -3,6 +3,7 @@ import hashlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from panelkit.llm import digest_tree, forced_bpe
 from panelkit.llm.queries import QUERIES, vocabulary_path
 
@@ -108,3 +109,36 @@ def test_decode_of_ids_that_cut_a_character(spark):
     df = spark.createDataFrame([(1, ids.tobytes()), (2, None)], "id long, ids binary")
     got = {r.id: r.decoded for r in forced_bpe.decode(df, vocabulary).collect()}
     assert got == {1: library().decode(ids.tolist(), skip_special_tokens=False), 2: ""}
+
+
+def test_bpe_merges_look_up_each_changed_pair_once():
+    """A short fragment's ranks are kept between its merges."""
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *args):
+            self.asked += 1
+            return super().get(*args)
+    codec = forced_bpe.Codec(forced_bpe.read_vocabulary(vocabulary_path()))
+    for fragment in (b" international", b" thouenorthinghonation", b"e", b"aaaaaaaaaaaaaaaaaaaaaaaa"):
+        want = codec.merge(fragment)
+        codec.ranks = Counting(codec.ranks)
+        assert codec.merge(fragment) == want and codec.ranks.asked <= 3 * len(fragment)
+        assert b"".join(codec.bytes_of[i] for i in want) == fragment
+
+
+def test_bpe_ascii_words_and_joint_decoding():
+    import random
+
+    import regex
+    codec, rng = forced_bpe.Codec(forced_bpe.read_vocabulary(vocabulary_path())), random.Random(3)
+    plain = regex.compile(forced_bpe.PRETOKEN).findall
+    for _ in range(3_000):
+        text = "".join(rng.choices([chr(i) for i in range(128)] + list("   \n\t'sdmrevl12ab") * 3, k=rng.randint(0, 20)))
+        assert codec.words(text) == plain(text)
+    rows = [[], [codec.byte_id[0xE4]], codec.byte_id[65:70], None, [codec.byte_id[0xBD], codec.byte_id[0x41]]]
+    packed = [None if r is None else np.array(r, "<u4").tobytes() for r in rows]
+    want = [b"".join(codec.bytes_of[i] for i in r or []).decode(errors="replace") for r in rows]
+    assert forced_bpe._decoded(codec, packed) == want and forced_bpe._decoded(codec, []) == [] and forced_bpe._decoded(codec, [None, b""]) == ["", ""]
+    with pytest.raises(KeyError):
+        forced_bpe._decoded(codec, [np.array([60_000], "<u4").tobytes()])
