@@ -48,6 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.llm._memory import lean
 from panelkit.llm._tables import stored
 from panelkit.llm.components import components
 from panelkit.stages import releasing
@@ -360,7 +361,7 @@ def _pair_checker(percent: int):
 def _grouped(rows: DataFrame, keys: list[str], work) -> DataFrame:
     """The links that ``work`` finds in each group of ``rows`` by ``keys``."""
     return (rows.repartition(*keys).sortWithinPartitions(*keys)
-            .mapInArrow(_per_group(keys, work), "a long, b long"))
+            .mapInArrow(lean(_per_group(keys, work)), "a long, b long"))
 
 
 def _chunk(chunks: Column, salt: int = 0) -> Column:
@@ -386,7 +387,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links) of every row."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     with releasing(docs.sparkSession) as step:
-        rows = stored(src.mapInArrow(_set_maker(shingle, percent, None),
+        rows = stored(src.mapInArrow(lean(_set_maker(shingle, percent, None)),
                                      "id long, n long, digest binary, bitmap binary, keys array<long>"), "jaccard-rows")
         known = rows.where("id IS NOT NULL AND n > 0")
         # 1. one row per distinct set
@@ -409,19 +410,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                  .join(signed.toDF("a", "na", "bitmap_a"), "a").join(signed.toDF("b", "nb", "bitmap_b"), "b"))
         more = busy.where("m > 2").select("key", "class", F.ceil(F.col("m") / SIGNATURE_CHUNK).alias("chunks"))
         met = _all_chunk_pairs(cells.join(more, ["key", "class"]).join(signed, "sid"), F.col("chunks"))
-        maybe = (pairs.mapInArrow(_pair_checker(percent), "a long, b long")
+        maybe = (pairs.mapInArrow(lean(_pair_checker(percent)), "a long, b long")
                  .unionByName(_grouped(met, ["key", "class", "i", "j"], _forest_of_bounds(percent))))
         groups = stored(components(maybe).select(F.col("node").alias("sid"), F.col("component").alias("grp")), "jaccard-groups")
         step.release(rows, sets, groups)
 
         # 3. whole sets, once per set, to the tasks of their group
         needed = groups.join(sets.select("sid", "digest", "first_id"), "sid")
-        pages = (needed.select("first_id").mapInArrow(_filter_maker, "page long, bits binary")
+        pages = (needed.select("first_id").mapInArrow(lean(_filter_maker), "page long, bits binary")
                  .groupBy("page").applyInPandas(_or_pages, "page long, bits binary").collect())  # FILTER_BITS at most
         wanted = np.zeros((FILTER_BITS // 8 // 4096, 4096), np.uint8)
         for p in pages:
             wanted[p.page] = np.frombuffer(p.bits, np.uint8)
-        again = src.mapInArrow(_set_maker(shingle, percent, wanted.ravel()), "id long, n long, digest binary, tokens binary")
+        again = src.mapInArrow(lean(_set_maker(shingle, percent, wanted.ravel())), "id long, n long, digest binary, tokens binary")
         again = (again.groupBy(F.col("id").alias("first_id"), "digest")
                  .agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")))
         whole = stored(needed.join(again, ["first_id", "digest"]).select("sid", "grp", "n", "tokens"), "jaccard-whole")
