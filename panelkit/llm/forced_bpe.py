@@ -175,8 +175,9 @@ def _decoded(codec: Codec, ids: list[bytes | None]) -> list[str]:
     """The texts of many rows' ids: all their bytes are looked up at once, and
     lie one row after the other."""
     ids = [i or b"" for i in ids]
-    found = codec.pieces.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
-    if found.null_count:
+    flat = np.frombuffer(b"".join(ids), "<u4")
+    found = codec.pieces.take(pa.array(flat)) if flat.max(initial=0) < len(codec.pieces) else None
+    if found is None or found.null_count:
         raise KeyError("an id that the vocabulary does not hold")
     ends = np.cumsum([0, *(len(i) // 4 for i in ids)])
     _, offsets, data = found.buffers()
