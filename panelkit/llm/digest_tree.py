@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.llm._drop import drop_rows
 from panelkit.llm._tables import stored
 from panelkit.stages import releasing
 
@@ -222,5 +223,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with releasing(docs.sparkSession) as step:
         leaves = stored(digest_runs(docs, id_col, text_col, payload=True), "digest-runs")
         best = merge_tree(leaves, keep == "max", fan_in)[-1].mapInArrow(_unpack, UNPACKED)
-        best = best.select(F.col("best_run").alias("run"), F.col("best_pos").alias("pos"))
-        return step.keep(leaves.join(best, ["run", "pos"], "left_semi").select("row.*"))
+        # the rows that go are told by the positions without text; the texts of the others stay where they are
+        gone = stored(leaves.select("pos").join(best.select(F.col("best_pos").alias("pos")), "pos", "left_anti"), "digest-gone")
+        return step.keep(drop_rows(leaves.select("pos", "row"), "pos", gone).select("row.*"))

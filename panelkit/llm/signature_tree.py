@@ -17,7 +17,8 @@ sizes fall into the same or neighbouring classes of ratio ``t``. So
 
 1. equal sets are collapsed to one, and its tokens at the front are its keys;
 2. for each key and size class held by several sets, trees over signatures
-   alone find the pairs that may link, and give back a forest over them;
+   alone find the pairs that may link, and give back a forest over them (once
+   for the keys, such as those of a passage, that the same sets hold);
 3. the forest's components gather each set with all that it may link with; each
    set goes once to the tasks of its component, where trees verify on whole
    sets, skipping pairs already connected, and give back the links that count;
@@ -43,11 +44,11 @@ import math
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.llm._drop import drop_rows, filter_of, hits
 from panelkit.llm._memory import lean
 from panelkit.llm._tables import stored
 from panelkit.llm.components import components
@@ -60,8 +61,6 @@ LEAF, FAN = 8, 8
 SIGNATURE_CHUNK, SET_CHUNK = 4_096, 2_048
 #: Expected number of pivots of a group of several chunks.
 PIVOTS = 64
-#: Bits of the filter that tells which texts' sets are needed again.
-FILTER_BITS = 1 << 24
 
 
 class _Words(dict):
@@ -235,33 +234,9 @@ def _set_maker(size: int, percent: int, wanted: np.ndarray | None):
     return make
 
 
-def _filter_bits(ids: np.ndarray) -> list[np.ndarray]:
-    x = ids.astype(np.int64).view(np.uint64)
-    return [((x * np.uint64(m)) >> np.uint64(40)).astype(np.int64) % FILTER_BITS for m in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
-
-
 def _let_through(ids: pa.Array, wanted: np.ndarray) -> list[int]:
     known = np.flatnonzero(~np.array(ids.is_null()))
-    a, b = _filter_bits(np.array(ids.take(pa.array(known, pa.int64()))))
-    hit = lambda at: (wanted[at >> 3] >> (at & 7)) & 1
-    return known[(hit(a) & hit(b)).astype(bool)].tolist()
-
-
-def _filter_maker(batches):
-    """Bytes of the filter, by 4 KiB page, that a partition's ids set."""
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for b in batches:
-        for at in _filter_bits(np.array(b.column(0))):
-            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    pages = bits.reshape(-1, 4096)
-    used = np.flatnonzero(pages.any(1))
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array([pages[p].tobytes() for p in used], pa.binary())],
-                                     names=["page", "bits"])
-
-
-def _or_pages(group: pd.DataFrame) -> pd.DataFrame:
-    bits = np.bitwise_or.reduce(np.array([np.frombuffer(x, np.uint8) for x in group["bits"]]), axis=0)
-    return pd.DataFrame({"page": [group["page"].iloc[0]], "bits": [bits.tobytes()]})
+    return known[hits(np.array(ids.take(pa.array(known, pa.int64()))), wanted)].tolist()
 
 
 def _per_group(keys: list[str], work):
@@ -381,6 +356,14 @@ def _size_class(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / width).cast("int")
 
 
+def _once_per_members(groups: DataFrame) -> DataFrame:
+    """Of the groups (``key``, ``class``) with the same members one: the keys of a
+    passage meet the same sets, which need comparing once. Members are told by
+    their number and two independent 64-bit hashes, as sets are by their digest."""
+    return (groups.groupBy("m", "a", "b", "members0", "members1").agg(F.min(F.struct("key", "class")).alias("one"))
+            .select("one.key", "one.class", "m", "a", "b"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                        percent: int = 80) -> DataFrame:
     """``id``, ``n_shingles`` and ``component_id`` (the smallest id reachable by
@@ -401,9 +384,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                  .withColumn("guest", F.explode(F.array(F.lit(False), F.lit(True))))
                  .select("key", (F.col("class") - F.col("guest").cast("int")).alias("class"), "sid", "guest"))
         cells = stored(cells, "jaccard-cells")
-        busy = stored(cells.groupBy("key", "class").agg(F.count("*").alias("m"), F.count_if(~F.col("guest")).alias("owners"),
-                                                        F.min("sid").alias("a"), F.max("sid").alias("b"))
-                      .where("m > 1 AND owners > 0"), "jaccard-busy")
+        busy = _once_per_members(cells.groupBy("key", "class").agg(
+            F.count("*").alias("m"), F.count_if(~F.col("guest")).alias("owners"), F.min("sid").alias("a"), F.max("sid").alias("b"),
+            *[F.bit_xor(F.xxhash64("sid", "guest", F.lit(salt))).alias(f"members{salt}") for salt in (0, 1)])
+            .where("m > 1 AND owners > 0"))
+        busy = stored(busy, "jaccard-busy")
         signed = sets.select("sid", "n", "bitmap")
         # two sets alone: a pair, often met under many keys
         pairs = (busy.where("m = 2").select("a", "b").distinct()
@@ -417,12 +402,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
         # 3. whole sets, once per set, to the tasks of their group
         needed = groups.join(sets.select("sid", "digest", "first_id"), "sid")
-        pages = (needed.select("first_id").mapInArrow(lean(_filter_maker), "page long, bits binary")
-                 .groupBy("page").applyInPandas(_or_pages, "page long, bits binary").collect())  # FILTER_BITS at most
-        wanted = np.zeros((FILTER_BITS // 8 // 4096, 4096), np.uint8)
-        for p in pages:
-            wanted[p.page] = np.frombuffer(p.bits, np.uint8)
-        again = src.mapInArrow(lean(_set_maker(shingle, percent, wanted.ravel())), "id long, n long, digest binary, tokens binary")
+        wanted = filter_of(needed.select("first_id"))
+        again = src.mapInArrow(lean(_set_maker(shingle, percent, wanted)), "id long, n long, digest binary, tokens binary")
         again = (again.groupBy(F.col("id").alias("first_id"), "digest")
                  .agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")))
         whole = stored(needed.join(again, ["first_id", "digest"]).select("sid", "grp", "n", "tokens"), "jaccard-whole")
@@ -478,5 +459,4 @@ def _links_between_chunks(held: DataFrame, found: DataFrame, verify) -> DataFram
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the rows that link, over any path, with a smaller id."""
     found = jaccard_components(docs, id_col, **options)
-    gone = found.where("component_id < id").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    return drop_rows(docs, id_col, found.where("component_id < id").select("id").distinct())

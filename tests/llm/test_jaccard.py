@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from panelkit.llm import _drop, digest_tree
 from panelkit.llm import signature_tree as st
 from panelkit.llm.components import components
 from panelkit.llm.queries import QUERIES
@@ -63,6 +64,20 @@ def test_components_equal_all_pairs(make_docs, shingle, percent):
     assert found(st.jaccard_components(make_docs(rows), shingle=shingle, percent=percent)) == by_hand(rows, shingle, percent)
 
 
+def test_keys_of_the_same_sets_are_searched_once(make_docs, monkeypatch):
+    searched, grouped = [], st._grouped
+
+    def counting(rows, keys, work):
+        if keys[0] == "key":
+            searched.append(rows.select("key", "class").distinct().count())
+        return grouped(rows, keys, work)
+    monkeypatch.setattr(st, "_grouped", counting)
+    passage = " ".join(f"word{i}" for i in range(200))
+    rows = [(i, f"{passage} end{i}") for i in range(6)] + [(10 + i, f"{i}first {passage}") for i in range(3)]
+    assert found(st.jaccard_components(make_docs(rows))) == by_hand(rows, 5, 80)
+    assert searched and searched[0] <= 4  # of some forty keys and two size classes
+
+
 def test_large_groups_go_through_chunks(make_docs, monkeypatch):
     monkeypatch.setattr(st, "SIGNATURE_CHUNK", 16)
     monkeypatch.setattr(st, "SET_CHUNK", 8)
@@ -126,3 +141,22 @@ def test_components_of_long_paths(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 1 for i in range(1, 41)} | {100: 100, 101: 100, 102: 100, 150: 150, 200: 150}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("bits", [1 << 24, 1 << 15])
+def test_rows_are_dropped_by_a_filter_and_a_join_of_the_doubtful(spark, monkeypatch, bits):
+    monkeypatch.setattr(_drop, "FILTER_BITS", bits)
+    ids = [None, None, 0, -5, 2**62, 2**62 + 1, *range(1000, 5000), 1000]
+    df = spark.createDataFrame([(i, f"text {n}") for n, i in enumerate(ids)], "doc_id long, text string")
+    for gone in ([], [0, 2**62], list(range(1000, 5000, 2))):
+        out = _drop.drop_rows(df, "doc_id", spark.createDataFrame([(i,) for i in gone], "id long"))
+        want = sorted((f"text {n}" for n, i in enumerate(ids) if i is None or i not in set(gone)))
+        assert sorted(r.text for r in out.collect()) == want and out.columns == df.columns
+
+
+def test_texts_that_stay_are_not_joined(make_docs):
+    rows = [(i, " ".join(f"w{i % 40}x{k}" for k in range(30))) for i in range(60)]
+    for out in (st.drop_near_copies(make_docs(rows)), digest_tree.drop_copies(make_docs(rows), keep="min")):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lstrip().startswith("Union") or "Union" in plan.split("Join")[0]
+        assert sorted(r.doc_id for r in out.collect()) == list(range(40))
